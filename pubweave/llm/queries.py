@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubweave.llm import bpe, exactdedup, langid, mixing, simhash
+from pubweave.llm import bpe, chat, exactdedup, langid, licenses, mixing, quality, simhash, urlfilter, warc
+from pubweave.llm.common import shared_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,15 +28,51 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: The rules of the URL filter.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with the last reply of another."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pairs = chat.preference_pairs(turns.withColumnRenamed("conv_id", "pair_id"), chat.swapped_replies(turns))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return pairs.withColumn("chosen_spans", spans(F.col("chosen_spans"))).withColumn("rejected_spans", spans(F.col("rejected_spans")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), default_vocabulary())
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.reassemble(warc.read_archives(spark, path))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_notices(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -51,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_language_id, op3_source_mix, op6_bpe, op9_simhash, op10_exact_dedup]
+    own = [op1_language_id, op2_divergence, op3_source_mix, op4_url_filter, op5_preferences, op6_bpe, op7_warc, op8_licenses, op9_simhash, op10_exact_dedup]
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
@@ -93,5 +130,54 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
 }
 
 
+SQL["op5_preferences"] = """
+WITH t AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT conv_id, max(turn) AS last, arg_max(text, (turn, text)) AS reply FROM t WHERE role = 'assistant' GROUP BY conv_id
+), r AS (
+  SELECT t.* FROM t LEFT JOIN l USING (conv_id) WHERE l.last IS NULL OR t.turn < l.last
+  UNION ALL
+  SELECT a.conv_id, a.last, 'assistant', b.reply FROM l AS a JOIN l AS b ON b.conv_id = xor(a.conv_id, 1)
+), s AS (
+  SELECT 'c' AS side, *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM t
+  UNION ALL
+  SELECT 'r' AS side, *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM r
+), d AS (
+  SELECT coalesce(a.conv_id, b.conv_id) AS conv_id,
+         min(CASE WHEN a.role = b.role AND a.text = b.text THEN NULL ELSE coalesce(a.pos, b.pos) END) AS first_other, count(*) AS n
+  FROM (FROM s WHERE side = 'c') AS a FULL JOIN (FROM s WHERE side = 'r') AS b ON a.conv_id = b.conv_id AND a.pos = b.pos
+  GROUP BY 1
+), p AS (
+  SELECT s.*, coalesce(first_other - 1, n) AS n_prompt, '<|' || role || '|>' || chr(10) || text || chr(10) AS turn_text,
+         CASE WHEN pos <= coalesce(first_other - 1, n) THEN 'p' ELSE side END AS part
+  FROM s JOIN d USING (conv_id)
+), e AS (
+  SELECT *, CAST(sum(length(turn_text)) OVER (PARTITION BY conv_id, side, part ORDER BY pos) AS BIGINT) AS ends FROM p
+)
+SELECT conv_id AS pair_id, any_value(n_prompt) AS n_prompt_turns,
+  coalesce(string_agg(turn_text, '' ORDER BY pos) FILTER (part = 'p' AND side = 'c'), '') AS prompt,
+  coalesce(string_agg(turn_text, '' ORDER BY pos) FILTER (part = 'c'), '') AS chosen,
+  coalesce(string_agg(turn_text, '' ORDER BY pos) FILTER (part = 'r'), '') AS rejected,
+  coalesce(string_agg((ends - length(text) - 1) || '-' || ends, ',' ORDER BY pos) FILTER (part = 'c' AND role = 'assistant'), '') AS chosen_spans,
+  coalesce(string_agg((ends - length(text) - 1) || '-' || ends, ',' ORDER BY pos) FILTER (part = 'r' AND role = 'assistant'), '') AS rejected_spans
+FROM e GROUP BY conv_id"""
+
+SQL["op7_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM p
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f"""
+
+SQL["op8_licenses"] = licenses.oracle()
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
