@@ -13,7 +13,7 @@ from pubweave.llm.common import small_batches
 END = "\r\n\r\n"
 #: Bytes of a block in one record, and of a chunk in a block.
 SEGMENT_BYTES, CHUNK_BYTES = 64 << 10, 16 << 10
-RECORDS = "type string, record_id string, page_id long, uri string, refers_to long, payload_bytes long, payload_digest string, number int, total long, block binary"
+RECORDS = "type string, record_id string, page_id long, uri string, refers_to long, payload_bytes long, payload_digest string, segmented boolean, number int, total long, block binary"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -91,7 +91,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hold double line ends itself, so its length decides. No more than a record is held."""
     end, names = END.encode(), [x.split()[0] for x in RECORDS.split(", ")]
     file, held, need, fields = None, bytearray(), None, {}
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.int64(), pa.binary()]
     number = lambda key: int(fields[key]) if key in fields else None
     for batch in batches:
         rows = []
@@ -113,7 +113,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(held) < need + len(end):
                     break
                 origin = fields.get("warc-segment-origin-id", fields["warc-record-id"])
-                rows.append((fields["warc-type"], origin, number("page-id"), fields.get("warc-target-uri"), number("refers-to-page-id"), number("payload-bytes"), fields.get("warc-payload-digest", "").removeprefix("sha1:") or None, number("warc-segment-number") or 1, number("warc-segment-total-length"), bytes(held[:need])))
+                rows.append((fields["warc-type"], origin, number("page-id"), fields.get("warc-target-uri"), number("refers-to-page-id"), number("payload-bytes"), fields.get("warc-payload-digest", "").removeprefix("sha1:") or None, "warc-segment-number" in fields, number("warc-segment-number") or 1, number("warc-segment-total-length"), bytes(held[:need])))
                 del held[: need + len(end)]
                 need = None
         yield pa.record_batch([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * len(kinds), kinds, strict=True)], names)
@@ -158,7 +158,8 @@ def reassemble(records: DataFrame) -> DataFrame:
     in the order of their numbers, and their lengths must add up to the stated total. A
     record with a missing segment, a gap in the numbers or a wrong total isn't complete
     and has a null payload; so has a revisit. Continuations of a record that isn't there
-    are one incomplete row of type continuation.
+    are one incomplete row of type continuation. Only segments are shuffled: records that
+    say they are whole are decoded where they are read, in a pass of their own.
     """
     names = ["type", "page_id", "uri", "refers_to", "payload_bytes", "payload_digest", "segments", "complete", "payload"]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.binary()]
@@ -193,7 +194,9 @@ def reassemble(records: DataFrame) -> DataFrame:
             yield out([whole(held)])
 
     kind = "type string, page_id long, uri string, refers_to long, payload_bytes long, payload_digest string, segments int, complete boolean, payload binary"
-    return records.repartition("record_id").sortWithinPartitions("record_id", "number").mapInArrow(joined, kind)
+    alone = records.filter("not segmented").mapInArrow(lambda batches: (out([whole([r]) for r in b.to_pylist()]) for b in batches), kind)
+    parts = records.filter("segmented").repartition("record_id").sortWithinPartitions("record_id", "number").mapInArrow(joined, kind)
+    return alone.unionByName(parts)
 
 
 def page_records(stored: DataFrame) -> DataFrame:
