@@ -55,7 +55,8 @@ def dedupe_stats(n0: DataFrame, n1: DataFrame, n2: DataFrame) -> DataFrame:
 
 def with_blog_key(df: DataFrame) -> DataFrame:
     """Stories with key and home of their publisher; those without one, or denied, go."""
-    return df.withColumn("_k", urls.blog_key(F.col("url"))).filter(F.col("_k").isNotNull() & ~urls.denied(F.col("_k.key"))).withColumns({"key": F.col("_k.key"), "home": F.col("_k.home")}).drop("_k")
+    keys = F.filter(F.array(urls.blog_key(F.col("url"))), lambda k: k.isNotNull() & ~urls.denied(k["key"]))
+    return df.withColumn("_k", F.explode(keys)).withColumns({"key": F.col("_k.key"), "home": F.col("_k.home")}).drop("_k")
 
 
 def top_samples(stories: DataFrame, n: int = 5) -> DataFrame:
