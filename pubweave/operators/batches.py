@@ -35,7 +35,7 @@ def evidence_blocks(candidates: DataFrame, feeds: DataFrame, min_n: int = 5, per
         F.lit(" event_rate="), two(titles.title_rate(F.col("sample_titles"), titles.is_event)),
     )
     shown = F.concat(F.lit("top_hn_titles: "), F.array_join(F.transform(F.slice("sample_titles", 1, 8), lambda t: F.left(t, F.lit(95))), " | "))
-    parts = F.filter(F.transform(F.slice("sample_urls", 1, 4), urls.slugs), lambda s: s != "")
+    parts = F.filter(F.transform(F.slice("sample_urls", 1, 4), lambda u: urls.slugs(u)), lambda s: s != "")
     slugs = F.when(F.size(parts) > 0, F.concat(F.lit("url_slugs: "), F.array_join(parts, " | ")))
     title = F.when(F.col("feed_title") != "", F.concat(F.lit("feed_title: "), F.left("feed_title", F.lit(90))))
     entry = lambda e: F.concat(F.lit("  feed: "), F.left(e["title"], F.lit(85)), F.when(F.coalesce(e["summary"], F.lit("")) != "", F.concat(F.lit(" -- "), F.left(e["summary"], F.lit(130)))).otherwise(""))
