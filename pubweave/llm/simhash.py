@@ -112,43 +112,75 @@ def local_roots(fps: np.ndarray, free: int, pairwise: int = 4096) -> np.ndarray:
     return root
 
 
-def _walk_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Posting lists arrive whole and in order, over batch borders: links that keep each
-    list's connections, one per fingerprint at most, instead of all its pairs."""
-    masks = np.array([_mask(q) for q in quadruples()], np.int64)
-    held = np.empty((0, 3), np.int64)
-
-    def links(rows: np.ndarray) -> pa.RecordBatch | None:
+def _walk_lists(masks: list[int], limit: int | None):
+    """Posting lists arrive in order, over batch borders. Rows (q, a, b): links that keep a
+    list's connections, one per fingerprint at most, instead of all its pairs, with q null;
+    and, as (q, fp, fp), the members of lists longer than ``limit``, which are not held."""
+    most = np.inf if limit is None else limit
+
+    def out(rows: np.ndarray, passed: bool = False) -> pa.RecordBatch:
+        """Of whole lists, or of a part of a list that is passed on."""
         cut = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
         starts, ends = np.r_[0, cut], np.r_[cut, len(rows)]
-        sizes, fps = ends - starts, rows[:, 2].view(np.uint64)
-        two = starts[sizes == 2]
-        two = two[_linked(fps[two], fps[two + 1])]
-        a, b = [fps[two]], [fps[two + 1]]
-        for s, e in zip(starts[sizes > 2].tolist(), ends[sizes > 2].tolist(), strict=True):
-            own = np.sort(fps[s:e])
-            root = local_roots(own, int(~masks[rows[s, 0]].view(np.uint64)))
-            far = root != np.arange(len(own))
-            a.append(own[root[far]])
-            b.append(own[far])
+        sizes, fps = ends - starts, np.ascontiguousarray(rows[:, 2]).view(np.uint64)
+        long = np.repeat((sizes > most) | passed, sizes)
+        a, b = [fps[long]], [fps[long]]
+        if not passed:
+            two = starts[(sizes == 2) & (sizes <= most)]
+            two = two[_linked(fps[two], fps[two + 1])]
+            a.append(fps[two])
+            b.append(fps[two + 1])
+            more = (sizes > 2) & (sizes <= most)
+            for s, e in zip(starts[more].tolist(), ends[more].tolist(), strict=True):
+                own = np.sort(fps[s:e])
+                root = local_roots(own, ~masks[rows[s, 0]])
+                far = root != np.arange(len(own))
+                a.append(own[root[far]])
+                b.append(own[far])
         a, b = np.concatenate(a), np.concatenate(b)
-        return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"]) if len(a) else None
-
-    for batch in batches:
-        rows = np.ascontiguousarray(np.column_stack([c.to_numpy() for c in batch.columns]).astype(np.int64))
-        rows = np.ascontiguousarray(np.vstack([held, rows]))
-        if not len(rows):
-            continue
-        last = np.all(rows[:, :2] == rows[-1, :2], axis=1)
-        first = len(rows) - int(np.argmin(last[::-1])) if not last.all() else 0
-        held = rows[first:]
-        if first and (out := links(np.ascontiguousarray(rows[:first]))) is not None:
-            yield out
-    if len(held) and (out := links(np.ascontiguousarray(held))) is not None:
-        yield out
-
-
-def fingerprint_links(fps: DataFrame, fp_col: str = "fp") -> DataFrame:
+        q = np.r_[rows[long, 0], np.zeros(len(a) - long.sum(), np.int64)]
+        return pa.record_batch([pa.array(q, pa.int64(), mask=np.arange(len(a)) >= long.sum()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["q", "a", "b"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, last = [], 0, None
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy() for c in batch.columns]).astype(np.int64)
+            if not len(rows):
+                continue
+            starts = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
+            if last is not None and (rows[0, :2] != last).any():
+                starts = np.r_[0, starts]
+            last = rows[-1, :2]
+            if len(starts):
+                going_on, whole, rows = np.split(rows, [starts[0], starts[-1]])
+                if size > most and len(going_on):
+                    yield out(going_on, True)
+                elif size <= most:
+                    whole = np.vstack([*held, going_on, whole])
+                if len(whole):
+                    yield out(whole)
+                held, size = [], 0
+            held.append(rows)
+            size += len(rows)
+            if size > most:
+                yield out(np.vstack(held), True)
+                held = []
+        if held:
+            yield out(np.vstack(held))
+
+    return walk
+
+
+def _walked(lists: DataFrame, masks: list[int], limit: int | None) -> DataFrame:
+    """Written out, so that the links and the members passed on come from one walk."""
+    small_batches(lists.sparkSession, 10_000)  # of numbers, not of texts
+    found = lists.repartition("q", "key").sortWithinPartitions("q", "key", "fp").mapInArrow(_walk_lists(masks, limit), "q long, a long, b long")
+    found = checkpointed(found)
+    small_batches(lists.sparkSession)
+    return found
+
+
+def fingerprint_links(fps: DataFrame, fp_col: str = "fp", long_list: int = 65_536) -> DataFrame:
     """Links (a, b) among distinct fingerprints that connect whatever lies within
     ``RADIUS`` bits of each other, directly or over further links.
 
@@ -156,10 +188,22 @@ def fingerprint_links(fps: DataFrame, fp_col: str = "fp") -> DataFrame:
     quadruples suffice: two fingerprints that share five positional bytes share all bytes
     of some quadruple. Within a list the shared bytes of a pair are tallied and pairs
     with five or more are verified.
+
+    No task holds a list of more than ``long_list`` fingerprints by four bytes: such
+    lists are passed on and split by the byte at each fifth position, one of which a
+    linked pair shares as well. Five bytes leave 24 bits, which bounds what is left.
     """
-    lists = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("q"), F.col(fp_col).bitwiseAND(F.lit(_mask(q))).alias("key")) for i, q in enumerate(quadruples())]))
-    posted = fps.select(lists.alias("l"), F.col(fp_col).alias("fp")).select("l.q", "l.key", "fp")
-    return posted.repartition("q", "key").sortWithinPartitions("q", "key", "fp").mapInArrow(_walk_lists, "a long, b long")
+    quads = quadruples()
+    five = {q * 8 + p: (*quad, p) for q, quad in enumerate(quads) for p in range(8) if p not in quad}
+    masked = lambda positions: F.col("fp").bitwiseAND(F.lit(_mask(positions)))
+    post = lambda df, lists: df.select(F.explode(lists).alias("l"), "fp").select("l.q", "l.key", "fp")
+    lists = F.array(*[F.struct(F.lit(i).cast("long").alias("q"), masked(q).alias("key")) for i, q in enumerate(quads)])
+    found = _walked(post(fps.select(F.col(fp_col).alias("fp")), lists), [_mask(q) for q in quads], long_list)
+    links, long = found.filter("q is null").select("a", "b"), found.filter("q is not null").select("q", F.col("a").alias("fp"))
+    if long.isEmpty():
+        return links
+    split = F.filter(F.array(*[F.struct(F.lit(i).cast("long").alias("q"), masked(q).alias("key")) for i, q in five.items()]), lambda x: F.floor(x["q"] / 8) == F.col("q"))
+    return links.union(_walked(post(long, split), [_mask(five.get(i, ())) for i in range(8 * len(quads))], None).select("a", "b"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

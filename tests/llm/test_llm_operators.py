@@ -5,6 +5,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -107,13 +108,30 @@ def test_components_against_brute_force(spark):
             a, b = find(i), find(j)
             parent[max(a, b)] = min(a, b)
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
-    roots = simhash.components(simhash.fingerprint_links(spark.createDataFrame([(x,) for x in signed], "fp long"))).collect()
-    got = {r.node: r.root for r in roots}
+    table = spark.createDataFrame([(x,) for x in signed], "fp long")
     want = {}
     for i, x in enumerate(signed):
         want.setdefault(find(i), []).append(x)
-    for members in want.values():
-        assert {got.get(x, x) for x in members} == {min(members)}
+    for long_list in (65_536, 5, 1):  # the shorter, the more lists are split by a fifth byte
+        roots = simhash.components(simhash.fingerprint_links(table, long_list=long_list)).collect()
+        got = {r.node: r.root for r in roots}
+        for members in want.values():
+            assert {got.get(x, x) for x in members} == {min(members)}
+
+
+def test_lists_over_batch_borders():
+    masks = [simhash._mask(q) for q in simhash.quadruples()]
+    rng = random.Random(3)
+    rows = sorted((q, key, key << 32 | rng.getrandbits(6)) for q, key, n in [(0, 1, 9), (0, 2, 1), (1, 1, 30), (2, 5, 2), (2, 6, 12)] for _ in range(n))
+
+    def walk(step, limit):
+        batches = [pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[i : i + step], strict=True)], ["q", "key", "fp"]) for i in range(0, len(rows), step)]
+        return sorted((r["q"] is None, r["q"] or 0, r["a"], r["b"]) for b in simhash._walk_lists(masks, limit)(iter(batches)) for r in b.to_pylist())
+
+    for limit in (None, 10, 1):
+        want = walk(len(rows), limit)
+        assert all(walk(step, limit) == want for step in (1, 2, 3, 7, 20))
+        assert sum(not linked for linked, *_ in want) == {None: 0, 10: 42, 1: 53}[limit]
 
 
 def test_near_duplicates_edges(docs, none):
@@ -220,6 +238,8 @@ def test_url_filter(spark):
     assert [got[i].verdict for i in (0, 1, 2, 3)] == ["allow", "block", "allow", "block"] and (got[2].host, got[2].path) == ("www.example.com", "/en/1")
     assert (got[5].host, got[5].path, got[6].host) == ("", "", "") and all(r.verdict in ("allow", "block") for r in got.values())
     assert urlfilter.judge(rows.limit(0), URL_RULES).count() == 0
+    tie = rows.limit(1).select(urlfilter.matching_rule(F.lit("a.com"), F.lit("/"), [("block", "com/"), ("allow", "com/")])["verdict"])
+    assert tie.first()[0] == "block"
 
 
 def test_markov_model_is_a_distribution():
