@@ -78,15 +78,14 @@ def hn_id(object_id: Column) -> Column:
 
 
 def feed_date(published: Column, updated: Column) -> Column:
-    """Epoch seconds (UTC) of the first date given, in RFC 822 or ISO form; null if it has neither."""
+    """Epoch seconds (UTC) of the first of the dates in RFC 822 or ISO form; null if neither is."""
     def parse(text: Column) -> Column:
         bare = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},?\s+", "")
         zone = F.regexp_replace(bare, r"\s+(GMT|UTC|UT|Z)$", " +0000")
         tries = [F.try_to_timestamp(zone, F.lit(f)) for f in ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")]
         return F.coalesce(*tries, bare.try_cast("timestamp"))
 
-    given = F.when(F.coalesce(published, F.lit("")) != "", published).otherwise(updated)
-    return F.unix_timestamp(parse(given))
+    return F.unix_timestamp(F.coalesce(parse(published), parse(updated)))
 
 
 def feed_error(feed: Column, entries: Column, failure: Column) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pubweave import constants as K
 from pubweave.functions import scoring
+from pubweave.operators.numbering import number_rows
 
 
 def apply_overrides(labels: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -32,10 +33,11 @@ def include_blogs(labels: DataFrame, candidates: DataFrame, deny: DataFrame | No
 
 
 def rank_blogs(blogs: DataFrame) -> DataFrame:
-    """Adds quality and blog_id, 0 for the best; ties by key. One row per publisher meets in
-    the window, not one per story."""
-    q = scoring.blog_quality(F.col("median_points"), F.col("n_stories"))
-    return blogs.withColumn("quality", q).withColumn("blog_id", (F.row_number().over(Window.orderBy(F.desc("quality"), "key")) - 1).cast("int"))
+    """Adds quality and blog_id, 0 for the best; ties by key. Publishers are numbered inside
+    bands of a thousandth of quality, so no window sees them all."""
+    rows = blogs.withColumn("quality", scoring.blog_quality(F.col("median_points"), F.col("n_stories")))
+    numbered = number_rows(rows, -F.floor(F.col("quality") * 1000), F.desc("quality"), "key", name="blog_id")
+    return numbered.withColumn("blog_id", F.col("blog_id").cast("int"))
 
 
 def blog_rows(ranked: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,12 @@ def query(sql: str | None = None):
     return register
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own where the cluster shares files."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"/tmp/pubweave-{os.getpid()}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 _URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
 
@@ -284,12 +291,14 @@ STORY_POSTS = f"""SELECT blog_id, points, CAST((created_at_i - {K.DAY0}) // 8640
 
 
 def _ranked(spark, d):
-    return blogs.rank_blogs(_included(spark, d))
+    """The ranked blogs, written before the posts that refer to them."""
+    path = _folder(spark, "blogs")
+    blogs.rank_blogs(_included(spark, d)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _story_posts(spark, d):
-    ranked = _ranked(spark, d).select("key", "blog_id", "source", "kind", "topics", "hidden")
-    return posts.story_posts(V.doc_stories(spark, d).drop("home"), ranked, V.AS_OF)
+def _story_posts(spark, d, ranked):
+    return posts.story_posts(V.doc_stories(spark, d).drop("home"), ranked.select("key", "blog_id", "source", "kind", "topics", "hidden"), V.AS_OF)
 
 
 def _entries_of_blogs(spark, d):
@@ -302,13 +311,12 @@ FEED_POSTS = f"""SELECT blog_id, 0 AS points, CAST((ts - {K.DAY0}) // 86400 AS I
   FROM (SELECT e.* REPLACE ('src' || (feed_ord % 20) || '.example' AS key) FROM ({V.FEED_ENTRIES}) AS e WHERE ts > 0) JOIN ({RANKED}) AS b USING (key)"""
 
 
-def _feed_posts(spark, d):
-    ranked = _ranked(spark, d).select("key", "blog_id", "source", "kind", "topics", "hidden")
-    return posts.feed_posts(_entries_of_blogs(spark, d), ranked, V.AS_OF)
+def _feed_posts(spark, d, ranked):
+    return posts.feed_posts(_entries_of_blogs(spark, d), ranked.select("key", "blog_id", "source", "kind", "topics", "hidden"), V.AS_OF)
 
 
-def _index(spark, d):
-    return posts.build_posts(_story_posts(spark, d), _feed_posts(spark, d))
+def _index(spark, d, ranked):
+    return posts.build_posts(_story_posts(spark, d, ranked), _feed_posts(spark, d, ranked))
 
 
 INDEX = f"""SELECT *, CAST(row_number() OVER (ORDER BY part, day DESC, hn_id, canonical_url, title, blog_id) - 1 AS BIGINT) AS post_id
@@ -317,7 +325,7 @@ INDEX = f"""SELECT *, CAST(row_number() OVER (ORDER BY part, day DESC, hn_id, ca
 
 @query(STORY_POSTS)
 def story_posts(spark, d):
-    return _story_posts(spark, d)
+    return _story_posts(spark, d, _ranked(spark, d))
 
 
 @query(f"SELECT blog_id, n, h, s, tm, o, c, m, l, q FROM (SELECT blog_id, key AS n, home AS h, {IDX(K.SOURCE_SLUGS, 'source')} AS s, {MASK} AS tm, left(one_line, 110) AS o, n_stories AS c, median_points AS m, CAST(year(make_timestamp(last_seen * 1000000)) AS INTEGER) AS l, round({QUALITY}, 3) AS q FROM ({RANKED}))")
@@ -327,24 +335,40 @@ def blog_table(spark, d):
 
 @query(f"SELECT * EXCLUDE (part) FROM ({INDEX})")
 def all_posts(spark, d):
-    return _index(spark, d)
+    return _index(spark, d, _ranked(spark, d))
 
 
 @query(f"""SELECT hn_id, (CAST({K.DAY0} AS BIGINT) + day * CAST(86400 AS BIGINT)) * 1000 AS epoch_ms, kind_source & 7 AS kind, kind_source >> 3 AS source, topic_mask & 4095 AS topics,
  (topic_mask & {K.FLAG_FEED}) <> 0 AS from_feed, (topic_mask & {K.FLAG_KIND_RULE}) <> 0 AS rule_fired, (topic_mask & {K.FLAG_DEAD}) <> 0 AS dead FROM ({STORY_POSTS})""")
 def unpacked_posts(spark, d):
-    return posts.unpack_posts(_story_posts(spark, d)).select("hn_id", "epoch_ms", "kind", "source", "topics", "from_feed", "rule_fired", "dead")
+    return posts.unpack_posts(_story_posts(spark, d, _ranked(spark, d))).select("hn_id", "epoch_ms", "kind", "source", "topics", "from_feed", "rule_fired", "dead")
 
 
 @query(f"SELECT (SELECT count(*) FROM ({INDEX})) AS n_posts, (SELECT count(*) FROM ({INCLUDED})) AS n_blogs, (SELECT count(*) FROM documents) AS n_stories_scanned, {K.HIDDEN_MASK} AS hidden_source_mask")
 def index_meta(spark, d):
-    scanned = V.doc_stories(spark, d).agg(F.count(F.lit(1)).alias("n_stories_scanned"))
-    return posts.index_meta(_index(spark, d), blogs.blog_rows(_ranked(spark, d)), scanned, V.AS_OF).select("n_posts", "n_blogs", "n_stories_scanned", "hidden_source_mask")
-
-
-@query()
+    scanned, ranked = V.doc_stories(spark, d).agg(F.count(F.lit(1)).alias("n_stories_scanned")), _ranked(spark, d)
+    return posts.index_meta(_index(spark, d, ranked), blogs.blog_rows(ranked), scanned, V.AS_OF).select("n_posts", "n_blogs", "n_stories_scanned", "hidden_source_mask")
+
+
+_SHARE = lambda cond: f"coalesce(avg(CAST({cond} AS INTEGER)), 0)"
+_FEED = f"(topic_mask & {K.FLAG_FEED}) <> 0"
+# each check: its value over all posts, or as a query of its own, and when it is fine
+INDEX_RULES = {
+    "posts": ("count(*)", "value > 100"), "blank titles": ("count(*) FILTER (coalesce(trim(title), '') = '')", "value = 0"), "least story points": (f"min(points) FILTER (NOT {_FEED})", "value >= 25"),
+    "feed posts": (f"count(*) FILTER ({_FEED})", "value > 0"), "feed points": (f"coalesce(max(points) FILTER ({_FEED}), 0)", "value = 0"), "largest source": ("max(kind_source >> 3)", f"value < {len(K.SOURCES)}"),
+    "largest kind": ("max(kind_source & 7)", f"value < {len(K.KINDS)}"), "rule share": (_SHARE(f"(topic_mask & {K.FLAG_KIND_RULE}) <> 0"), "value BETWEEN 0.1 AND 0.6"), "no topic share": (_SHARE(f"(topic_mask & {K.TOPIC_BITS}) = 0"), "value < 0.05"),
+    "no id share": (_SHARE(f"hn_id = 0 AND NOT {_FEED}"), "value < 0.01"), "hidden share": (_SHARE(f"({K.HIDDEN_MASK} & (1 << (kind_source >> 3))) <> 0"), "value BETWEEN 0.1 AND 0.85"),
+    "blogs": ("(SELECT count(*) FROM b) + 0 * count(*)", "value > 5"), "orphan posts": ("count(*) FILTER (blog_id NOT IN (SELECT blog_id FROM b))", "value = 0"), "missing canaries": ("(SELECT 1 - count(*) FROM b WHERE key = 'src1.example') + 0 * count(*)", "value = 0"),
+}
+INDEX_CHECKS = f"WITH b AS MATERIALIZED ({RANKED}), p AS MATERIALIZED ({INDEX}) " + " UNION ALL ".join(
+    f"""SELECT '{name}' AS "check", coalesce({fine}, false) AS ok, round(value, 6) AS value FROM (SELECT CAST({value} AS DOUBLE) AS value FROM p)""" for name, (value, fine) in INDEX_RULES.items()
+)
+
+
+@query(INDEX_CHECKS)
 def index_checks(spark, d):
-    return checks.index_checks(_index(spark, d), blogs.blog_rows(_ranked(spark, d)), 100, 5, ["src1.example"])
+    ranked = _ranked(spark, d)
+    return checks.index_checks(_index(spark, d, ranked), blogs.blog_rows(ranked), 100, 5, ["src1.example"])
 
 
 # --- feeds ----------------------------------------------------------------------------
@@ -461,7 +485,15 @@ def pinned_blog(spark, d):
     return search.blog_posts(_doc_posts(spark, d), 3).select("post_id", "rank", "page_pos")
 
 
-@query()
+# "the of", both terms in order and spelt exactly: terms of three letters or less allow no slip
+STRICT = f"""SELECT *, CAST(row_number() OVER (ORDER BY tier, score DESC, post_id) AS INTEGER) AS rank FROM (
+  SELECT *, CASE WHEN place <= 200 THEN 0 WHEN place <= 1000 THEN 1 ELSE 2 END AS tier FROM (
+  SELECT *, row_number() OVER (ORDER BY words DESC, length(title), begins, title, post_id) AS place FROM (
+  SELECT *, CAST(regexp_matches(title, '(?i)(^|\\W)the(\\W|$)') AS INTEGER) + CAST(regexp_matches(title, '(?i)(^|\\W)of(\\W|$)') AS INTEGER) AS words, length(regexp_extract(title, '(?i)^(.*?)the.*of', 1)) AS begins
+  FROM ({DOC_POSTS}) WHERE regexp_matches(title, '(?i)the.*of') ORDER BY score DESC, post_id LIMIT 3000)))"""
+
+
+@query(f"SELECT post_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY blog_id ORDER BY rank) > 3 AS over_cap FROM ({STRICT})) ORDER BY over_cap, rank LIMIT 40")
 def search_all_terms(spark, d):
     return search.search_posts(_doc_posts(spark, d), "the of").select("post_id", "rank")
 
@@ -483,11 +515,26 @@ def search_many_queries(spark, d):
     return search.search_many(_doc_posts(spark, d), V.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
 
 
-@query()
+BLOGS = f"SELECT blog_id, key AS n, left(coalesce(one_line, ''), 110) AS o, {IDX(K.SOURCE_SLUGS, 'source')} AS s, {MASK} AS tm, median_points AS m, CAST(year(make_timestamp(last_seen * 1000000)) AS INTEGER) AS l, round({QUALITY}, 3) AS q FROM ({RANKED})"
+
+
+@query(f"SELECT blog_id, n FROM ({BLOGS}) WHERE regexp_matches(n || ' ' || o, '(?i)src') ORDER BY q DESC, blog_id LIMIT 40")
 def search_blogs(spark, d):
     return search.search_blogs(blogs.blog_rows(_ranked(spark, d)), "src", hide=False).select("blog_id", "n")
 
 
+def _browse_blogs(mode: str, order: str) -> None:
+    def run(spark, d):
+        return search.search_blogs(blogs.blog_rows(_ranked(spark, d)), "", topic_mask=0b10101, mode=mode, limit=5).select("blog_id", "n")
+
+    run.__name__ = f"blogs_by_{mode}"
+    query(f"SELECT blog_id, n FROM ({BLOGS}) WHERE (tm & 21) <> 0 AND ({K.HIDDEN_MASK} & (1 << s)) = 0 ORDER BY {order}, blog_id LIMIT 5")(run)
+
+
+for _mode, _order in {"relevance": "q DESC", "points": "m DESC", "date": "l DESC", "oldest": "l"}.items():
+    _browse_blogs(_mode, _order)
+
+
 # --- batches and links ----------------------------------------------------------------
 
 NUMBERED = f"SELECT *, row_number() OVER (ORDER BY key) - 1 AS rn FROM ({CANDIDATES(V.LINE_STORIES, 3)})"
@@ -562,15 +609,72 @@ def final_urls(spark, d):
     return _links(spark, d).select("i", urls.final_url(F.col("url"), moved).alias("final"))
 
 
+@query(f"SELECT post_id, url, day FROM (SELECT p.post_id, rtrim(b.home, '/') || p.path AS url, p.day FROM ({INDEX}) AS p JOIN ({RANKED}) AS b USING (blog_id))")
+def loaded_index(spark, d):
+    """The index written to files and read back."""
+    path, scanned = _folder(spark, "index"), V.doc_stories(spark, d).agg(F.count(F.lit(1)).alias("n_stories_scanned"))
+    ranked = _ranked(spark, d)
+    rows, table = _index(spark, d, ranked), blogs.blog_rows(ranked)
+    writers.write_index(rows, table, posts.index_meta(rows, table, scanned, V.AS_OF), path)
+    return readers.load_index(spark, path).withColumnRenamed("i", "post_id")
+
+
+@query(f"""SELECT hn_id, CASE WHEN hn_id % 7 = 0 THEN 'https://web.archive.org/web/' ELSE '' END || rtrim(home, '/') || path AS url, CASE WHEN hn_id > 0 THEN 'https://news.ycombinator.com/item?id=' || hn_id END AS discussion
+FROM ({STORY_POSTS}) JOIN (SELECT blog_id, home FROM ({RANKED})) USING (blog_id)""")
+def post_links(spark, d):
+    """Addresses of posts, every seventh a dead one."""
+    ranked = _ranked(spark, d)
+    rows = _story_posts(spark, d, ranked).join(blogs.blog_rows(ranked).select("blog_id", "h"), "blog_id")
+    dead = rows.withColumn("topic_mask", F.when(F.col("hn_id") % 7 == 0, F.col("topic_mask").bitwiseOR(K.FLAG_DEAD)).otherwise(F.col("topic_mask")))
+    return posts.post_links(dead).select("hn_id", "url", "discussion")
+
+
+@query(f"SELECT \"objectID\", title, points, created_at_i FROM ({V.PAGE_STORIES})")
+def read_stories(spark, d):
+    """Stories written as JSON lines and read back, beside a file of broken lines."""
+    path = _folder(spark, "stories")
+    writers.write_stories(V.page_stories(spark, d).drop("seq"), f"{path}/good")
+    V.table(spark, d, "pages").select(F.concat(F.lit('{"objectID": '), F.col("page_id").cast("string")).alias("value")).write.text(f"{path}/broken")
+    return readers.read_stories(spark, f"{path}/*").select("objectID", "title", "points", "created_at_i")
+
+
+@query(f"SELECT count(*) AS n_blogs, count(*) FILTER (key IN (SELECT 'src' || (feed_ord % 20) || '.example' FROM ({V.FEED_ENTRIES}) WHERE ts > 0)) AS n_with_feed FROM ({CANDIDATES(V.DOC_STORIES, 5)})")
+def evidence_stats(spark, d):
+    return batches.evidence_stats(stories.aggregate_blogs(V.doc_stories(spark, d)), _feeds_of(spark, d))
+
+
+@query(f"SELECT page_id, CASE WHEN n > 2 AND list_contains({sorted(K.PUBLIC_SUFFIXES)}, array_to_string(labels[n - 1 : n], '.')) THEN array_to_string(labels[n - 2 : n], '.') ELSE array_to_string(labels[greatest(n - 1, 1) : n], '.') END AS domain FROM (SELECT page_id, string_split({HOST}, '.') AS labels, len(string_split({HOST}, '.')) AS n FROM pages)")
+def registrable_domains(spark, d):
+    return V.table(spark, d, "pages").select("page_id", urls.registrable_domain(urls.host_of(F.col("url"))).alias("domain"))
+
+
+@query(f"SELECT DISTINCT key FROM ({EXPECTED}) WHERE key NOT IN (SELECT key FROM ({GIVEN}))")
+def missing_keys(spark, d):
+    return checks.missing_keys(_given(spark, d), _expected(spark, d)).select("key").distinct()
+
+
+@query(f"SELECT DISTINCT key FROM ({GIVEN}) WHERE key NOT IN (SELECT key FROM ({EXPECTED}) WHERE substr(key, 9) <> '5')")
+def unexpected_keys(spark, d):
+    """Labels against the expected keys that don't end in 5."""
+    return checks.unexpected_keys(_given(spark, d), _expected(spark, d).filter(~F.col("key").endswith("5"))).select("key").distinct()
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS published, CASE WHEN event_id % 3 = 0 THEN 'Timeout' WHEN event_id % 3 = 1 THEN 'no-feed' WHEN event_id % 5 = 0 THEN 'empty' END AS error FROM events""")
+def feed_outcomes(spark, d):
+    """Dates in the forms that feeds give them, and what became of each fetch."""
+    e, ts = F.col("event_id"), F.col("ts").cast("timestamp")
+    rfc, iso = F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss 'GMT'"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    published, updated = F.when(e % 5 == 1, "soon").when(e % 5 > 2, rfc), F.when((e % 5).isin(1, 2), iso)
+    outcome = scoring.feed_error(F.when(e % 3 != 1, "https://x.example/feed"), F.when(e % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x"))), F.when(e % 3 == 0, "Timeout"))
+    return V.table(spark, d, "events").select("event_id", scoring.feed_date(published, updated).alias("published"), outcome.alias("error"))
+
+
 @query("SELECT CAST(event_id AS VARCHAR) AS \"objectID\", CAST(floor(epoch(ts)) AS BIGINT) AS created_at_i FROM events WHERE event_id % 5 <> 2")
 def ingest_stream(spark, d):
     """Events as story files, some rows twice and some without a time, taken in incrementally."""
-    import uuid
-
     from pubweave.streaming.ingest import ingest_stream as ingest
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"/tmp/pubweave-{os.getpid()}"
-    base = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    base = _folder(spark, "ingest")
     events = V.table(spark, d, "events").select(F.col("event_id").cast("string").alias("objectID"), "event_type", F.when(F.col("event_id") % 5 != 2, F.unix_timestamp("ts")).alias("created_at_i"))
     rows = events.select("objectID", F.col("event_type").alias("title"), F.lit("https://x.example/").alias("url"), F.lit(30).alias("points"), F.lit(0).alias("num_comments"), F.lit("a").alias("author"), "created_at_i")
     rows.write.json(f"{base}/in/first")
