@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubweave.llm.common import checkpointed, components, small_batches
+from pubweave.llm.neardedup import drop_near_duplicates  # noqa: F401  the pipeline's stage, of other parameters
 
 #: Fingerprints of at most this many differing bits are linked.
 RADIUS = 3
@@ -222,10 +223,3 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     parts = rooted.join(whole, "root").select("fp", "component_id")
     return rows.join(parts, "fp").select(F.col("_sh_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stand for their component, with all their columns: those whose id is
-    the component's smallest. Rows with a null id stay."""
-    spare = near_duplicates(df, id_col, text_col).filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_sh_id")).distinct()
-    return df.join(spare, df[id_col] == spare["_sh_id"], "left_anti")
