@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a run of anything but the six ASCII white-space characters.
@@ -40,6 +40,28 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def text_key(text_col: str) -> Column:
+    """A 64-bit hash that stands for the text; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def without_repeats(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One of the rows that have both id and text in common, null ids too. The tie between
+    rows that differ in other columns is broken by a hash of the row, so not by order.
+
+    Only rows repeated by count are numbered, and all but the first go before the shuffle.
+    """
+    keyed = df.withColumn("_wr_id", F.col(id_col).cast("long")).withColumn("_wr_text", text_key(text_col))
+    again = checkpointed(keyed.groupBy("_wr_id", "_wr_text").count().filter("count > 1").select(F.col("_wr_id").alias("_wr_i"), F.col("_wr_text").alias("_wr_t")))
+    if again.isEmpty():
+        return df
+    same = F.col("_wr_id").eqNullSafe(F.col("_wr_i")) & (F.col("_wr_text") == F.col("_wr_t"))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    order = Window.partitionBy("_wr_id", F.coalesce(F.col(text_col), F.lit(""))).orderBy(F.xxhash64(F.to_json(F.struct(*columns))))
+    one = keyed.join(again, same, "left_semi").withColumn("_wr_at", F.row_number().over(order)).filter("_wr_at = 1")
+    return keyed.join(again, same, "left_anti").select(*columns).union(one.select(*columns))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges (a, b): rows (node, root), root
     being the smallest node reachable. Nodes without edges have no row.

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import small_batches
+from pubweave.llm.common import small_batches, without_repeats
 
 _DIGEST, _KEEP, _N = "_xd_digest", "_xd_keep", "_xd_n"
 
@@ -172,8 +172,10 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that ``exact_duplicates`` keeps, with all their columns."""
+    """One row per distinct text, with all its columns: of the rows that ``exact_duplicates``
+    keeps, those repeated under one id (or none) count once."""
     small_batches(df.sparkSession)
+    df = without_repeats(df, id_col, text_col)
     groups = copy_groups(df, id_col, text_col).select(_DIGEST, _KEEP)
     rows = df.withColumn(_DIGEST, digest_of(text_col))
     same = (rows[_DIGEST] == groups[_DIGEST]) & F.col(id_col).cast("long").eqNullSafe(groups[_KEEP])
