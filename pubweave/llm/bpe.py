@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import small_batches
+from pubweave.llm.common import runs, slices
 
 #: Unicode white space, as the tokenizer file's pre-tokenizer has it.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -212,26 +212,13 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def _runs(texts: list, most: int = 1 << 20) -> Iterator[list]:
-    """Consecutive texts of about a million characters together."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t or "")
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
 def encode(text: Column, path: str) -> Column:
     """array<int>: the ids of a whole text; null counts as empty, and gives no ids."""
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
         own, out = tokenizer(path), []
-        for run in _runs(texts.tolist()):
+        for run in runs(texts.tolist()):
             found, sizes = own.encode_batch(run)
             out += np.split(found, np.cumsum(sizes)[:-1])
         return pd.Series(out, dtype=object)
@@ -255,13 +242,12 @@ def token_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     decoded_sha256 (of the text that the ids decode to). Null text counts as empty. Ids
     may repeat or be null; an empty table gives no rows; other columns are ignored.
     """
-    small_batches(df.sparkSession)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids_sha, text_sha = [], [], []
-            for run in _runs(batch.column(1).to_pylist()):
+            for run in runs(batch.column(1).to_pylist()):
                 ids, sizes = own.encode_batch(run)
                 for part in np.split(ids, np.cumsum(sizes)[:-1]):
                     counts.append(len(part))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,14 +15,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a
-    temporary one of our own where that is unset (local runs and tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a
+    local session gets a temporary folder; on a cluster it is an error, as executors would
+    write to disks of their own."""
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="spark-checkpoint-")
     if not sc.getCheckpointDir():
-        path = path or tempfile.mkdtemp(prefix="spark-checkpoint-")
         sc.setCheckpointDir(path)
-    return (path or sc.getCheckpointDir()).rstrip("/")
+    return path.rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -28,16 +34,50 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared folder as Parquet and read back: later reads take only
+    the columns they need, and its size on disk tells Spark whether it may be broadcast."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes what a run has written and doesn't need any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The frame, written to the shared folder, so that a lost executor costs a read."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bounds the Arrow batches that carry whole texts to Python workers."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, without a copy. An Arrow batch is bounded by Spark in
+    bytes; its Python objects take more, so only a slice at a time is turned into them."""
+    for batch in batches:
+        for k in range(0, max(1, len(batch)), rows):
+            yield batch.slice(k, rows)
+
+
+def runs(texts: list, most: int = 1 << 20) -> Iterator[list]:
+    """Consecutive texts of about a million characters together, or a longer one alone."""
+    run, size = [], 0
+    for t in texts:
+        if run and size + len(t or "") > most:
+            yield run
+            run, size = [], 0
+        run.append(t)
+        size += len(t or "")
+    if run:
+        yield run
+
+
+def let(value: Column, use) -> Column:
+    """use(value), with the value computed once per row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def text_key(text_col: str) -> Column:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import small_batches, without_repeats
+from pubweave.llm.common import slices, without_repeats
 
 _DIGEST, _KEEP, _N = "_xd_digest", "_xd_keep", "_xd_n"
 
@@ -118,7 +118,7 @@ def _merge(limit: int, by_digest: bool):
             return pa.record_batch([pa.array([d for d, _ in rows], pa.binary()), pa.array([v[0] for _, v in rows], pa.int64()), pa.array([v[1] for _, v in rows], pa.int64())], [_DIGEST, _KEEP, _N])
 
         last = None
-        for batch in batches:
+        for batch in slices(batches, 4096):
             for digest, keep, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if index.size >= limit and (not by_digest or digest != last):
                     yield out()
@@ -174,7 +174,6 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct text, with all its columns: of the rows that ``exact_duplicates``
     keeps, those repeated under one id (or none) count once."""
-    small_batches(df.sparkSession)
     df = without_repeats(df, id_col, text_col)
     groups = copy_groups(df, id_col, text_col).select(_DIGEST, _KEEP)
     rows = df.withColumn(_DIGEST, digest_of(text_col))

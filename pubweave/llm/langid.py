@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import small_batches
 
 #: Bits of a symbol in a packed n-gram; the rarest letters of larger alphabets share one symbol.
 BITS = 12
@@ -203,7 +202,6 @@ def fit(df: DataFrame, params: Params | None = None, id_col: str = "doc_id", tex
     language, which the sample bounds. Rows without text or language are left out.
     """
     p = params or Params()
-    small_batches(df.sparkSession)
     rows = df.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     totals = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(totals)
@@ -263,7 +261,6 @@ def identify(df: DataFrame, models: Models, params: Params | None = None, text_c
     input named like an added one are replaced; an empty table gives no rows.
     """
     p = params or Params()
-    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(models)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean, nats_per_symbol double")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import small_batches
+from pubweave.llm.common import slices
 
 #: The classes of ASCII characters; other characters are letters or symbols of their own.
 PUNCTUATION, SYMBOLS = "!\"'(),-.:;?", "#*$%&|<>"
@@ -99,7 +99,6 @@ def references(df: DataFrame, params: Params | None = None, text_col: str = "tex
     word. The driver gets ``common`` words and the classes of each language.
     """
     p = params or Params()
-    small_batches(df.sparkSession)
 
     def counts(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = defaultdict(Counter)
@@ -111,7 +110,7 @@ def references(df: DataFrame, params: Params | None = None, text_col: str = "tex
             classes.clear()
             return pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64())], ["lang", "item", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = (text or "").encode("utf-8", "replace").lower().split()
                 words[lang].update(own)
@@ -157,10 +156,9 @@ def judge(df: DataFrame, params: Params | None = None, id_col: str = "doc_id", t
     """
     p = params or Params()
     usual = references(df, p, text_col, lang_col)
-    small_batches(df.sparkSession)
 
     def verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for lang, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 base = base_counts(text)

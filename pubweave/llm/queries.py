@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubweave.llm import bpe, chat, exactdedup, langid, licenses, mixing, quality, simhash, urlfilter, warc
-from pubweave.llm.common import shared_path
+from pubweave.llm.common import remove, shared_path, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,10 +63,17 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), default_vocabulary())
 
 
+#: Small enough that about a fifth of the pages are written in several segments, and most in several chunks.
+SEGMENT_BYTES, CHUNK_BYTES = 4 << 10, 1 << 10
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives are written, read back into a narrow table, and removed."""
     path = shared_path(spark, "warc")
-    warc.write_archives(_table(spark, sf_dir, "pages"), path)
-    return warc.page_records(warc.reassemble(warc.read_archives(spark, path))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, segment_bytes=SEGMENT_BYTES, chunk_bytes=CHUNK_BYTES)
+    stored = written(warc.page_records(warc.reassemble(warc.read_archives(spark, path))), "warc-pages")
+    remove(spark, path)
+    return stored.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments")
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,18 +170,23 @@ SELECT conv_id AS pair_id, any_value(n_prompt) AS n_prompt_turns,
   coalesce(string_agg((ends - length(text) - 1) || '-' || ends, ',' ORDER BY pos) FILTER (part = 'r' AND role = 'assistant'), '') AS rejected_spans
 FROM e GROUP BY conv_id"""
 
-SQL["op7_warc"] = """
+# a response's block: two header lines, the framing line, chunks with their lengths in hexadecimal, the closing chunk
+SQL["op7_warc"] = f"""
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
 ), f AS (
-  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM p
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first, payload_bytes % {CHUNK_BYTES} AS tail FROM p
+), b AS (
+  SELECT *, length('HTTP/1.1 200 OK') + length('Content-Type: text/html; charset=utf-8') + length('Transfer-Encoding: chunked') + 8 + payload_bytes
+    + (payload_bytes // {CHUNK_BYTES}) * (length(printf('%x', {CHUNK_BYTES})) + 4) + CASE WHEN tail > 0 THEN length(printf('%x', tail)) + 4 ELSE 0 END + 5 AS block FROM f
 )
 SELECT page_id, payload_bytes,
   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST(1 + ((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to
-FROM f"""
+  CASE WHEN page_id <> first THEN first END AS refers_to,
+  CAST(CASE WHEN page_id = first THEN (block + {SEGMENT_BYTES - 1}) // {SEGMENT_BYTES} ELSE 1 END AS INTEGER) AS segments
+FROM b"""
 
 SQL["op8_licenses"] = licenses.oracle()
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import checkpointed, components, small_batches
+from pubweave.llm.common import checkpointed, components
 from pubweave.llm.neardedup import drop_near_duplicates  # noqa: F401  the pipeline's stage, of other parameters
 
 #: Fingerprints of at most this many differing bits are linked.
@@ -174,10 +174,8 @@ def _walk_lists(masks: list[int], limit: int | None):
 
 def _walked(lists: DataFrame, masks: list[int], limit: int | None) -> DataFrame:
     """Written out, so that the links and the members passed on come from one walk."""
-    small_batches(lists.sparkSession, 10_000)  # of numbers, not of texts
     found = lists.repartition("q", "key").sortWithinPartitions("q", "key", "fp").mapInArrow(_walk_lists(masks, limit), "q long, a long, b long")
     found = checkpointed(found)
-    small_batches(lists.sparkSession)
     return found
 
 
@@ -215,7 +213,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Copies collapse to one fingerprint before any comparison. Null ids are ignored in the
     minimum, and are given a component all the same. An empty table gives no rows.
     """
-    small_batches(df.sparkSession)
     rows = checkpointed(df.select(F.col(id_col).alias("_sh_id"), simhash(F.col(text_col)).alias("fp")))
     distinct = rows.groupBy("fp").agg(F.min("_sh_id").alias("least"))
     roots = components(fingerprint_links(distinct.select("fp")))
