@@ -11,12 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pubweave.llm.common import runs, slices
+from pubweave.llm.ngrams import Tables, counted
 
 #: Bits of a symbol in a packed n-gram; the rarest letters of larger alphabets share one symbol.
 BITS = 12
 OTHER, GAP = 0, 1
-#: An odd multiplier: hashing packed n-grams with it is one to one.
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -24,8 +24,9 @@ class Params:
     order: int = 4
     #: Rows that the models are fitted on, by language, in expectation; a fifth of them calibrates.
     docs_per_lang: int = 1500
-    #: Share of calibration texts whose cross-entropy the rejection level must admit.
-    admit: float = 0.999
+    #: Share of calibration texts whose cross-entropy the rejection level must admit. A few
+    #: texts of a wrong label can't move it, and those that another language fits better don't count.
+    admit: float = 0.99
     #: Nats per symbol above that level, and nats for a single symbol, which fade with the root of the length.
     slack: float = 0.6
     spread: float = 6.0
@@ -54,134 +55,45 @@ def letters_of(text: str) -> np.ndarray:
     return out[~(gap & np.r_[False, gap[:-1]])] if len(out) else out
 
 
-def packed(symbols: np.ndarray, order: int) -> np.ndarray:
-    """The n-gram that ends at each symbol from the order-th on, in BITS bits a symbol."""
-    n = len(symbols) - order + 1
-    code = np.zeros(max(n, 0), np.uint64)
-    for k in range(order if n > 0 else 0):
-        code = code << np.uint64(BITS) | symbols[k : k + n].astype(np.uint64)
-    return code
-
-
-def _spread(symbols: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Texts one after the other, each behind gaps that no n-gram of the text before
-    reaches over, and the number of symbols of each."""
-    pad = np.full(order - 1, GAP, np.uint16)
-    return np.concatenate([x for s in symbols for x in (pad, s)]), np.fromiter(map(len, symbols), np.int64, len(symbols))
+#: Candidates for the sharpness of scores.
+SHARPNESS = (0.25, 0.5, 1, 2, 4, 8, 16)
 
 
 class Models:
-    """All languages' models over shared, sorted arrays of n-gram hashes.
+    """All languages' Kneser-Ney models, and what calibration has set: the rejection level of
+    each language, and how sharply scores follow the entropies."""
 
-    For each order: ``hashes``, and by n-gram and language the log of the interpolated
-    probability; ``contexts``, and by context and language the log of the weight left to
-    the lower order (0 where the language hasn't seen the context).
-    """
-
-    def __init__(self, langs: list[str], alphabet: np.ndarray, counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int):
+    def __init__(self, langs: list[str], alphabet: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], order: int):
         self.langs, self.order, self.alphabet = langs, order, np.sort(alphabet)
-        size = len(self.alphabet) + 2
-        mask = lambda k: np.uint64((1 << (BITS * k)) - 1)
-        table: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for lang in langs:
-            grams, n = counts[lang]
-            levels = [(grams, n.astype(np.float64))]
-            for k in range(order - 1, 0, -1):  # an n-gram's continuation count: how many kinds of longer n-grams end in it
-                own, kinds = np.unique(levels[-1][0] & mask(k), return_counts=True)
-                levels.append((own, kinds.astype(np.float64)))
-            table[lang] = levels[::-1]
-        self.hashes, self.logp, self.contexts, self.logw = [], [], [], []
-        lower = None
-        for k in range(1, order + 1 if langs else 1):
-            every = [table[lang][k - 1][0] for lang in langs]
-            union = np.arange(size, dtype=np.uint64) if k == 1 else np.unique(np.concatenate(every))
-            over = union >> np.uint64(BITS)
-            contexts = np.unique(over)
-            p, w = np.zeros((len(union), len(langs))), np.ones((len(contexts), len(langs)))
-            for i, lang in enumerate(langs):
-                grams, n = table[lang][k - 1]
-                once, twice = (n == 1).sum(), (n == 2).sum()
-                discount = once / (once + 2 * twice) if once and twice else 0.5
-                own, at = np.unique(grams >> np.uint64(BITS), return_inverse=True)
-                total, kinds = np.bincount(at, n), np.bincount(at)
-                if len(grams):
-                    p[np.searchsorted(union, grams), i] = np.maximum(n - discount, 0) / total[at]
-                    w[np.searchsorted(contexts, own), i] = discount * kinds / total
-            rest = 1 / size if lower is None else lower[np.searchsorted(below, union & mask(k - 1))]
-            p += w[np.searchsorted(contexts, over)] * rest
-            lower, below = p, union
-            self._store(self.hashes, self.logp, union, p)
-            self._store(self.contexts, self.logw, contexts, w)
+        self.tables = Tables(counts, order, BITS, len(self.alphabet) + 2, kneser_ney=True)
         self.level = np.full(len(langs), np.inf)
         self.sharpness = 1.0
 
-    @staticmethod
-    def _store(keys: list, values: list, grams: np.ndarray, p: np.ndarray) -> None:
-        h = grams * MIX
-        by = np.argsort(h)
-        keys.append(h[by])
-        values.append(np.log(p[by]).astype(np.float32))
-
     def symbols(self, text: str) -> np.ndarray:
         found = letters_of(text)
         at = np.minimum(np.searchsorted(self.alphabet, found), max(len(self.alphabet) - 1, 0))
         known = self.alphabet[at] == found if len(self.alphabet) else np.zeros(len(found), bool)
         return np.where(found == 32, GAP, np.where(known, at + 2, OTHER)).astype(np.uint16)
 
-    def _logp(self, grams: np.ndarray, k: int) -> np.ndarray:
-        """By n-gram of order k and language; unseen n-grams fall to the lower order."""
-        h = grams * MIX
-        keys = self.hashes[k - 1]
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        out = self.logp[k - 1][at]
-        lost = np.flatnonzero(keys[at] != h)
-        if len(lost):
-            g = grams[lost]
-            context, keys = (g >> np.uint64(BITS)) * MIX, self.contexts[k - 1]
-            at = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
-            weight = np.where((keys[at] == context)[:, None], self.logw[k - 1][at], 0)
-            out[lost] = weight + self._logp(g & np.uint64((1 << (BITS * (k - 1))) - 1), k - 1)
-        return out
-
-    def entropies(self, symbols: list[np.ndarray], block: int = 1 << 18) -> np.ndarray:
+    def entropies(self, symbols: list[np.ndarray]) -> np.ndarray:
         """Nats per symbol, by text and language."""
-        out = np.zeros((len(symbols), len(self.langs)))
-        flat, sizes = _spread(symbols, self.order)
-        grams = packed(flat, self.order)
-        starts = np.cumsum(sizes + self.order - 1) - (sizes + self.order - 1)
-        for lo in range(0, len(grams), block):  # long texts go through several blocks
-            hi = min(lo + block, len(grams))
-            sums = np.vstack([np.zeros((1, len(self.langs))), np.cumsum(self._logp(grams[lo:hi], self.order), axis=0, dtype=np.float64)])
-            a, b = np.clip(starts, lo, hi) - lo, np.clip(starts + sizes, lo, hi) - lo
-            out -= sums[b] - sums[a]
-        return out / np.maximum(sizes, 1)[:, None]
-
-    def calibrate(self, symbols: list[np.ndarray], truth: np.ndarray, p: Params) -> None:
-        """The rejection level of each language, and how sharply scores follow the entropies."""
-        if not len(truth):
-            return
-        ce, sizes = self.entropies(symbols), np.fromiter(map(len, symbols), np.int64, len(symbols))
-        own = ce[np.arange(len(truth)), truth] - p.spread / np.sqrt(np.maximum(sizes, 1))
-        for i in range(len(self.langs)):
-            if (truth == i).any():
-                self.level[i] = np.quantile(own[truth == i], p.admit) + p.slack
-        loss = {}
-        for t in (0.25, 0.5, 1, 2, 4, 8, 16):
-            z = -ce * np.sqrt(sizes)[:, None] * t
-            z -= z.max(1, keepdims=True)
-            loss[t] = -(z[np.arange(len(truth)), truth] - np.log(np.exp(z).sum(1))).mean()
-        self.sharpness = min(loss, key=loss.get)
+        return self.tables.entropies(symbols, GAP)
+
+    def scores(self, ce: np.ndarray, sizes: np.ndarray, sharpness: float) -> np.ndarray:
+        """Shares of the languages by text, of evidence that grows with the root of the length."""
+        z = -ce * np.sqrt(sizes)[:, None] * sharpness
+        z = np.exp(z - z.max(1, keepdims=True))
+        return z / z.sum(1, keepdims=True)
 
     def predict(self, texts: list[str | None], p: Params) -> list[tuple[str, float, bool, float | None]]:
         """(language, score, rejected, nats per symbol) of each text."""
-        symbols = [self.symbols(t or "") for t in texts]
-        sizes = np.fromiter(map(len, symbols), np.int64, len(symbols))
         if not self.langs:
             return [("und", 0.0, True, None)] * len(texts)
+        symbols = [self.symbols(t or "") for t in texts]
+        sizes = np.fromiter(map(len, symbols), np.int64, len(symbols))
         ce = self.entropies(symbols)
         best = ce.argmin(1)
-        z = -ce * np.sqrt(sizes)[:, None] * self.sharpness
-        score = 1 / np.exp(z - z.max(1, keepdims=True)).sum(1)
+        score = self.scores(ce, sizes, self.sharpness).max(1)
         low = ce[np.arange(len(best)), best]
         rejected = low > self.level[best] + p.spread / np.sqrt(np.maximum(sizes, 1))
         none = np.array([not (s != GAP).any() for s in symbols], bool)
@@ -198,58 +110,73 @@ def fit(df: DataFrame, params: Params | None = None, id_col: str = "doc_id", tex
 
     ``docs_per_lang`` bounds the sample: rows are chosen by a hash of the id, at a rate
     that the number of labelled rows of their language sets, and whole texts are counted.
-    N-grams are counted in Spark; the driver gets one row per kind of n-gram and
-    language, which the sample bounds. Rows without text or language are left out.
+    N-grams are counted and calibration texts scored in Spark; the driver gets one row per
+    kind of n-gram and language, and three numbers per calibration text, which the sample
+    bounds. Rows without text or language are left out.
     """
     p = params or Params()
     rows = df.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     totals = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
-        return Models([], np.empty(0, np.int32), {}, p.order)
+        return Models([], np.empty(0, np.int32), [], p.order)
     hashed = lambda salt: F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(salt)), F.lit(1_000_000))
     rate = F.element_at(F.create_map(*[x for k, n in totals.items() for x in (F.lit(k), F.lit(min(1e6, 1e6 * p.docs_per_lang / n)))]), F.col(lang_col))
     sample = rows.filter(hashed("sample") < rate).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (hashed("part") < 200_000).alias("later"))
 
     def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [letters_of(t) for t in batch.column(0).to_pylist()]
             cp, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int32), np.empty(0, np.int64))
             yield pa.record_batch([pa.array(cp.astype(np.int64)), pa.array(n.astype(np.int64))], ["cp", "n"])
 
     top = sample.select("text").mapInArrow(letters, "cp long, n long").groupBy("cp").agg(F.sum("n").alias("n")).filter("cp <> 32").orderBy(F.desc("n"), "cp").limit((1 << BITS) - 3).collect()
-    models = Models([], np.array([r["cp"] for r in top], np.int32), {}, p.order)
+    alphabet = Models([], np.array([r["cp"] for r in top], np.int32), [], p.order)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             langs_in, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in set(langs_in):
-                flat, sizes = _spread([models.symbols(t) for t, k in zip(texts, langs_in, strict=True) if k == lang], p.order)
-                codes, n = np.unique(_inside(packed(flat, p.order), sizes, p.order), return_counts=True)
+            for lang in sorted(set(langs_in)):
+                codes, n = counted([alphabet.symbols(t) for t, k in zip(texts, langs_in, strict=True) if k == lang], p.order, BITS, GAP)
                 yield pa.record_batch([pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
-    counted = sample.filter("not later").select("lang", "text").mapInArrow(grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    got = counted.toArrow()
+    got = sample.filter("not later").select("lang", "text").mapInArrow(grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     lang_of, gram, n = np.array(got["lang"].to_pylist(), object), got["gram"].to_numpy().view(np.uint64), got["n"].to_numpy()
-    counts = {}
+    counts = []
     for lang in langs:
         own = np.flatnonzero(lang_of == lang)
         own = own[np.argsort(gram[own])]
-        counts[lang] = (gram[own], n[own])
-    models = Models(langs, models.alphabet, counts, p.order)
-    later = sample.filter("later").select("lang", "text").toArrow()
-    symbols = [models.symbols(t) for t in later["text"].to_pylist()]
-    models.calibrate(symbols, np.array([langs.index(x) for x in later["lang"].to_pylist()], np.int64), p)
+        counts.append((gram[own], n[own]))
+    models = Models(langs, alphabet.alphabet, counts, p.order)
+    _calibrate(sample.filter("later").select("lang", "text"), models, p)
     return models
 
 
-def _inside(grams: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
-    """The n-grams that end at a text's own symbols."""
-    starts = np.cumsum(sizes + order - 1) - (sizes + order - 1)
-    keep = np.zeros(len(grams) + 1, np.int64)
-    np.add.at(keep, starts, 1)
-    np.add.at(keep, np.minimum(starts + sizes, len(grams)), -1)
-    return grams[np.cumsum(keep[:-1]) > 0]
+def _calibrate(later: DataFrame, models: Models, p: Params) -> None:
+    """Sets levels and sharpness from labelled texts that the models haven't seen."""
+    shared = later.sparkSession.sparkContext.broadcast(models)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        place = {k: i for i, k in enumerate(m.langs)}
+        for batch in slices(batches):
+            truth = np.array([place[k] for k in batch.column(0).to_pylist()], np.int64)
+            symbols = [m.symbols(t) for t in batch.column(1).to_pylist()]
+            sizes, ce, row = np.fromiter(map(len, symbols), np.int64, len(symbols)), m.entropies(symbols), np.arange(len(truth))
+            own = ce[row, truth] - p.spread / np.sqrt(np.maximum(sizes, 1))
+            loss = [(-np.log(np.maximum(m.scores(ce, sizes, t)[row, truth], 1e-300))).tolist() for t in SHARPNESS]
+            columns = [batch.column(0), pa.array(own), pa.array(ce.argmin(1) == truth), pa.array(list(zip(*loss, strict=True)), pa.list_(pa.float64()))]
+            yield pa.record_batch(columns, ["lang", "own", "first", "loss"])
+
+    found = later.mapInArrow(measured, "lang string, own double, first boolean, loss array<double>").collect()
+    shared.unpersist()
+    if not found:
+        return
+    for i, lang in enumerate(models.langs):
+        own = [r["own"] for r in found if r["lang"] == lang and r["first"]]
+        if own:
+            models.level[i] = np.quantile(own, p.admit) + p.slack
+    models.sharpness = SHARPNESS[int(np.mean([r["loss"] for r in found], 0).argmin())]
 
 
 def identify(df: DataFrame, models: Models, params: Params | None = None, text_col: str = "text") -> DataFrame:
@@ -267,16 +194,17 @@ def identify(df: DataFrame, models: Models, params: Params | None = None, text_c
     def predicted(texts):
         import pandas as pd
 
-        rows = shared.value.predict([None if t is None or t != t else t for t in texts], p)
+        rows = [r for run in runs([None if t is None or t != t else t for t in texts]) for r in shared.value.predict(run, p)]
         return pd.DataFrame(rows, columns=["lang_pred", "score", "rejected", "nats_per_symbol"])
 
     new = ["lang_pred", "score", "rejected", "nats_per_symbol"]
-    found = df.withColumn("_li", predicted(F.col(text_col)))
-    return found.select(*[F.col(f"`{c}`") for c in df.columns if c not in new], *[F.col(f"_li.{c}").alias(c) for c in new])
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in new]
+    found = df.select(F.struct(*kept).alias("row") if kept else F.lit(None).alias("row"), predicted(F.col(text_col)).alias("found"))
+    return found.select(*([F.col("row.*")] if kept else []), "found.*")
 
 
 def keep_identified(df: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose text isn't rejected, in the columns of the input."""
     models = fit(df, params, id_col, text_col, lang_col)
-    rows = identify(df.withColumn("_li_row", F.struct(*[F.col(f"`{c}`") for c in df.columns])).select("_li_row", F.col(text_col).alias("text")), models, params)
-    return rows.filter("not rejected").select(*[F.col(f"_li_row.`{c}`") for c in df.columns])
+    rows = identify(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(text_col).alias("text")), models, params)
+    return rows.filter("not rejected").select("row.*")

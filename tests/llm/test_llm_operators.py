@@ -197,15 +197,6 @@ def test_language_id(spark, docs, none):
     assert langid.keep_identified(none).count() == 0
 
 
-def test_model_is_a_distribution():
-    grams = langid.packed(np.array([1, 1, 1, 2, 3, 2, 4, 1, 2, 3, 3], np.uint16), 3)
-    codes, n = np.unique(grams, return_counts=True)
-    m = langid.Models(["x"], np.array([97, 98, 99], np.int32), {"x": (codes, n)}, 3)
-    for context in ((1, 1), (2, 3), (0, 0)):
-        every = np.array([context[0] << 24 | context[1] << 12 | s for s in range(5)], np.uint64)
-        assert np.exp(m._logp(every, 3)).sum() == pytest.approx(1, abs=1e-5)
-
-
 # --- quality
 
 
@@ -242,15 +233,6 @@ def test_url_filter(spark):
     assert tie.first()[0] == "block"
 
 
-def test_markov_model_is_a_distribution():
-    counts = {}
-    for g in urlfilter.grams_of(b"abcabd", 3):
-        for i in range(len(g)):
-            counts[g[i:]] = counts.get(g[i:], 0) + 1
-    m = urlfilter.MarkovModel(3, counts)
-    assert sum(np.exp(m.log(b"ab" + bytes([c]))) for c in range(256)) == pytest.approx(1, abs=0.01)
-
-
 # --- preference pairs
 
 
