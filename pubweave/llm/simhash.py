@@ -18,23 +18,38 @@ from pubweave.llm.neardedup import drop_near_duplicates  # noqa: F401  the pipel
 #: Fingerprints of at most this many differing bits are linked.
 RADIUS = 3
 #: Such a pair differs in at most three of its eight bytes, so it shares at least five.
-LEAST_SHARED = 8 - RADIUS
+BYTES, LEAST_SHARED = 8, 8 - RADIUS
+#: Longest posting list whose pairs are tallied; a longer one is split by another position.
+LONGEST = 1024
+_LOW, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
 
 
-def quadruples() -> list[tuple[int, ...]]:
-    """Fourteen sets of four byte positions, one of which lies within any five positions.
+def first_positions(depth: int) -> list[tuple[int, ...]]:
+    """The sets of byte positions that the first ``depth`` of any five shared positions make.
+    At depth 1 these are four positions (a pair that shares five bytes shares one of the first
+    four); each further position splits a list by another shared byte."""
+    return list(combinations(range(BYTES - LEAST_SHARED + depth), depth))
 
-    Halves of four positions each; a pair of positions in one half goes with the two
-    pairs of the matching that has the same number in the other half.
-    """
-    matchings = [((0, 1), (2, 3)), ((0, 2), (1, 3)), ((0, 3), (1, 2))]
-    crossed = [tuple(sorted([*p, q[0] + 4, q[1] + 4])) for m in matchings for p in m for q in m]
-    return [(0, 1, 2, 3), (4, 5, 6, 7), *crossed]
+
+def deeper(positions: tuple[int, ...]) -> list[tuple[int, ...]]:
+    """The sets that go one position further."""
+    return [(*positions, p) for p in range(positions[-1] + 1, BYTES - LEAST_SHARED + len(positions) + 1)]
+
+
+def _nibbles(positions: tuple[int, ...]) -> int:
+    """Byte positions as a set of half bytes, in sixteen bits: the number of a posting set."""
+    return sum(0b11 << 2 * p for p in positions)
 
 
-def _mask(positions: tuple[int, ...]) -> int:
-    """The bits of these byte positions, as a signed 64-bit number."""
-    bits = sum(0xFF << (8 * p) for p in positions)
+def _deepest(positions: tuple[int, ...]) -> list[int]:
+    """Below five bytes: of the six half bytes left, a pair shares three as only three bits may differ."""
+    left = [2 * p + h for p in range(BYTES) if p not in positions for h in (0, 1)]
+    return [_nibbles(positions) | sum(1 << h for h in three) for three in combinations(left, len(left) - RADIUS)]
+
+
+def _mask(number: int) -> int:
+    """The bits at a set's positions, as a signed 64-bit number."""
+    bits = sum(0xF << (4 * h) for h in range(2 * BYTES) if number >> h & 1)
     return bits - (1 << 64) if bits >> 63 else bits
 
 
@@ -68,43 +83,34 @@ def simhash(text: Column) -> Column:
     return found(text)
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Tally of shared positional bytes, then the exact distance of the pairs that reach it."""
+def shared_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many positional bytes of each pair are equal."""
     x = a ^ b
-    shared = sum(((x >> np.uint64(8 * p)) & np.uint64(0xFF)) == 0 for p in range(8))
-    return (shared >= LEAST_SHARED) & (np.bitwise_count(x) <= RADIUS)
-
+    return BYTES - np.bitwise_count(((x & _LOW) + _LOW | x) & _HIGH)
+
+
+def list_links(lists: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the linked pairs of posting lists; ``lists`` numbers each row's list,
+    whose rows stand together. All pairs of a list are tallied, those a step of k apart at
+    once over all lists; pairs that share enough bytes are verified by their bits."""
+    ends = np.searchsorted(lists, lists, "right")
+    i, step, found = np.arange(len(fps)), 1, [(np.empty(0, np.int64),) * 2]
+    while True:
+        i = i[i + step < ends[i]]
+        if not len(i):
+            break
+        near = i[shared_bytes(fps[i], fps[i + step]) >= LEAST_SHARED]
+        near = near[np.bitwise_count(fps[near] ^ fps[near + step]) <= RADIUS]
+        found.append((near, near + step))
+        step += 1
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
-def local_roots(fps: np.ndarray, free: int, pairwise: int = 4096) -> np.ndarray:
-    """For each of the distinct sorted fingerprints of one posting list, the index of
-    the smallest one that links within the list lead to.
 
-    Short lists are compared pair by pair in blocks. In a list longer than
-    ``pairwise`` each fingerprint looks up its neighbours instead: every change of up
-    to three of the ``free`` bits, so the work stays in proportion to the list.
-    """
-    m = len(fps)
-    sources, targets = [], []
-    if m <= pairwise:
-        for k in range(0, m, 512):
-            i, j = np.nonzero(_linked(fps[k : k + 512, None], fps[None, :]))
-            near = i + k < j
-            sources.append(i[near] + k)
-            targets.append(j[near])
-    else:
-        bits = [np.uint64(1 << p) for p in range(64) if free >> p & 1]
-        for size in range(1, RADIUS + 1):
-            for chosen in combinations(bits, size):
-                other = fps ^ np.bitwise_or.reduce(np.array(chosen))
-                at = np.minimum(np.searchsorted(fps, other), m - 1)
-                i = np.flatnonzero((fps[at] == other) & (other > fps))
-                sources.append(i)
-                targets.append(at[i])
-    i, j = np.concatenate(sources), np.concatenate(targets)
-    root = np.arange(m)
+def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n places, the first one that the links (i, j) lead to."""
+    root = np.arange(n)
     while len(i):
-        low = np.minimum(root[i], root[j])
-        before = root.copy()
+        low, before = np.minimum(root[i], root[j]), root.copy()
         np.minimum.at(root, i, low)
         np.minimum.at(root, j, low)
         root = root[root]
@@ -113,33 +119,22 @@ def local_roots(fps: np.ndarray, free: int, pairwise: int = 4096) -> np.ndarray:
     return root
 
 
-def _walk_lists(masks: list[int], limit: int | None):
-    """Posting lists arrive in order, over batch borders. Rows (q, a, b): links that keep a
-    list's connections, one per fingerprint at most, instead of all its pairs, with q null;
-    and, as (q, fp, fp), the members of lists longer than ``limit``, which are not held."""
-    most = np.inf if limit is None else limit
+def _walk_lists(longest: int | None):
+    """Posting lists (q, key, fp) arrive in order, over batch borders. Rows (q, a, b): links that
+    keep a list's connections, one per fingerprint at most, instead of all its pairs, with q
+    null; and, as (q, fp, fp), the members of longer lists, which are not held."""
+    most = np.inf if longest is None else longest
 
     def out(rows: np.ndarray, passed: bool = False) -> pa.RecordBatch:
         """Of whole lists, or of a part of a list that is passed on."""
-        cut = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
-        starts, ends = np.r_[0, cut], np.r_[cut, len(rows)]
-        sizes, fps = ends - starts, np.ascontiguousarray(rows[:, 2]).view(np.uint64)
-        long = np.repeat((sizes > most) | passed, sizes)
-        a, b = [fps[long]], [fps[long]]
-        if not passed:
-            two = starts[(sizes == 2) & (sizes <= most)]
-            two = two[_linked(fps[two], fps[two + 1])]
-            a.append(fps[two])
-            b.append(fps[two + 1])
-            more = (sizes > 2) & (sizes <= most)
-            for s, e in zip(starts[more].tolist(), ends[more].tolist(), strict=True):
-                own = np.sort(fps[s:e])
-                root = local_roots(own, ~masks[rows[s, 0]])
-                far = root != np.arange(len(own))
-                a.append(own[root[far]])
-                b.append(own[far])
-        a, b = np.concatenate(a), np.concatenate(b)
-        q = np.r_[rows[long, 0], np.zeros(len(a) - long.sum(), np.int64)]
+        number = np.r_[0, np.cumsum(np.any(rows[1:, :2] != rows[:-1, :2], axis=1))]
+        long = (np.bincount(number)[number] > most) | passed
+        fps = np.ascontiguousarray(rows[:, 2]).view(np.uint64)
+        own, lists = fps[~long], number[~long]
+        root = local_roots(len(own), *list_links(lists, own))
+        far = root != np.arange(len(own))
+        a, b = np.concatenate([fps[long], own[root[far]]]), np.concatenate([fps[long], own[far]])
+        q = np.r_[rows[long, 0], np.zeros(far.sum(), np.int64)]
         return pa.record_batch([pa.array(q, pa.int64(), mask=np.arange(len(a)) >= long.sum()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["q", "a", "b"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,37 +167,37 @@ def _walk_lists(masks: list[int], limit: int | None):
     return walk
 
 
-def _walked(lists: DataFrame, masks: list[int], limit: int | None) -> DataFrame:
-    """Written out, so that the links and the members passed on come from one walk."""
-    found = lists.repartition("q", "key").sortWithinPartitions("q", "key", "fp").mapInArrow(_walk_lists(masks, limit), "q long, a long, b long")
-    found = checkpointed(found)
-    return found
-
-
-def fingerprint_links(fps: DataFrame, fp_col: str = "fp", long_list: int = 65_536) -> DataFrame:
+def fingerprint_links(fps: DataFrame, fp_col: str = "fp", longest: int = LONGEST, depth: int | None = None) -> DataFrame:
     """Links (a, b) among distinct fingerprints that connect whatever lies within
     ``RADIUS`` bits of each other, directly or over further links.
 
-    The inverted index lists fingerprints by the bytes at four positions. Fourteen such
-    quadruples suffice: two fingerprints that share five positional bytes share all bytes
-    of some quadruple. Within a list the shared bytes of a pair are tallied and pairs
-    with five or more are verified.
-
-    No task holds a list of more than ``long_list`` fingerprints by four bytes: such
-    lists are passed on and split by the byte at each fifth position, one of which a
-    linked pair shares as well. Five bytes leave 24 bits, which bounds what is left.
+    The inverted index lists fingerprints by positional bytes. A pair within the radius
+    shares five bytes at least, so it meets in a list of its first shared one, of its first
+    two, and so on. Lists of more than ``longest`` members are not held: they are split by
+    the next shared byte, and beyond five by half bytes, which leaves 4,096 members at most.
+    ``depth`` is the number of bytes to begin with; by default as many as leave 64 members to
+    a list on average, as shallower ones would all be split. In each list the shared bytes of
+    every pair are tallied, and pairs that reach five are verified.
     """
-    quads = quadruples()
-    five = {q * 8 + p: (*quad, p) for q, quad in enumerate(quads) for p in range(8) if p not in quad}
-    masked = lambda positions: F.col("fp").bitwiseAND(F.lit(_mask(positions)))
-    post = lambda df, lists: df.select(F.explode(lists).alias("l"), "fp").select("l.q", "l.key", "fp")
-    lists = F.array(*[F.struct(F.lit(i).cast("long").alias("q"), masked(q).alias("key")) for i, q in enumerate(quads)])
-    found = _walked(post(fps.select(F.col(fp_col).alias("fp")), lists), [_mask(q) for q in quads], long_list)
-    links, long = found.filter("q is null").select("a", "b"), found.filter("q is not null").select("q", F.col("a").alias("fp"))
-    if long.isEmpty():
-        return links
-    split = F.filter(F.array(*[F.struct(F.lit(i).cast("long").alias("q"), masked(q).alias("key")) for i, q in five.items()]), lambda x: F.floor(x["q"] / 8) == F.col("q"))
-    return links.union(_walked(post(long, split), [_mask(five.get(i, ())) for i in range(8 * len(quads))], None).select("a", "b"))
+    spark = fps.sparkSession
+    if depth is None:
+        n = fps.count()
+        depth = next((d for d in range(1, LEAST_SHARED) if n <= 64 * 256**d), LEAST_SHARED - 1)
+    sets = first_positions(depth)
+    every = F.array(*[F.struct(F.lit(_nibbles(s)).cast("long").alias("q"), F.lit(_mask(_nibbles(s))).alias("mask")) for s in sets])
+    lists, links = fps.select(F.explode(every).alias("s"), F.col(fp_col).alias("fp")).select("s.q", "s.mask", "fp"), None
+    while True:
+        rows = lists.select("q", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp").repartition("q", "key").sortWithinPartitions("q", "key", "fp")
+        # written out, so that the links and the members passed on come from one walk
+        found = checkpointed(rows.mapInArrow(_walk_lists(longest if depth <= LEAST_SHARED else None), "q long, a long, b long"))
+        own, long = found.filter("q is null").select("a", "b"), found.filter("q is not null").select("q", F.col("a").alias("fp"))
+        links = own if links is None else links.union(own)
+        if depth > LEAST_SHARED or long.isEmpty():
+            return links
+        below = [(_nibbles(s), q) for s in sets for q in (map(_nibbles, deeper(s)) if depth < LEAST_SHARED else _deepest(s))]
+        table = spark.createDataFrame([(q, child, _mask(child)) for q, child in below], "q long, child long, mask long")
+        lists = long.join(F.broadcast(table), "q").select(F.col("child").alias("q"), "mask", "fp")  # 1,120 rows at most
+        sets, depth = [d for s in sets for d in deeper(s)] if depth < LEAST_SHARED else [], depth + 1
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

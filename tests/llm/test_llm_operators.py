@@ -68,9 +68,12 @@ def test_exact_duplicates_with_a_small_index(spark):
 # --- SimHash
 
 
-def test_quadruples_cover_every_five_positions():
-    quads = simhash.quadruples()
-    assert len(quads) == 14 and all(any(set(q) <= set(five) for q in quads) for five in combinations(range(8), 5))
+def test_positions_cover_every_five():
+    for depth in range(1, 6):
+        sets = simhash.first_positions(depth)
+        assert all(five[:depth] in sets for five in combinations(range(8), 5))
+        assert depth == 5 or sorted({d for s in sets for d in simhash.deeper(s)}) == simhash.first_positions(depth + 1)
+    assert [len(simhash.first_positions(d)) for d in range(1, 6)] == [4, 10, 20, 35, 56]
 
 
 def plain_fingerprint(text):
@@ -85,11 +88,15 @@ def test_fingerprints():
         assert simhash.fingerprint(t) == plain_fingerprint(t)
 
 
-def test_local_roots_by_pairs_and_by_neighbours():
+def test_tallies_decide_what_is_verified():
     rng = random.Random(5)
-    free = 0xFFFFFFFF
-    fps = np.array(sorted({sum(1 << rng.randrange(32) for _ in range(rng.randrange(5))) & free for _ in range(300)}), np.uint64)
-    assert (simhash.local_roots(fps, free) == simhash.local_roots(fps, free, pairwise=2)).all()
+    fps = np.array([rng.getrandbits(64) & 0x0700070003010003 for _ in range(200)], np.uint64)
+    lists = np.sort(np.array([rng.randrange(9) for _ in fps]))
+    shared = lambda a, b: sum(x == y for x, y in zip(int(a).to_bytes(8), int(b).to_bytes(8), strict=True))
+    tallies = [simhash.shared_bytes(fps[i : i + 1], fps[i + 1 : i + 2])[0] for i in range(199)]
+    assert tallies == [shared(fps[i], fps[i + 1]) for i in range(199)]
+    want = {(i, j) for i, j in combinations(range(200), 2) if lists[i] == lists[j] and (int(fps[i]) ^ int(fps[j])).bit_count() <= 3}
+    assert set(zip(*(x.tolist() for x in simhash.list_links(lists, fps)), strict=True)) == want and want
 
 
 def test_components_against_brute_force(spark):
@@ -112,21 +119,20 @@ def test_components_against_brute_force(spark):
     want = {}
     for i, x in enumerate(signed):
         want.setdefault(find(i), []).append(x)
-    for long_list in (65_536, 5, 1):  # the shorter, the more lists are split by a fifth byte
-        roots = simhash.components(simhash.fingerprint_links(table, long_list=long_list)).collect()
+    for depth, longest in ((None, 1024), (1, 9), (3, 2), (1, 0)):  # the shorter, the more lists are split, at last by half bytes
+        roots = simhash.components(simhash.fingerprint_links(table, depth=depth, longest=longest)).collect()
         got = {r.node: r.root for r in roots}
         for members in want.values():
             assert {got.get(x, x) for x in members} == {min(members)}
 
 
 def test_lists_over_batch_borders():
-    masks = [simhash._mask(q) for q in simhash.quadruples()]
     rng = random.Random(3)
     rows = sorted((q, key, key << 32 | rng.getrandbits(6)) for q, key, n in [(0, 1, 9), (0, 2, 1), (1, 1, 30), (2, 5, 2), (2, 6, 12)] for _ in range(n))
 
     def walk(step, limit):
         batches = [pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows[i : i + step], strict=True)], ["q", "key", "fp"]) for i in range(0, len(rows), step)]
-        return sorted((r["q"] is None, r["q"] or 0, r["a"], r["b"]) for b in simhash._walk_lists(masks, limit)(iter(batches)) for r in b.to_pylist())
+        return sorted((r["q"] is None, r["q"] or 0, r["a"], r["b"]) for b in simhash._walk_lists(limit)(iter(batches)) for r in b.to_pylist())
 
     for limit in (None, 10, 1):
         want = walk(len(rows), limit)
