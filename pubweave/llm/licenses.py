@@ -2,36 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Notices by which texts state their licence.
-TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
-    "MIT": [
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-    ],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
-    ],
-    "LGPL-2.1": ["under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
-}
+from pubweave.llm.common import let, written
+from pubweave.llm.license_texts import TEMPLATES
 
 WIDTH = 5
-#: Bands of one row each. A window that holds four fifths of a template of its class has a
-#: resemblance of 0.19 at least (see ``window_class``), so all bands differ with a chance
-#: of at most 0.81 ** 64, about one in a million.
-BANDS = 64
+#: Templates per pass over the texts: their tables are broadcast, and this bounds them (to some 20 MB).
+PER_PASS = 4096
 
 
 def template_shingles(notice: str) -> list[str]:
@@ -46,72 +29,93 @@ def window_class(n: int) -> int:
     return 1 << (n - 1).bit_length()
 
 
-def _band_keys(hashes: Column) -> Column:
-    """For each band, its number and the window's least hash in it, hashed together."""
-    least = lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b)))
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(least(b), b))
+def n_bands(containment: float, miss: float = 1e-6) -> int:
+    """Bands of one row, so many that a window that holds the share ``containment`` of a template
+    is missed with a probability of at most ``miss``. Its resemblance r is least where the
+    window of 2c shingles is largest beside the template, at c < 2n: the share x of n shingles
+    in common, and n + 4n - xn in both, so r > x / (5 - x). A band differs with 1 - r."""
+    return math.ceil(math.log(miss) / math.log(1 - containment / (5 - containment)))
 
 
-def license_notices(
-    df: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """Rows (id, license, containment, first_word): the licences that a whole text states.
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
 
-    A template counts as stated where one window holds ``containment`` or more of its
-    distinct shingles of five words (runs of a-z and 0-9 after lower-casing); the best
-    window's share and the place of the first such window's first word are given. Null
-    and short texts state nothing. Rows repeated under one id are taken together. An
-    empty table gives no rows; further columns are ignored.
 
-    A window without any template's shingle can verify nothing, so windows are built only
-    around such shingles. Everything up to the verified notice stays in the text's row.
-    """
-    listed = [(name, template_shingles(t)) for name, notices in (templates or TEMPLATES).items() for t in notices]
-    if any(not s for _, s in listed):
-        raise ValueError(f"a template needs {WIDTH} words at least")
-    every, known = _template_tables(df.sparkSession, listed)
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
-    # explode() of one element: the words and hashes are made once, not again wherever they are used
-    both = _let(words, lambda w: F.struct(w.alias("w"), _let(_shingles(w), lambda s: F.transform(s, lambda x: F.xxhash64(x))).alias("h")))
-    rows = df.select(F.col(id_col).alias("_id"), F.explode(F.array(both)).alias("_x")).select("_id", "_x.w", "_x.h")
-    rows = rows.filter(F.arrays_overlap("h", every))
-    hits = F.filter(F.transform(F.col("h"), lambda h, i: F.when(F.array_contains(every, h), i)), lambda i: i.isNotNull())
-    windows = _let(hits, lambda found: F.concat(*[_windows(found, c) for c in sorted({window_class(len(s)) for _, s in listed})]))
-    rows = rows.select("_id", "w", "h", F.explode(windows).alias("_win")).withColumn("at", F.col("_win.at"))
-    keys = _let(F.slice("h", F.col("at") + 1, F.col("_win.c") * 2), _band_keys)
-    retrieved = _let(keys, lambda own: F.filter(known, lambda t: (t["c"] == F.col("_win.c")) & F.arrays_overlap(t["keys"], own)))
-    own_words = F.slice("w", F.col("at") + 1, F.col("_win.c") * 2 + WIDTH - 1)
-    rows = rows.select("_id", "at", own_words.alias("w"), F.explode(retrieved).alias("_t"))
-    share = F.size(F.array_intersect(_shingles(F.col("w")), F.col("_t.shingles"))) / F.size("_t.shingles")
-    stated = rows.select("_id", F.col("_t.name").alias("license"), share.alias("share"), F.col("at").cast("long")).filter(F.col("share") >= containment)
-    return stated.groupBy("_id", "license").agg(F.max("share").alias("containment"), F.min("at").alias("first_word")).withColumnRenamed("_id", id_col)
+def _places(words: Column) -> Column:
+    return F.when(F.size(words) >= WIDTH, F.sequence(F.lit(0), F.size(words) - WIDTH)).otherwise(F.array().cast("array<int>"))
 
 
-def _let(value: Column, use) -> Column:
-    """use(value), with the value computed once per row."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+def _shingles(words: Column) -> Column:
+    return F.transform(_places(words), lambda i: F.array_join(F.slice(words, i + 1, F.lit(WIDTH)), " "))
 
 
-def _shingles(words: Column) -> Column:
-    places = F.when(F.size(words) >= WIDTH, F.sequence(F.lit(0), F.size(words) - WIDTH)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.array_join(F.slice(words, i + 1, F.lit(WIDTH)), " "))
+def _hashed(words: Column) -> Column:
+    """struct(w, h): the words, and a hash of each shingle, made from those of its words."""
+    shingles = lambda own: F.transform(_places(own), lambda i: F.xxhash64(*[F.get(own, i + k) for k in range(WIDTH)]))
+    return let(words, lambda w: let(F.transform(w, lambda x: F.xxhash64(x)), lambda own: F.struct(w.alias("w"), shingles(own).alias("h"))))
+
+
+def _least(hashes: Column, band: Column) -> Column:
+    """The MinHash of a band."""
+    return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, band)))
+
 
+def template_tables(spark: SparkSession, listed: list[tuple[int, str, str]], bands: int) -> tuple[DataFrame, DataFrame]:
+    """Of templates (number, license, text): (tid, license, shingles), and the bands by the
+    shingle that is least in them: (shingle, tid, c, bands of (band, key))."""
+    rows = [F.struct(F.lit(tid).alias("tid"), F.lit(name).alias("license"), F.lit(window_class(len(template_shingles(text)))).alias("c"), F.lit(text).alias("text")) for tid, name, text in listed]
+    texts = spark.range(1).select(F.inline(F.array(*rows))).select("tid", "license", "c", F.explode(F.array(_hashed(_words(F.col("text"))))).alias("x"))
+    known = texts.select("tid", "license", F.array_distinct(_shingles(F.col("x.w"))).alias("shingles"))
+    least = lambda b: F.array_min(F.transform(F.col("x.h"), lambda h: F.struct(F.xxhash64(h, b).alias("key"), h.alias("shingle"))))
+    every = texts.select("tid", "c", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), least(b).alias("least")))).alias("b"))
+    by_shingle = every.groupBy(F.col("b.least.shingle").alias("shingle"), "tid", "c").agg(F.sort_array(F.collect_list(F.struct(F.col("b.band").alias("band"), F.col("b.least.key").alias("key")))).alias("bands"))
+    return known, written(by_shingle.coalesce(1), "license-bands")
 
-def _windows(hits: Column, c: int) -> Column:
-    """The windows of class c around these places, as struct(c, first place)."""
-    half = F.array_distinct(F.flatten(F.transform(hits, lambda p: F.array(F.floor(p / c).cast("int"), (F.floor(p / c) - 1).cast("int")))))
-    return F.transform(F.filter(half, lambda w: w >= 0), lambda w: F.struct(F.lit(c).alias("c"), (w * c).alias("at")))
 
+def retrieved_windows(df: DataFrame, bands: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, tid, at, w): the windows of all texts, by first shingle and with their words, that
+    have the key of some band in common with a template.
 
-def _template_tables(spark: SparkSession, listed: list[tuple[str, list[str]]]) -> tuple[Column, Column]:
-    """As literals: all shingles' hashes, and each template with its band keys."""
-    hashes = [F.array(*[F.xxhash64(F.lit(x)) for x in s]) for _, s in listed]
-    got = spark.range(1).select(*[F.struct(h.alias("h"), _band_keys(h).alias("k")) for h in hashes]).first()
-    known = [
-        F.struct(F.lit(name).alias("name"), F.lit(window_class(len(s))).alias("c"), F.array(*map(F.lit, s)).alias("shingles"), F.array(*map(F.lit, own["k"])).alias("keys"))
-        for (name, s), own in zip(listed, got, strict=True)
-    ]
-    return F.array(*[F.lit(h) for h in sorted({h for own in got for h in own["h"]})]), F.array(*known)
+    A window can only have a template's key in a band if it holds the shingle that is least in
+    the template there. So texts meet the bands by their shingles, and the windows around
+    such a shingle are hashed in its bands; one that holds a lesser shingle differs.
+    """
+    rows = df.select(F.col(id_col).alias("_id"), F.explode(F.array(_hashed(_words(F.col(text_col))))).alias("_x")).select("_id", "_x.w", "_x.h")
+    met = rows.select("_id", "w", "h", F.posexplode("h").alias("at", "shingle")).join(F.broadcast(bands), "shingle")
+    c, half = F.col("c"), F.floor(F.col("at") / F.col("c")).cast("int")
+    window = lambda k: F.struct((k * c).alias("at"), F.slice("h", k * c + 1, c * 2).alias("h"), F.slice("w", k * c + 1, c * 2 + WIDTH - 1).alias("w"))
+    around = F.transform(F.filter(F.array(half - 1, half), lambda k: k >= 0), window)
+    alike = F.filter(around, lambda x: F.exists("bands", lambda b: _least(x["h"], b["band"]) == b["key"]))
+    return met.select("_id", "tid", F.explode(alike).alias("x")).select("_id", "tid", "x.at", "x.w")
+
+
+def license_notices(
+    df: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Rows (id, license, containment, first_word): the licences that a whole text states.
+
+    A template counts as stated where one window holds ``containment`` or more of its
+    distinct shingles of five words (runs of a-z and 0-9 after lower-casing); the best
+    window's share and the place of the first such window's first word are given. Windows
+    are retrieved by MinHash bands, whose number follows from ``containment`` (see
+    ``n_bands``), and verified shingle by shingle. Null and short texts state nothing, long
+    ones are read whole. Rows repeated under one id are taken together. An empty table gives
+    no rows; further columns, whatever their names, are ignored.
+
+    Everything up to the verified notice stays in the text's row; nothing of the texts is
+    shuffled. Templates are broadcast ``PER_PASS`` at a time, with a pass for each such part.
+    """
+    listed = [(i, name, t) for i, (name, t) in enumerate((n, t) for n, ts in (templates or TEMPLATES).items() for t in ts)]
+    if any(not template_shingles(t) for _, _, t in listed):
+        raise ValueError(f"a template needs {WIDTH} words at least")
+    parts = []
+    for k in range(0, len(listed), PER_PASS):
+        known, bands = template_tables(df.sparkSession, listed[k : k + PER_PASS], n_bands(containment))
+        found = retrieved_windows(df, bands, id_col, text_col).join(F.broadcast(known), "tid")
+        share = F.size(F.array_intersect(_shingles(F.col("w")), F.col("shingles"))) / F.size("shingles")
+        parts.append(found.select("_id", "license", share.alias("share"), F.col("at").cast("long").alias("at")).filter(F.col("share") >= containment))
+    stated = reduce(DataFrame.union, parts)
+    return stated.groupBy("_id", "license").agg(F.max("share").alias("containment"), F.min("at").alias("first_word")).withColumnRenamed("_id", id_col)
 
 
 def oracle(templates: dict[str, list[str]] | None = None, containment: float = 0.8) -> str:

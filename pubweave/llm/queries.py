@@ -33,8 +33,7 @@ def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_sizes(_table(spark, sf_dir, "documents"))
 
 
 #: The rules of the URL filter.
@@ -53,8 +52,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation against itself with the last reply of another."""
-    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    pairs = chat.preference_pairs(turns.withColumnRenamed("conv_id", "pair_id"), chat.swapped_replies(turns))
+    pairs = chat.formatted(chat.swapped_pairs(_table(spark, sf_dir, "conversations")))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return pairs.withColumn("chosen_spans", spans(F.col("chosen_spans"))).withColumn("rejected_spans", spans(F.col("rejected_spans")))
 
