@@ -36,9 +36,10 @@ def byte_letters() -> dict[str, int]:
 
 
 class Tokenizer:
-    """A byte-level BPE vocabulary, and the chunks encoded so far (up to ``remember``)."""
+    """A byte-level BPE vocabulary, and the chunks encoded so far, up to about ``remember`` bytes;
+    beyond that all are forgotten, which costs time and changes nothing."""
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 96 << 20):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, letters = spec["model"]["vocab"], byte_letters()
@@ -67,12 +68,14 @@ class Tokenizer:
         self.store = np.array(list(self.added.values()), np.int32)
         self.sizes = np.ones(len(self.added), np.int64)
         self.starts = np.arange(len(self.added))
+        self.held = 0
 
     def _keep(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.known.update(zip(chunks, range(len(self.starts), len(self.starts) + len(chunks)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.store) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.store = np.concatenate([self.store, ids])
+        self.held += sum(map(len, chunks)) + 150 * len(chunks) + 4 * len(ids)  # text, object and table entry, ids
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where it doesn't merge."""
@@ -168,7 +171,7 @@ class Tokenizer:
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text; null counts as empty."""
-        if len(self.known) > self.remember:
+        if self.held > self.remember:
             self._forget()
         lists = [self._chunks(t or "") for t in texts]
         chunks = list(chain.from_iterable(lists))
@@ -237,23 +240,31 @@ def decode(ids: Column, path: str) -> Column:
     return text(ids)
 
 
-def token_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and
-    decoded_sha256 (of the text that the ids decode to). Null text counts as empty. Ids
-    may repeat or be null; an empty table gives no rows; other columns are ignored.
+def token_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Per row: id, n_tokens, ids_sha256 (of the decimal ids joined by commas),
+    decoded_sha256 (of the text that the ids decode to) and, if asked for, the ids
+    themselves. Null text counts as empty. Ids may repeat or be null; an empty table gives
+    no rows; other columns are ignored. A text is encoded whole, however long.
     """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
         for batch in slices(batches):
-            counts, ids_sha, text_sha = [], [], []
+            counts, ids_sha, text_sha, all_ids = [], [], [], []
             for run in runs(batch.column(1).to_pylist()):
                 ids, sizes = own.encode_batch(run)
+                all_ids.append(ids)
                 for part in np.split(ids, np.cumsum(sizes)[:-1]):
                     counts.append(len(part))
                     ids_sha.append(hashlib.sha256(own.decimals.join(part)[:-1]).hexdigest())
                     text_sha.append(hashlib.sha256(own.decode(part).encode()).hexdigest())
-            yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            if with_ids:
+                offsets = np.cumsum([0, *counts]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *all_ids]).astype(np.int32))))
+            yield pa.record_batch(columns, names)
 
-    kind = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+
+    kind = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string{", ids array<int>" if with_ids else ""}"
     return df.select(id_col, text_col).mapInArrow(digests, kind)

@@ -172,7 +172,7 @@ def test_bpe_equals_the_library(docs, none):
 
     ref = Tokenizer.from_file(default_vocabulary())
     texts = ["", " ", "a  b \n\n c\t\td  ", "x<|endoftext|> y <|endoftext|>", "日本語 🎉🎉 　x", "aaaa" * 300, "it's we'll \x1c a\x85b\xa0c", "don't 'S", "é́ ½²³ Ⅷ", "\x00\x01", "中" * 900]
-    own = bpe.Tokenizer(default_vocabulary(), remember=3)
+    own = bpe.Tokenizer(default_vocabulary(), remember=300)
     for _ in range(2):
         ids, sizes = own.encode_batch(texts)
         got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]

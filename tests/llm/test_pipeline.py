@@ -8,15 +8,16 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 from pubweave.llm import langid
 from pubweave.llm.queries import default_vocabulary
-from pubweave.llm.simhash import fingerprint
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def plain_near(docs):
-    fps = {d["doc_id"]: fingerprint(d["text"]) for d in docs}
-    ids, root = sorted(fps), {i: i for i in fps}
+    """Five-word shingles, a Jaccard similarity of 0.8 or more, the smallest id of a group."""
+    words = {d["doc_id"]: "".join(c.lower() if c.isascii() else c for c in d["text"]).split() for d in docs}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    ids, root = sorted(sets), {i: i for i in sets}
 
     def find(i):
         while root[i] != i:
@@ -25,7 +26,7 @@ def plain_near(docs):
 
     for i in ids:
         for j in ids:
-            if i < j and (fps[i] ^ fps[j]).bit_count() <= 3:
+            if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return [d for d in docs if find(d["doc_id"]) == d["doc_id"]]
@@ -74,8 +75,9 @@ def test_pipeline(spark):
         last[d["text"]] = max(last.get(d["text"], -1), d["doc_id"])
     mixed = plain_mix(plain_near([d for d in kept if last[d["text"]] == d["doc_id"]]))
     want = Counter((i, len(ids := ref.encode(t, add_special_tokens=False).ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t in mixed)
-    got = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect())
-    assert got == want
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == want
+    assert all(len(r.ids) == r.n_tokens and hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest() == r.ids_sha256 for r in rows)
 
 
 def test_stages_keep_the_columns_and_take_nothing(spark):
@@ -83,3 +85,30 @@ def test_stages_keep_the_columns_and_take_nothing(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, table.limit(0), SF)
         assert out.columns == table.columns and out.count() == 0
+
+
+def test_stages_take_nulls_repeats_and_long_texts(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    long = "the same words again and " * 30_000
+    odd = [(1, None, None, None, None), (1, None, None, None, None), (None, "some text of no number", "en", None, 22), (None, "", "en", "src1", 0), (2, long, "en", "src1", len(long)), (2, long, "en", "src1", len(long)), (3, "42 # 7", None, "src2", 6)]
+    rows = table.union(spark.createDataFrame(odd, table.schema))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, SF)
+        assert name == "encode" or out.columns == table.columns
+        found = out.collect()
+        assert found
+        if name == "language_id":
+            assert not any(r.doc_id == 3 and r.text == "42 # 7" for r in found)  # no letter, no language
+        if name == "exact_dedup":
+            assert sum(r.text == long for r in found) == 1 and sum(not r.text for r in found) == 1
+        if name == "source_mix":
+            words = lambda t: len(WORD.findall(t or ""))
+            sizes = Counter()
+            for r in rows.collect():
+                sizes[r.source] += words(r.text)
+            taken = Counter()
+            for r in found:
+                taken[r.source] += words(r.text)
+            assert all(taken[s] <= 2 * n for s, n in sizes.items()) and abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= len(sizes)
+        if name == "encode":
+            assert len(found) == rows.count()
