@@ -78,12 +78,15 @@ def hn_id(object_id: Column) -> Column:
 
 
 def feed_date(published: Column, updated: Column) -> Column:
-    """Epoch seconds (UTC) of the first of the dates in RFC 822 or ISO form; null if neither is."""
+    """Epoch seconds of the first of the dates in RFC 822 or ISO form, one without a zone taken as
+    UTC whatever the session's; null if neither is."""
     def parse(text: Column) -> Column:
         bare = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},?\s+", "")
         zone = F.regexp_replace(bare, r"\s+(GMT|UTC|UT|Z)$", " +0000")
         tries = [F.try_to_timestamp(zone, F.lit(f)) for f in ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")]
-        return F.coalesce(*tries, bare.try_cast("timestamp"))
+        day = F.when(bare.rlike(r"^\d{4}-\d\d-\d\d$"), F.concat(bare, F.lit("T00:00:00Z")))
+        naive = F.when(bare.rlike(r"^\d{4}-\d\d-\d\d[T ][\d:.]+$"), F.concat(bare, F.lit("Z")))
+        return F.coalesce(*tries, F.coalesce(day, naive, bare).try_cast("timestamp"))
 
     return F.unix_timestamp(F.coalesce(parse(published), parse(updated)))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubweave import constants as K
@@ -67,6 +67,24 @@ def registrable_domain(host: Column, suffixes: list[str] | None = None) -> Colum
     return F.when(own != "", own).when(two != "", two).otherwise(host)
 
 
+def registrable_domains(hosts: DataFrame, rules: DataFrame, host: str = "host") -> DataFrame:
+    """(host, domain) of the distinct hosts, by a table of public-suffix rules (rule): one label
+    under the longest suffix that fits. ``*.x`` fits any label under x, ``!y`` names a domain
+    that such a rule doesn't make a suffix. Without a fitting rule the last label is the
+    suffix; a host that is a suffix itself stays. The rules are joined, so there may be any
+    number; null hosts have no row.
+    """
+    own = hosts.select(F.col(host).alias("host")).filter("host is not null").distinct().withColumn("labels", F.split("host", r"\."))
+    tails = own.select("host", "labels", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("n"))  # n labels from the end
+    tail = lambda n: F.array_join(F.slice("labels", F.size("labels") - n + 1, F.greatest(n, F.lit(0))), ".")
+    parent = F.when(F.col("n") > 1, F.concat(F.lit("*."), tail(F.col("n") - 1)))
+    tests = tails.select("host", "labels", "n", F.explode(F.array(F.struct(tail(F.col("n")).alias("rule"), F.lit(0).alias("cut")), F.struct(parent.alias("rule"), F.lit(0).alias("cut")), F.struct(F.concat(F.lit("!"), tail(F.col("n"))).alias("rule"), F.lit(1).alias("cut")))).alias("t"))
+    fits = tests.select("host", "n", "t.rule", "t.cut").join(rules.select("rule").distinct(), "rule")
+    best = fits.groupBy("host").agg(F.max(F.struct("cut", "n")).alias("best")).select("host", (F.col("best.n") - F.col("best.cut")).alias("n"))
+    found = own.join(best, "host", "left").select("host", "labels", F.least(F.coalesce("n", F.lit(1)) + 1, F.size("labels")).alias("n"))
+    return found.select("host", tail(F.col("n")).alias("domain"))
+
+
 def blog_key(url: Column) -> Column:
     """struct(key, home) of the publisher, null where there is none: not http(s), a host
     without a dot, or the bare root or a generic route of a platform whose authors are paths."""
@@ -106,9 +124,10 @@ def slugs(url: Column, limit: int = 6) -> Column:
 
 
 def post_path(url: Column, fragment: bool = True) -> Column:
-    """Path, query and (not for feed entries) fragment of a URL, without line ends."""
+    """Path (``/`` if empty), query and (not for feed entries) fragment of a URL, without line
+    ends. Stories give their canonical URL, feed entries their own."""
     p = url_parts(url)
-    tail = F.concat(p["path"], F.when(p["query"] != "", F.concat(F.lit("?"), p["query"])).otherwise(""))
+    tail = F.concat(F.when(p["path"] == "", "/").otherwise(p["path"]), F.when(p["query"] != "", F.concat(F.lit("?"), p["query"])).otherwise(""))
     if fragment:
         tail = F.concat(tail, F.when(p["fragment"] != "", F.concat(F.lit("#"), p["fragment"])).otherwise(""))
     return F.regexp_replace(tail, r"[\r\n]", "")
@@ -165,7 +184,7 @@ def candidate_feed_urls(home: Column) -> Column:
 
 
 def looks_like_feed(content_type: Column, body: Column) -> Column:
-    return F.lower(F.coalesce(content_type, F.lit(""))).contains("xml") | F.coalesce(F.left(F.ltrim(body), F.lit(200)).startswith("<?xml"), F.lit(False))
+    return F.lower(F.coalesce(content_type, F.lit(""))).contains("xml") | F.coalesce(body.rlike(r"(?U)^\s*<\?xml"), F.lit(False))
 
 
 def final_url(url: Column, final: Column) -> Column:

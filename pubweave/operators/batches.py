@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pubweave.functions import scoring, titles, urls
-from pubweave.operators.numbering import number_rows
+from pubweave.operators.numbering import number_sorted
 
 
 def assign_batches(df: DataFrame, size: int, key: str = "key") -> DataFrame:
     """Adds batch and pos (both from 0) in order of the key, which must be unique."""
-    rows = number_rows(df, F.left(F.col(key), F.lit(2)), key, name="_n")
+    rows = number_sorted(df, key, name="_n")
     return rows.withColumn("batch", F.floor(F.col("_n") / size).cast("long")).withColumn("pos", (F.col("_n") % size).cast("long")).drop("_n")
 
 

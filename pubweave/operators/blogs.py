@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pubweave import constants as K
 from pubweave.functions import scoring
-from pubweave.operators.numbering import number_rows
+from pubweave.operators.numbering import number_sorted
 
 
 def apply_overrides(labels: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -34,9 +34,9 @@ def include_blogs(labels: DataFrame, candidates: DataFrame, deny: DataFrame | No
 
 def rank_blogs(blogs: DataFrame) -> DataFrame:
     """Adds quality and blog_id, 0 for the best; ties by key. Publishers are numbered inside
-    bands of a thousandth of quality, so no window sees them all."""
+    ranges of quality and key, so no window sees them all, nor all of one quality."""
     rows = blogs.withColumn("quality", scoring.blog_quality(F.col("median_points"), F.col("n_stories")))
-    numbered = number_rows(rows, -F.floor(F.col("quality") * 1000), F.desc("quality"), "key", name="blog_id")
+    numbered = number_sorted(rows, F.desc("quality"), "key", name="blog_id")
     return numbered.withColumn("blog_id", F.col("blog_id").cast("int"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubweave import constants as K
+from pubweave.operators.numbering import number_sorted
 
 
 def duplicate_keys(labels: DataFrame) -> DataFrame:
@@ -22,29 +23,37 @@ def missing_keys(labels: DataFrame, expected: DataFrame) -> DataFrame:
     return expected.select("key").distinct().join(labels.select("key"), "key", "left_anti")
 
 
-def expected_batches(expected: DataFrame, size: int) -> DataFrame:
-    """(key, batch): keys in order, ``size`` to a batch. Keys are numbered by their first two
-    characters, then within them, so no window sees all keys."""
-    from pubweave.operators.numbering import number_rows
+def batch_size(labels: DataFrame, default: int = 200) -> int:
+    """Rows of the largest label file: the number of keys that went into a batch."""
+    most = labels.groupBy("file").count().agg(F.max("count")).first()[0]
+    return most or default
+
 
-    keys = expected.select("key").distinct()
-    return number_rows(keys, F.left(F.col("key"), F.lit(2)), "key", name="_n").select("key", F.floor(F.col("_n") / size).cast("long").alias("batch"))
+def expected_batches(expected: DataFrame, size: int) -> DataFrame:
+    """(key, batch): keys in order, ``size`` to a batch."""
+    numbered = number_sorted(expected.select("key").distinct(), "key", name="_n")
+    return numbered.select("key", F.floor(F.col("_n") / size).cast("long").alias("batch"))
 
 
-def missing_by_batch(expected: DataFrame, labels: DataFrame, size: int, top: int = 3) -> DataFrame:
-    """The batches that lack most keys."""
-    lost = expected_batches(expected, size).join(labels.select("key"), "key", "left_anti")
+def missing_by_batch(expected: DataFrame, labels: DataFrame, size: int | None = None, top: int = 3) -> DataFrame:
+    """The batches that lack most keys. Without a size, labels (key, file) tell it."""
+    lost = expected_batches(expected, size or batch_size(labels)).join(labels.select("key"), "key", "left_anti")
     return lost.groupBy("batch").agg(F.count(F.lit(1)).alias("missing")).orderBy(F.desc("missing"), "batch").limit(top)
 
 
-def mismatched_files(expected: DataFrame, labels: DataFrame, size: int) -> DataFrame:
-    """Files (labels: key, file, expected_batch) of which less than half the expected batch's
-    keys are theirs."""
-    batches = expected_batches(expected, size)
-    sizes = batches.groupBy(F.col("batch").alias("expected_batch")).agg(F.count(F.lit(1)).alias("n_expected"))
-    own = labels.select("file", "expected_batch", "key").distinct().join(batches, "key", "left")
-    found = own.groupBy("file", "expected_batch").agg(F.count_if(F.col("batch") == F.col("expected_batch")).alias("n_found"))
-    return found.join(sizes, "expected_batch").filter(F.col("n_found") * 2 < F.col("n_expected")).select("file", "expected_batch", "n_found", "n_expected")
+def mismatched_files(expected: DataFrame, labels: DataFrame, size: int | None = None) -> DataFrame:
+    """(file, batch, n_found, n_keys): label files (key, file) of whose own rows less than half
+    are keys of the batch that the first number in the file's name stands for. Files without
+    a number, or of a batch that isn't expected, can't be told; while no key is missing
+    nothing is wrong."""
+    batches = expected_batches(expected, size or batch_size(labels))
+    number = F.nullif(F.regexp_extract("file", r"(\d+)", 1), F.lit("")).cast("long")
+    files = labels.groupBy("file").agg(F.count(F.lit(1)).alias("n_keys")).withColumn("batch", number)
+    known = files.join(batches.select("batch").distinct(), "batch", "left_semi")
+    own = labels.select("file", "key").distinct().join(batches, "key")
+    found = known.join(own, ["file", "batch"], "left").groupBy("file", "batch", "n_keys").agg(F.count("key").alias("n_found"))
+    wrong = found.filter(F.col("n_found") * 2 < F.col("n_keys")).select("file", "batch", "n_found", "n_keys")
+    return wrong.crossJoin(missing_keys(labels, expected).limit(1).select())  # one row or none
 
 
 def low_confidence(labels: DataFrame, below: float = 0.55) -> DataFrame:
@@ -56,12 +65,15 @@ def _one(df: DataFrame, check: str, bad: Column) -> DataFrame:
     return df.agg(F.count_if(bad).alias("n")).select(F.lit(check).alias("check"), (F.col("n") == 0).alias("ok"), "n")
 
 
-def label_validation(labels: DataFrame, expected: DataFrame) -> DataFrame:
-    """(check, ok, n): duplicates, unexpected and missing keys, unknown sources, kinds and
-    topics, no topics, low confidence. n counts rows in breach; low confidence never fails."""
+def label_validation(labels: DataFrame, expected: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """(check, ok, n): malformed lines (from the row that ``read_labels`` gives with the labels),
+    duplicates, unexpected and missing keys, unknown sources, kinds and topics, no topics,
+    low confidence. n counts rows in breach; low confidence never fails."""
     true = F.lit(True)
     slugs = F.array(*map(F.lit, K.TOPIC_SLUGS))
+    malformed = labels.limit(0).agg(F.count(F.lit(1)).alias("n")) if bad is None else bad.select(F.col("n_malformed").alias("n"))
     parts = [
+        malformed.select(F.lit("malformed").alias("check"), (F.col("n") == 0).alias("ok"), "n"),
         _one(duplicate_keys(labels), "duplicates", true), _one(unexpected_keys(labels, expected), "unexpected", true), _one(missing_keys(labels, expected), "missing", true),
         _one(labels, "source", ~F.coalesce(F.col("source").isin(K.SOURCE_SLUGS), F.lit(False))), _one(labels, "kind", ~F.coalesce(F.col("kind").isin(K.KIND_SLUGS), F.lit(False))),
         _one(labels, "topics", F.coalesce(F.size("topics") <= 0, true) | F.coalesce(F.exists("topics", lambda t: ~F.array_contains(slugs, t["slug"])), F.lit(False))),

@@ -5,27 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubweave.functions import scoring, titles, urls
+from pubweave.operators.storage import checkpointed
 
 FEED_DOCUMENT = "key string, feed_title string, pos int, title string, url string, published long, summary string"
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Written to the folder in spark.checkpoint.dir, or to one of our own where that is unset."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
+def well_formed(document: str):
+    """The root of a feed's XML, mended where it isn't well-formed: bare ampersands, entities of
+    HTML, control characters; items that stay broken are left out. Document types go unread,
+    so no entity of theirs is ever expanded. None where nothing can be read."""
+    import html
+    import re
+    from xml.etree import ElementTree
+
+    text = re.sub(r"<!DOCTYPE[^>\[]*(\[.*?\]\s*)?>", "", document, flags=re.S | re.I)
+
+    def read(part: str):
+        try:
+            return ElementTree.fromstring(part)
+        except (ElementTree.ParseError, ValueError):
+            return None
+
+    root = read(text)
+    if root is not None:
+        return root
+    text = re.sub(r"^\s*<\?xml[^>]*\?>", "", re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", text)).strip()
+    text = re.sub(r"&(?!(?:amp|lt|gt|quot|apos);|#)(\w+;)", lambda m: html.unescape(m[0]) if html.unescape(m[0]) != m[0] else "&amp;" + m[1], text)
+    text = re.sub(r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)", "&amp;", text)
+    root = read(text)
+    if root is not None:
+        return root
+    items = re.findall(r"<(item|entry)\b[^>]*>(.*?)</\1>", text, re.S)
+    whole = [x for tag, body in items if (x := read(f"<{tag}>{re.sub(r'(</?)[A-Za-z]+:', chr(92) + '1', body)}</{tag}>")) is not None]
+    if not whole:
+        return None
+    out = ElementTree.Element("channel")
+    if title := re.search(r"<title[^>]*>([^<]*)</title>", text.split(f"<{items[0][0]}")[0]):
+        ElementTree.SubElement(out, "title").text = html.unescape(title[1])
+    out.extend(whole)
+    return out
 
 
 def parse_feed_documents(df: DataFrame, limit: int = 200) -> DataFrame:
     """Entries of RSS and Atom documents (key, content): those with a link and a title among
-    the first ``limit``. A document that isn't well-formed XML has no entries."""
+    the first ``limit``. What isn't well-formed is mended as far as that goes (``well_formed``);
+    a document that can't be read has no entries."""
 
     def local(tag: str) -> str:
         return tag.rpartition("}")[2].lower()
@@ -44,14 +72,11 @@ def parse_feed_documents(df: DataFrame, limit: int = 200) -> DataFrame:
         return None
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xml.etree import ElementTree
-
         for batch in batches:
             rows = []
             for key, content in zip(batch["key"], batch["content"], strict=True):
-                try:
-                    root = ElementTree.fromstring(content or "")
-                except ElementTree.ParseError:
+                root = well_formed(content or "")
+                if root is None:
                     continue
                 top = next((x for x in root if local(x.tag) == "channel"), root)
                 items = [x for x in root.iter() if local(x.tag) in ("item", "entry")][:limit]
@@ -82,29 +107,30 @@ def new_feed_entries(entries: DataFrame, posts: DataFrame) -> DataFrame:
     return rows.join(posts.select("canonical_url").distinct(), "canonical_url", "left_anti")
 
 
-def cap_feed_entries(entries: DataFrame, cap: int = 12, max_rounds: int = 100) -> DataFrame:
+def cap_feed_entries(entries: DataFrame, cap: int = 12) -> DataFrame:
     """At most ``cap`` entries of each feed, the newest; a URL goes to the first feed (by
     feed_ord) that takes it, and the others take their next entry instead.
 
     Input: (key, feed_ord, canonical_url, title, ts, pos), without indexed URLs. Reply
     titles and empty ones never count. Each round every feed proposes its newest entries
-    that weren't refused, and a URL refuses all but the first feed; this ends in the
-    result of going through the feeds one by one. Raises if rounds don't suffice.
+    that weren't refused, and a URL refuses all but the first feed; this ends, as each round
+    takes a row away, in the result of going through the feeds one by one. A URL that a feed
+    proposes is lost to all later feeds, wherever it stands in them: they can't get it any
+    more. Feeds of the same entries in the same order settle one a round.
     """
     rows = entries.withColumn("title", titles.clean_title(F.col("title"))).filter(F.col("title").isNotNull() & ~titles.is_reply_title(F.col("title")))
     cols = rows.columns
     newest = Window.partitionBy("key", "canonical_url").orderBy(F.desc("ts"), "pos")
-    rows = rows.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
-    rows = _checkpoint(rows)
-    for _ in range(max_rounds):
+    rows = checkpointed(rows.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn"))
+    while True:
         w = Window.partitionBy("key").orderBy(F.desc("ts"), "pos")
         proposed = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).drop("_rn")
-        first = proposed.groupBy("canonical_url").agg(F.min("feed_ord").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        refused = _checkpoint(proposed.join(first, "canonical_url").filter(F.col("feed_ord") > F.col("_first")).select("key", "canonical_url"))
+        first = proposed.groupBy("canonical_url").agg(F.min("feed_ord").alias("_first"))
+        # a URL that some feed proposes now goes to that feed or to one before it, so later feeds lose it in any place
+        refused = checkpointed(rows.join(first, "canonical_url").filter(F.col("feed_ord") > F.col("_first")).select("key", "canonical_url"))
         if refused.isEmpty():
             return proposed.select(*cols)
-        rows = _checkpoint(rows.join(refused, ["key", "canonical_url"], "left_anti").select(*cols))
-    raise RuntimeError(f"feeds still contend for URLs after {max_rounds} rounds")
+        rows = checkpointed(rows.join(refused, ["key", "canonical_url"], "left_anti").select(*cols))
 
 
 def feed_summary(feeds: DataFrame, entries: DataFrame, as_of: int) -> DataFrame:
@@ -119,10 +145,14 @@ def fetch_feeds(blogs: DataFrame, fetcher: Callable[[str], tuple[int, str, str,
     """(key, home, feed, content, error) for each blog: its platform's feed, the one its home
     page links to, or the first conventional address that answers with one.
 
-    ``fetcher(url)`` gives (status, content type, body, final url) or raises; whatever one
-    blog raises is its own error. A host's blogs are fetched one after the other, by one task.
+    ``fetcher(url)`` gives (status, content type, body, final url) or raises. A home page or an
+    address that fails counts as one without a feed, and the next is tried; a feed that fails
+    or answers with an error is empty. Whatever else one blog raises is its own error. A
+    host's blogs are fetched one after the other, by one task.
     """
     todo = blogs.select("key", "home", urls.platform_feed(F.col("home")).alias("known"), urls.candidate_feed_urls(F.col("home")).alias("guesses"), urls.host_of(F.col("home")).alias("host"))
+    # a platform with a rule is never guessed at, even where the rule gives no address
+    todo = todo.withColumn("platform", F.col("host").rlike(r"(^|\.)medium\.com$|^dev\.to$|\.substack\.com$"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
@@ -130,20 +160,34 @@ def fetch_feeds(blogs: DataFrame, fetcher: Callable[[str], tuple[int, str, str,
 
         from pubweave import constants as K
 
-        def fetch(b) -> tuple:
+        def tried(url: str) -> tuple | None:
             try:
-                if b.known:
-                    return b.key, b.home, b.known, fetcher(b.known)[2], None
-                status, _, body, final = fetcher(b.home)
-                for tag in re.findall(K.FEED_LINK_TAG, body[:200_000], re.I) if status < 400 else []:
+                return fetcher(url)
+            except Exception:  # a page that fails is as good as none: the next address is tried
+                return None
+
+        def found(b) -> str | None:
+            if b.known or b.platform:
+                return b.known
+            home = tried(b.home)
+            if home and home[0] < 400:
+                for tag in re.findall(K.FEED_LINK_TAG, home[2][:200_000], re.I):
                     if m := re.search(K.HREF, tag, re.I):
-                        url = urljoin(final, m[1])
-                        return b.key, b.home, url, fetcher(url)[2], None
-                for url in b.guesses:
-                    status, kind, body, final = fetcher(url)
-                    if status < 400 and ("xml" in kind.lower() or body.lstrip()[:200].startswith("<?xml")):
-                        return b.key, b.home, final, body, None
-                return b.key, b.home, None, None, "no-feed"
+                        return urljoin(home[3], m[1])
+            for url in b.guesses:
+                got = tried(url)
+                if got and got[0] < 400 and ("xml" in got[1].lower() or got[2].lstrip()[:200].startswith("<?xml")):
+                    return got[3]
+            return None
+
+        def fetch(b) -> tuple:
+            try:
+                url = found(b)
+                if not url:
+                    return b.key, b.home, None, None, "no-feed"
+                got = tried(url)
+                body = got[2] if got and got[0] < 400 else None
+                return b.key, b.home, url, body, None if body else "empty"
             except Exception as e:  # one blog's failure is its own
                 return b.key, b.home, None, None, type(e).__name__
 
@@ -190,7 +234,3 @@ def check_links(plan: DataFrame, fetcher: Callable[[str, str], tuple[int, str]],
             yield pd.DataFrame(rows, columns=["i", "url", "status", "final"])
 
     return plan.repartition(partitions, "host").sortWithinPartitions("host", "queue_pos").mapInPandas(run, "i long, url string, status int, final string")
-
-
-def dimension_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)

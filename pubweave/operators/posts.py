@@ -31,7 +31,7 @@ def story_posts(stories: DataFrame, blogs: DataFrame, as_of: int) -> DataFrame:
         scoring.pack_topic_mask(scoring.topic_mask(F.col("topics")), F.col("rule").isNotNull()).alias("topic_mask"),
         scoring.pack_kind_source(kind, scoring.index_of(F.col("source"), K.SOURCE_SLUGS)).alias("kind_source"),
         scoring.post_score(scoring.clip_points(F.col("points")), F.col("created_at_i"), as_of).alias("score"),
-        scoring.hn_id(F.col("objectID")).alias("hn_id"), "title", urls.post_path(F.col("url")).alias("path"), urls.canonical_url(F.col("url")).alias("canonical_url"),
+        scoring.hn_id(F.col("objectID")).alias("hn_id"), "title", urls.post_path(urls.canonical_url(F.col("url"))).alias("path"), urls.canonical_url(F.col("url")).alias("canonical_url"),
     )
 
 
@@ -105,13 +105,19 @@ def passes(blog_id: int | None = None, topic_mask: int = 0, kind_mask: int = 0,
     return ok
 
 
-def crawl_plan(posts: DataFrame, limit: int | None = None, delay: float = 0.25) -> DataFrame:
+def crawl_plan(posts: DataFrame, limit: int | None = None, delay: float = 0.25, per_host: int | None = None) -> DataFrame:
     """(i, url, day, host, queue_pos, start_s): the oldest links first, each host's in line
-    behind each other by ``delay`` seconds. Input (i, url, day)."""
+    behind each other by ``delay`` seconds. Input (i, url, day).
+
+    A host takes one link per ``delay`` whatever the cluster, so a run of a given time asks for
+    ``per_host`` links at most, and leaves the rest to the next run; each task then keeps no
+    more than that of a host."""
     rows = posts if limit is None else posts.orderBy("day", "i").limit(limit)
     rows = rows.withColumn("host", F.lower(F.regexp_extract("url", r"^[^:]+://([^/?#]*)", 1)))
     pos = F.row_number().over(Window.partitionBy("host").orderBy("day", "i")) - 1
-    return rows.withColumn("queue_pos", pos).withColumn("start_s", F.col("queue_pos") * delay)
+    rows = rows.withColumn("queue_pos", pos)
+    rows = rows if per_host is None else rows.filter(F.col("queue_pos") < per_host)
+    return rows.withColumn("start_s", F.col("queue_pos") * delay)
 
 
 def link_summary(status: DataFrame) -> DataFrame:

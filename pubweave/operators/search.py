@@ -33,10 +33,10 @@ def match_all(title: Column, query: str) -> Column:
 
 
 def hit_count(title: Column, query: str) -> Column:
-    """Terms of three letters or more that the title contains, and one more than all terms if it matches strictly."""
+    """Terms of three letters or more that the title matches, each on its own and with the same
+    slips, and one more than all terms if it matches strictly."""
     terms = [t for t in terms_of(query) if len(t) > 2]
-    low = F.lower(F.coalesce(title, F.lit("")))
-    found = sum((F.contains(low, F.lit(t)).cast("int") for t in terms), F.lit(0))
+    found = sum((match_all(title, t).cast("int") for t in terms), F.lit(0))
     return found + F.when(match_all(title, query), len(terms) + 1).otherwise(0)
 
 
@@ -74,11 +74,11 @@ def _ranked(df: DataFrame, *order: Column) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def browse(posts: DataFrame, mode: str = "relevance", limit: int = 40, cap: int = 3, pinned: bool = False) -> DataFrame:
+def browse(posts: DataFrame, mode: str = "relevance", limit: int = 40, cap: int = 3, pinned: bool = False, ties: tuple[Column, ...] = ()) -> DataFrame:
     """A page of posts (already filtered by facets): the best 5 * limit in order, then no more
     than ``cap`` of a blog before the overflow. A pinned blog has no cap."""
     key, down = ORDERS[mode]
-    order = (F.col(key).desc() if down else F.col(key).asc(), F.col("post_id"))
+    order = (F.col(key).desc() if down else F.col(key).asc(), *ties, F.col("post_id"))
     wide = _ranked(posts.orderBy(*order).limit(5 * limit), *order)
     return diversify(wide, "rank", limit if pinned else cap, limit)
 
@@ -104,50 +104,74 @@ def rank_strict(matches: DataFrame, query: str, wide: int = 3000) -> DataFrame:
     return _ranked(tiered, F.col("tier"), F.desc("score"), F.col("post_id"))
 
 
-def rank_fallback(matches: DataFrame, n: int) -> DataFrame:
-    """By hits, score and number; no cap on blogs."""
+def rank_fallback(matches: DataFrame, n: int, wide: int = 3000) -> DataFrame:
+    """Of the best ``wide`` matches by score, the first n by hits, score and number; no cap on blogs."""
     order = (F.desc("hits"), F.desc("score"), F.col("post_id"))
-    return _ranked(matches.orderBy(*order).limit(n), *order)
+    top = matches.orderBy(F.desc("score"), "post_id").limit(wide)
+    return _ranked(top.orderBy(*order).limit(n), *order)
+
 
+def search_posts(posts: DataFrame, query: str, mode: str = "relevance", limit: int = 40, few: int = 25, facets: Column | None = None, pinned: bool = False, cap: int = 3) -> DataFrame:
+    """A page of posts for a query, with their rank and the total of matches: strict matches, or,
+    where there are fewer than ``few`` of all posts and the query has several terms, whatever
+    hits enough of them.
 
-def search_posts(posts: DataFrame, query: str, mode: str = "relevance", limit: int = 40, few: int = 25) -> DataFrame:
-    """A page of posts for a query: strict matches, or, where there are fewer than ``few`` and
-    the query has several terms, whatever hits enough of them. Explicit orders keep the
-    members and sort by their key, fallback ties by hits."""
+    ``facets`` (see ``posts.passes``) narrows the page after that decision. Relevance knows no
+    cap on blogs; browsing without a query and explicit orders do, unless a blog is
+    ``pinned``. Explicit orders keep the members and sort by their key, fallback ties by hits.
+    """
+    passing = (lambda df: df) if facets is None else (lambda df: df.filter(facets))
     if not terms_of(query):
-        return browse(posts, mode, limit)
+        return with_total(browse(passing(posts), mode, limit, cap, pinned), passing(posts))
     strict = posts.filter(match_all(F.col("title"), query))
     loose = len([t for t in terms_of(query) if len(t) > 2]) > 1 and strict.limit(few).count() < few
-    found = match_any(posts, query) if loose else strict
-    if mode == "relevance":
-        return rank_fallback(found, limit) if loose else diversify(rank_strict(found, query), "rank", 3, limit)
-    key, down = ORDERS[mode]
-    order = [F.col(key).desc() if down else F.col(key).asc(), *([F.desc("hits")] if loose else []), F.col("post_id")]
-    return diversify(_ranked(found.orderBy(*order).limit(5 * limit), *order), "rank", 3, limit)
+    pool = passing(match_any(posts, query) if loose else strict)
+    if mode != "relevance":
+        return with_total(browse(pool, mode, limit, cap, pinned, (F.desc("hits"),) if loose else ()), pool)
+    page = rank_fallback(pool, limit) if loose else rank_strict(pool, query).orderBy("rank").limit(limit)
+    return with_total(page.withColumn("page_pos", F.col("rank")), pool)
 
 
-def search_many(posts: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, post_id, hits): whole-word hits of many queries (query_id, text) at once.
+def with_total(page: DataFrame, pool: DataFrame) -> DataFrame:
+    """A page's rows with the number of all rows that it is the beginning of."""
+    return page.crossJoin(total_matches(pool))  # a single row
 
-    Both sides meet on distinct words of three letters or more, so the work follows the
-    matches; a frequent word's postings are split by adaptive execution.
+
+def search_many(posts: DataFrame, queries: DataFrame, limit: int = 40, common: float = 0.1) -> DataFrame:
+    """(query_id, post_id, hits): for each of many queries (query_id, text) its page of
+    ``limit`` posts (post_id, title, score), by whole-word hits, score and number.
+
+    Both sides meet on distinct words of three letters or more. Words in more than the share
+    ``common`` of the posts tell little and would pair each query with most posts, so they
+    don't count, as stop words; two hits are asked for where three words or more do.
     """
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: F.length(w) > 2))
-    q = queries.select("query_id", F.explode(words(F.col("text"))).alias("w"), F.size(words(F.col("text"))).alias("n"))
-    p = posts.select("post_id", F.explode(words(F.col("title"))).alias("w"))
-    hits = q.join(p, "w").groupBy("query_id", "post_id").agg(F.count(F.lit(1)).alias("hits"), F.max("n").alias("_n"))
-    return hits.filter(F.col("hits") >= F.when(F.col("_n") >= 3, 2).otherwise(1)).drop("_n")
+    p = posts.select("post_id", "score", F.explode(words(F.col("title"))).alias("w"))
+    total = posts.agg(F.count(F.lit(1)).alias("total"))
+    telling = p.groupBy("w").agg(F.count(F.lit(1)).alias("df")).crossJoin(total).filter(F.col("df") <= common * F.col("total")).select("w")
+    q = queries.select("query_id", F.explode(words(F.col("text"))).alias("w")).join(telling, "w")
+    need = q.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= 3, 2).otherwise(1).alias("need"))
+    hits = q.join(p, "w").groupBy("query_id", "post_id", "score").agg(F.count(F.lit(1)).alias("hits"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("hits"), F.desc("score"), "post_id")
+    found = hits.join(need, "query_id").filter(F.col("hits") >= F.col("need")).withColumn("_rn", F.row_number().over(best))
+    return found.filter(F.col("_rn") <= limit).select("query_id", "post_id", "hits")
 
 
 def search_blogs(blogs: DataFrame, query: str, topic_mask: int = 0, hide: bool = True, hidden_mask: int = 112, mode: str = "relevance", limit: int = 40) -> DataFrame:
+    """A page of blogs with the total of matches. With a query, relevance is the order of the
+    matches, and without one quality; explicit orders sort by their key."""
     rows = blogs
-    if query.strip():
-        rows = rows.filter(match_all(F.concat_ws(" ", "n", "o"), query))
     if topic_mask:
         rows = rows.filter(F.col("tm").bitwiseAND(topic_mask) != 0)
     if hide:
         rows = rows.filter(F.lit(hidden_mask).bitwiseAND(F.expr("shiftleft(1, s)")) == 0)
-    return order_blogs(rows, mode, limit)
+    if not terms_of(query):
+        return with_total(order_blogs(rows, mode, limit), rows)
+    text = F.concat_ws(" ", "n", "o")
+    rows = rows.filter(match_all(text, query))
+    if mode != "relevance":
+        return with_total(order_blogs(rows, mode, limit), rows)
+    return with_total(rows.orderBy(*match_quality(text, query), "blog_id").limit(limit), rows)
 
 
 def blog_posts(posts: DataFrame, blog_id: int, mode: str = "relevance", limit: int = 40) -> DataFrame:

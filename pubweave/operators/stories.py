@@ -22,9 +22,9 @@ def dedupe_by_url(df: DataFrame) -> DataFrame:
     """One story per canonical URL: that of most points, the first on a tie, with the sum of
     all comments and the number of the others. Partial aggregates take up hot URLs."""
     own = [c for c in df.columns if c not in ("canonical_url", "repost_count")]
-    rank = F.struct(F.coalesce("points", F.lit(0)).alias("p"), (-F.col("seq")).alias("s")) if dict(df.dtypes)["seq"] in ("bigint", "int") else F.struct(F.coalesce("points", F.lit(0)).alias("p"), (-F.col("seq.age")).alias("s"))
+    rank = F.struct((-F.coalesce("points", F.lit(0))).alias("p"), "seq")
     rows = df.withColumn("canonical_url", urls.canonical_url(F.col("url")))
-    best = rows.groupBy("canonical_url").agg(F.max_by(F.struct(*own), rank).alias("_b"), (F.count(F.lit(1)) - 1).alias("repost_count"), F.sum(F.coalesce("num_comments", F.lit(0))).alias("_c"), F.min("seq").alias("_first"))
+    best = rows.groupBy("canonical_url").agg(F.min_by(F.struct(*own), rank).alias("_b"), (F.count(F.lit(1)) - 1).alias("repost_count"), F.sum(F.coalesce("num_comments", F.lit(0))).alias("_c"), F.min("seq").alias("_first"))
     return best.select(*[F.col("_c").cast("long").alias(c) if c == "num_comments" else F.col(f"_b.{c}").alias(c) for c in own], "canonical_url", "repost_count", F.col("_first").alias("first_seq"))
 
 
@@ -38,9 +38,8 @@ def dedupe_by_title(df: DataFrame, keep_empty_titles: bool = False) -> DataFrame
     if keep_empty_titles:
         rows = rows.withColumn("_own", F.when(F.col("_title") == "", F.col("canonical_url")).otherwise(""))
         keys.append("_own")
-    numeric = dict(df.dtypes)["first_seq"] in ("bigint", "int")
-    rank = F.struct(F.coalesce("points", F.lit(0)).alias("p"), (-F.col("first_seq" if numeric else "first_seq.age")).alias("s"))
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*own), rank).alias("_b"), (F.count(F.lit(1)) - 1).alias("_more"), F.sum("num_comments").alias("_c"))
+    rank = F.struct((-F.coalesce("points", F.lit(0))).alias("p"), "first_seq")
+    best = rows.groupBy(*keys).agg(F.min_by(F.struct(*own), rank).alias("_b"), (F.count(F.lit(1)) - 1).alias("_more"), F.sum("num_comments").alias("_c"))
     new = {"num_comments": F.col("_c"), "repost_count": F.col("_b.repost_count") + F.col("_more")}
     return best.select(*[new.get(c, F.col(f"_b.{c}")).alias(c) for c in own])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pubweave import constants as K
 
-AS_OF = 1_704_067_200
+AS_OF = 1_706_745_600
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
@@ -38,14 +38,14 @@ PAGE_STORIES = f"""SELECT page_id AS seq, CAST(page_id AS VARCHAR) AS "objectID"
 def doc_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
     return table(spark, sf_dir, "documents").select(
-        i.alias("seq"), i.cast("string").alias("objectID"), F.left(F.substring_index("text", "\n", 1), F.lit(200)).alias("title"),
+        i.alias("seq"), i.cast("string").alias("objectID"), F.substring_index("text", "\n", 1).alias("title"),
         F.concat(F.lit("https://www."), F.col("source"), F.lit(".example/p/"), (i % 700).cast("string")).alias("url"),
         F.concat(F.col("source"), F.lit(".example")).alias("key"), F.concat(F.lit("https://"), F.col("source"), F.lit(".example")).alias("home"),
         (F.col("n_chars") % 1000).cast("int").alias("points"), (i % 20).cast("int").alias("num_comments"), (K.DAY0 + i * 3600).alias("created_at_i"),
     )
 
 
-DOC_STORIES = f"""SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS "objectID", left(string_split(text, chr(10))[1], 200) AS title,
+DOC_STORIES = f"""SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS "objectID", string_split(text, chr(10))[1] AS title,
   'https://www.' || source || '.example/p/' || (doc_id % 700) AS url, source || '.example' AS key, 'https://' || source || '.example' AS home,
   CAST(n_chars % 1000 AS INTEGER) AS points, CAST(doc_id % 20 AS INTEGER) AS num_comments, {K.DAY0} + doc_id * 3600 AS created_at_i FROM documents"""
 
@@ -84,15 +84,16 @@ LABEL_ROWS = f"""SELECT d.source || '.example' AS key, {_pick_sql(K.SOURCE_SLUGS
 
 
 def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u, e = F.col("user_id"), F.col("event_id")
+    e = F.col("event_id")
+    u = F.col("user_id") * 2 + e % 2  # two feeds for each user
     return table(spark, sf_dir, "events").select(
         F.concat(F.when(u % 10 == 0, "forum.").otherwise("blog."), u.cast("string"), F.lit(".example")).alias("key"), u.alias("feed_ord"),
         F.concat(F.when(e % 50 == 7, "Re: ").otherwise(""), F.col("event_type"), F.lit(" "), e.cast("string")).alias("title"),
-        F.concat(F.lit("https://blog."), (u % 40).cast("string"), F.lit(".example/e/"), (e % 400).cast("string")).alias("url"),
+        F.concat(F.lit("https://blog."), (F.col("user_id") % 40).cast("string"), F.lit(".example/e/"), (e % 400).cast("string")).alias("url"),
         F.when(e % 97 == 3, 0).otherwise(F.unix_timestamp("ts")).cast("long").alias("ts"), e.alias("pos"),
     )
 
 
-FEED_ENTRIES = """SELECT CASE WHEN user_id % 10 = 0 THEN 'forum.' ELSE 'blog.' END || user_id || '.example' AS key, user_id AS feed_ord,
+FEED_ENTRIES = """SELECT CASE WHEN (user_id * 2 + event_id % 2) % 10 = 0 THEN 'forum.' ELSE 'blog.' END || (user_id * 2 + event_id % 2) || '.example' AS key, user_id * 2 + event_id % 2 AS feed_ord,
   CASE WHEN event_id % 50 = 7 THEN 'Re: ' ELSE '' END || event_type || ' ' || event_id AS title,
   'https://blog.' || (user_id % 40) || '.example/e/' || (event_id % 400) AS url, CASE WHEN event_id % 97 = 3 THEN 0 ELSE CAST(floor(epoch(ts)) AS BIGINT) END AS ts, event_id AS pos FROM events"""

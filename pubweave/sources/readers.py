@@ -32,14 +32,15 @@ def read_stories(spark: SparkSession, path: str) -> DataFrame:
 
 def read_labels(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(labels, bad): the last row of each key in order of file name and line, and one row
-    with the number of malformed or out-of-range rows. Blank lines don't count."""
+    with the numbers of malformed lines, and of malformed or out-of-range ones. Blank lines
+    don't count."""
     files = spark.read.text(f"{path}/*.jsonl", wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
     lines = files.filter(F.trim("value") != "")
     parsed = lines.withColumn("_r", F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", LABEL)))
     good = F.coalesce(F.col("_r.key").isNotNull() & F.col("_r.source").isin(K.SOURCE_SLUGS), F.lit(False))
     last = Window.partitionBy("_r.key").orderBy(F.desc("file"), F.desc("line"))
     labels = parsed.filter(good).withColumn("_n", F.row_number().over(last)).filter("_n = 1").select("_r.*", "file", "line")
-    return labels, parsed.filter(~good).agg(F.count(F.lit(1)).alias("n_bad"))
+    return labels, parsed.agg(F.count_if(F.col("_r").isNull()).alias("n_malformed"), F.count_if(~good).alias("n_bad"))
 
 
 def last_labels(labels: DataFrame, key: str, *order: str) -> DataFrame:

@@ -17,21 +17,26 @@ def _there(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def append_new(batch: DataFrame, out: str, key: str, order: list) -> None:
-    """Appends rows with a key not in the table yet, the first of each key in the batch."""
+def append_new(batch: DataFrame, out: str, key: str, order: list, columns: list[str]) -> None:
+    """Appends rows with a key not in the table yet, the first of each key in the batch. Of the
+    table only the keys are read; where it is large, a table partitioned or bucketed by key
+    suits better than files in a folder."""
     first = Window.partitionBy(key).orderBy(*order)
     rows = batch.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
     if _there(batch.sparkSession, out):
         rows = rows.join(batch.sparkSession.read.parquet(out).select(key), key, "left_anti")
-    rows.select(*batch.columns).write.mode("append").parquet(out)
+    rows.select(*columns).write.mode("append").parquet(out)
 
 
 def ingest_stream(spark: SparkSession, in_dir: str, out: str, checkpoint: str, max_files: int = 1000) -> StreamingQuery:
     """Appends the stories of new JSON files, each id once, first version first; rows without
     a time are skipped. Runs until no new file is left; the checkpoint resumes it, and a
     batch that is repeated after a failure finds its own rows in the table."""
+    names = [x.split()[0] for x in STORY.split(", ")]
     stories = spark.readStream.schema(STORY).option("maxFilesPerTrigger", max_files).json(in_dir).filter("objectID is not null and created_at_i is not null")
-    step = lambda batch, _: append_new(batch, out, "objectID", [F.desc("created_at_i"), F.desc("points")])
+    stories = stories.select(*names, F.col("_metadata.file_modification_time").alias("_time"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    # in order of arrival: of the files, and of the lines of a file
+    step = lambda batch, _: append_new(batch.withColumn("_line", F.monotonically_increasing_id()), out, "objectID", ["_time", "_file", "_block", "_line"], names)
     return stories.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
