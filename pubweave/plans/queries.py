@@ -415,6 +415,19 @@ def capped_feed_entries(spark, d):
     return feeds.cap_feed_entries(kept).select("key", "canonical_url", "ts")
 
 
+OWN_URL = "'https://own.example/' || feed_ord || '/' || (pos % 60)"
+
+
+@query(f"""SELECT key, cu AS canonical_url, ts FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, pos) AS rn FROM (
+  SELECT *, {OWN_URL} AS cu FROM ({VALID}) WHERE key NOT IN ({FIREHOSE}) AND title NOT LIKE 'Re: %' QUALIFY row_number() OVER (PARTITION BY key, cu ORDER BY ts DESC, pos) = 1)) WHERE rn <= 12""")
+def capped_own_entries(spark, d):
+    """Feeds that share no URL, so that no choice depends on another's."""
+    valid = feeds.valid_entries(V.feed_entries(spark, d), V.AS_OF)
+    own = F.concat(F.lit("https://own.example/"), F.col("feed_ord").cast("string"), F.lit("/"), (F.col("pos") % 60).cast("string"))
+    kept = valid.join(feeds.firehose_feeds(valid), "key", "left_anti").withColumn("canonical_url", own)
+    return feeds.cap_feed_entries(kept).select("key", "canonical_url", "ts")
+
+
 @query(f"SELECT (SELECT count(*) FROM customer) AS n_feeds, 0 AS n_forums, count(DISTINCT key) AS n_with_entries, count(*) FILTER (NOT (ts <> 0 AND ts BETWEEN {K.DAY0} AND {V.AS_OF + 172800})) AS n_bad_dates, (SELECT count(*) FROM ({FIREHOSE})) AS n_firehoses FROM ({V.FEED_ENTRIES})")
 def feed_summary(spark, d):
     listed = V.table(spark, d, "customer").select(F.concat(F.lit("blog."), F.col("c_custkey").cast("string"), F.lit(".example")).alias("key"))

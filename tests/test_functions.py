@@ -77,3 +77,32 @@ def test_scores(spark):
 def test_plans_stay_out_of_python(spark, f):
     plan = spark.range(1).select(f(F.lit("https://a.com/b"))).selectExpr("*")._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def test_post_paths(spark):
+    cases = {"https://a.com": "/", "https://a.com/b?c=1#d": "/b?c=1#d", "https://a.com?x=1": "/?x=1", "https://a.com/b\n": "/b"}
+    assert values(spark, urls.post_path, list(cases)) == list(cases.values())
+    assert values(spark, lambda u: urls.post_path(u, fragment=False), ["https://a.com#f", "https://a.com/b#f"]) == ["/", "/b"]
+    assert values(spark, lambda u: urls.post_path(urls.canonical_url(u)), ["http://www.a.com/b/?utm_source=x#top"]) == ["/b"]
+
+
+def test_dates_without_a_zone_are_utc(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = values(spark, lambda x: scoring.feed_date(x, F.lit(None).cast("string")), ["2024-01-02T03:04:05", "2024-01-02 03:04:05", "2024-01-02", "2024-01-02T03:04:05+01:00", "soon"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [1704164645, 1704164645, 1704153600, 1704161045, None]
+
+
+def test_looks_like_feed(spark):
+    assert values(spark, lambda b: urls.looks_like_feed(F.lit("text/html"), b), ["\n\t <?xml", "<html>", None]) == [True, False, False]
+    assert values(spark, lambda k: urls.looks_like_feed(k, F.lit("")), ["application/XML", None]) == [True, False]
+
+
+def test_suffix_rules(spark):
+    rules = spark.createDataFrame([(r,) for r in ["com", "uk", "co.uk", "*.ck", "!www.ck", "blogspot.com"]], "rule string")
+    hosts = {"a.b.co.uk": "b.co.uk", "x.com": "x.com", "com": "com", "a.b.c.ck": "b.c.ck", "x.www.ck": "www.ck", "www.ck": "www.ck", "p.blogspot.com": "p.blogspot.com", "blogspot.com": "blogspot.com", "a.b.zz": "b.zz", "localhost": "localhost", "": ""}
+    df = spark.createDataFrame([(h,) for h in [*hosts, "x.com", None]], "host string")
+    assert {r.host: r.domain for r in urls.registrable_domains(df, rules).collect()} == hosts
