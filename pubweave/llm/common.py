@@ -54,6 +54,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files and checkpoints of frames that nothing refers
+    to any more. It acts on the driver's collections, which a loop of small jobs may not cause."""
+    spark._jvm.System.gc()
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, without a copy. An Arrow batch is bounded by Spark in
     bytes; its Python objects take more, so only a slice at a time is turned into them."""
@@ -125,6 +131,8 @@ def components(edges: DataFrame) -> DataFrame:
         met = down.join(least, "a")
         small = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         e = checkpointed(small.filter("a <> b").distinct())
+        del both, least, large, down, met, small
+        release(edges.sparkSession)
         now = state(e)
         if now == seen:
             break
