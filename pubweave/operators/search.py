@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,16 @@ def term_pattern(term: str) -> str:
 
 
 def match_all(title: Column, query: str) -> Column:
-    """All terms, in order, whatever stands between."""
-    return F.coalesce(title.rlike("(?iu)" + ".*".join(map(term_pattern, terms_of(query)))), F.lit(False))
+    """All terms, in order, whatever stands between.
+
+    Each term is looked for alone first: the ordered pattern tries the rest of a title again
+    for every place of its first term, so it only runs where nothing but the order is open.
+    """
+    patterns = list(map(term_pattern, terms_of(query)))
+    found = title.rlike("(?iu)" + ".*".join(patterns))
+    if len(patterns) > 1:
+        found = reduce(Column.__and__, [title.rlike("(?iu)" + p) for p in dict.fromkeys(patterns)] + [found])
+    return F.coalesce(found, F.lit(False))
 
 
 def hit_count(title: Column, query: str) -> Column:
