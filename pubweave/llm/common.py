@@ -97,15 +97,15 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Only rows repeated by count are numbered, and all but the first go before the shuffle.
     """
-    keyed = df.withColumn("_wr_id", F.col(id_col).cast("long")).withColumn("_wr_text", text_key(text_col))
-    again = checkpointed(keyed.groupBy("_wr_id", "_wr_text").count().filter("count > 1").select(F.col("_wr_id").alias("_wr_i"), F.col("_wr_text").alias("_wr_t")))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    keyed = df.select(row, F.col(id_col).alias("id"), text_key(text_col).alias("key"))
+    again = checkpointed(keyed.groupBy("id", "key").count().filter("count > 1").select(F.col("id").alias("again"), F.col("key").alias("again_key")))
     if again.isEmpty():
         return df
-    same = F.col("_wr_id").eqNullSafe(F.col("_wr_i")) & (F.col("_wr_text") == F.col("_wr_t"))
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    order = Window.partitionBy("_wr_id", F.coalesce(F.col(text_col), F.lit(""))).orderBy(F.xxhash64(F.to_json(F.struct(*columns))))
-    one = keyed.join(again, same, "left_semi").withColumn("_wr_at", F.row_number().over(order)).filter("_wr_at = 1")
-    return keyed.join(again, same, "left_anti").select(*columns).union(one.select(*columns))
+    same = F.col("id").eqNullSafe(F.col("again")) & (F.col("key") == F.col("again_key"))
+    order = Window.partitionBy("id", F.coalesce(F.col("row")[text_col], F.lit(""))).orderBy(F.xxhash64(F.to_json("row")))
+    one = keyed.join(again, same, "left_semi").withColumn("at", F.row_number().over(order)).filter("at = 1")
+    return keyed.join(again, same, "left_anti").select("row.*").union(one.select("row.*"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pubweave.llm.common import slices, without_repeats
 
@@ -106,7 +107,7 @@ def _later(a, b):
     return b if a is None or (b is not None and b > a) else a
 
 
-def _merge(limit: int, by_digest: bool):
+def _merge(limit: int, by_digest: bool, id_type: pa.DataType):
     """Merges rows of equal digests. At most ``limit`` digests are live: then all are
     given out, at once or, for rows sorted by digest, at the next new digest."""
 
@@ -115,7 +116,7 @@ def _merge(limit: int, by_digest: bool):
 
         def out() -> pa.RecordBatch:
             rows = list(index)
-            return pa.record_batch([pa.array([d for d, _ in rows], pa.binary()), pa.array([v[0] for _, v in rows], pa.int64()), pa.array([v[1] for _, v in rows], pa.int64())], [_DIGEST, _KEEP, _N])
+            return pa.record_batch([pa.array([d for d, _ in rows], pa.binary()), pa.array([v[0] for _, v in rows], id_type), pa.array([v[1] for _, v in rows], pa.int64())], [_DIGEST, _KEEP, _N])
 
         last = None
         for batch in slices(batches, 4096):
@@ -136,6 +137,11 @@ def _merge(limit: int, by_digest: bool):
     return run
 
 
+def _id(df: DataFrame, id_col: str) -> Column:
+    """Ids as they are compared: text by its code points, all others as long."""
+    return F.col(id_col).cast("string" if isinstance(df.schema[id_col].dataType, StringType) else "long")
+
+
 def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = 200_000) -> DataFrame:
     """Groups of identical texts: (_xd_digest, _xd_keep, _xd_n), one row per distinct
     text, with the largest id and the number of rows. Null text counts as empty.
@@ -143,10 +149,11 @@ def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     Every input task merges its own rows first, so a text that a third of all rows
     share reaches the shuffle as one row per task.
     """
-    rows = df.select(digest_of(text_col).alias(_DIGEST), F.col(id_col).cast("long").alias(_KEEP), F.lit(1).cast("long").alias(_N))
-    kind = f"{_DIGEST} binary, {_KEEP} long, {_N} long"
-    part = rows.mapInArrow(_merge(limit, False), kind)
-    return part.repartition(_DIGEST).sortWithinPartitions(_DIGEST).mapInArrow(_merge(limit, True), kind)
+    rows = df.select(digest_of(text_col).alias(_DIGEST), _id(df, id_col).alias(_KEEP), F.lit(1).cast("long").alias(_N))
+    text_ids = isinstance(df.schema[id_col].dataType, StringType)
+    id_type, kind = pa.string() if text_ids else pa.int64(), f"{_DIGEST} binary, {_KEEP} {'string' if text_ids else 'long'}, {_N} long"
+    part = rows.mapInArrow(_merge(limit, False, id_type), kind)
+    return part.repartition(_DIGEST).sortWithinPartitions(_DIGEST).mapInArrow(_merge(limit, True, id_type), kind)
 
 
 def digest_of(text_col: str):
@@ -157,7 +164,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical; null counts as empty. The row with the largest id
-    of a group stays; a null id is below any other. Rows repeated under one id stand or
+    of a group stays (text ids by code points, others as long); a null id is below any other. Rows repeated under one id stand or
     fall together. An empty table gives no rows; further columns are ignored.
     """
     groups = copy_groups(df, id_col, text_col)
@@ -166,7 +173,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         id_col,
         F.col(_KEEP).alias("keep_id"),
         F.col(_N).alias("group_size"),
-        F.col(id_col).cast("long").eqNullSafe(F.col(_KEEP)).alias("kept"),
+        _id(df, id_col).eqNullSafe(F.col(_KEEP)).alias("kept"),
         F.lower(F.hex(_DIGEST)).alias("text_sha256"),
     )
 
@@ -176,6 +183,6 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     keeps, those repeated under one id (or none) count once."""
     df = without_repeats(df, id_col, text_col)
     groups = copy_groups(df, id_col, text_col).select(_DIGEST, _KEEP)
-    rows = df.withColumn(_DIGEST, digest_of(text_col))
-    same = (rows[_DIGEST] == groups[_DIGEST]) & F.col(id_col).cast("long").eqNullSafe(groups[_KEEP])
-    return rows.join(groups, same, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), _id(df, id_col).alias("id"), digest_of(text_col).alias("digest"))
+    same = (F.col("digest") == F.col(_DIGEST)) & F.col("id").eqNullSafe(F.col(_KEEP))
+    return rows.join(groups, same, "left_semi").select("row.*")
