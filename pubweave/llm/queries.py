@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubweave.llm import bpe, chat, exactdedup, langid, licenses, mixing, quality, simhash, urlfilter, warc
-from pubweave.llm.common import remove, shared_path, written
+from pubweave.llm import ann, bpe, chat, divergence, exactdedup, langid, licenses, mixing, periodic, quality, simhash, urlfilter, warc
+from pubweave.llm.common import let, remove, shared_path, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,44 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors.filter("vec_id % 20 = 0"), vectors)
+
+
+def with_planted_tail(docs: DataFrame) -> DataFrame:
+    """Of a tenth of the documents, chosen by their id, the words from a place on are repeated."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(words):
+        n = F.size(words)
+        a = F.pmod(g, n.cast("long"))
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+        return let(F.struct(words.alias("w"), a.alias("a"), p.alias("p")), lambda x: F.transform(x["w"], lambda w, i: F.when(i < x["a"], w).otherwise(F.get(x["w"], (x["a"] + F.pmod(i - x["a"], x["p"])).cast("int")))))
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    tail = let(words, lambda w: F.when(F.size(w) > 0, F.array_join(planted(w), " ")).otherwise(F.lit("")))
+    return docs.withColumn("text", F.when(F.pmod(h, F.lit(10)) == 0, tail).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_tail(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.text_runs(docs).withColumn("best", periodic.longest_run())
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    length = -F.col("best")["l"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best")["start"].alias("start"), length.alias("length"), F.col("best")["period"].alias("period"),
+        F.floor(length * 1000 / F.col("best")["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +131,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_language_id, op2_divergence, op3_source_mix, op4_url_filter, op5_preferences, op6_bpe, op7_warc, op8_licenses, op9_simhash, op10_exact_dedup]
+    own = [op1_language_id, op2_divergence, op3_source_mix, op4_url_filter, op5_preferences, op6_bpe, op7_warc, op8_licenses, op9_simhash, op10_exact_dedup, op11_hnsw, op12_periodic_runs, op13_source_divergence]
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
@@ -186,6 +224,40 @@ SELECT page_id, payload_bytes,
   CAST(CASE WHEN page_id = first THEN (block + {SEGMENT_BYTES - 1}) // {SEGMENT_BYTES} ELSE 1 END AS INTEGER) AS segments
 FROM b"""
 
+SQL["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+         list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+                        lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+  FROM documents
+), w AS (
+  SELECT lang, source, doc, unnest(terms) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), v AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), c AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY w.lang, w.source, w.term
+), own AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept AS k USING (lang) LEFT JOIN c USING (lang, source, term)
+), p AS (
+  SELECT lang, source, term, n,
+    1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (sum(n) OVER (PARTITION BY lang, term) + 1)) // (sum(n) OVER (PARTITION BY lang) + v) AS q
+  FROM own JOIN v USING (lang)
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+  UNION ALL
+  SELECT a.lang, a.source, 'pair', b.source, 0 FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source WHERE a.lang NOT IN (SELECT lang FROM v)
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200"""
+
 SQL["op8_licenses"] = licenses.oracle()
 
 
