@@ -85,11 +85,12 @@ def registrable_domains(hosts: DataFrame, rules: DataFrame, host: str = "host")
     return found.select("host", tail(F.col("n")).alias("domain"))
 
 
-def blog_key(url: Column) -> Column:
+def blog_key(url: Column, domain: Column | None = None) -> Column:
     """struct(key, home) of the publisher, null where there is none: not http(s), a host
-    without a dot, or the bare root or a generic route of a platform whose authors are paths."""
+    without a dot, or the bare root or a generic route of a platform whose authors are paths.
+    The host's registrable domain is found by the short list of suffixes unless it is given."""
     host = host_of(url)
-    domain = registrable_domain(host)
+    domain = registrable_domain(host) if domain is None else domain
     scheme = F.lower(F.regexp_extract(url, _URL, 1))
     first = F.regexp_extract(F.regexp_extract(url, _URL, 3), r"^/*([^/;]+)", 1)
     of = lambda k: F.struct(k.alias("key"), F.concat(F.lit("https://"), k).alias("home"))
@@ -103,13 +104,13 @@ def blog_key(url: Column) -> Column:
     )
 
 
-def denied(key: Column) -> Column:
+def denied(key: Column, domain: Column | None = None) -> Column:
     """Hosts that are no blogs, whatever their path; a null key isn't denied."""
     host = F.substring_index(key, "/", 1)
     ends = F.lit(False)
     for s in K.DENIED_SUFFIXES:
         ends = ends | host.endswith(s)
-    found = host.isin(K.DENIED_HOSTS) | registrable_domain(host).isin(K.DENIED_HOSTS) | ends | host.rlike(f"(?i){K.DENIED_LABELS}")
+    found = host.isin(K.DENIED_HOSTS) | (registrable_domain(host) if domain is None else domain).isin(K.DENIED_HOSTS) | ends | host.rlike(f"(?i){K.DENIED_LABELS}")
     return F.coalesce(found, F.lit(False))
 
 

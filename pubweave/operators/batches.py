@@ -22,10 +22,18 @@ def compact_lines(candidates: DataFrame, per_batch: int = 150) -> DataFrame:
     return assign_batches(candidates, per_batch).select("batch", "pos", "key", text.alias("text"))
 
 
+def feeds_with_entries(feeds: DataFrame) -> DataFrame:
+    """One row per key, of feeds (key, feed_title, entries) that have entries: the last one in order
+    of seq, where the table has it (``read_feeds``), else the greatest."""
+    order = F.struct(F.col("seq") if "seq" in feeds.columns else F.lit(0).alias("seq"), "feed_title", "entries")
+    return feeds.filter(F.size("entries") > 0).groupBy("key").agg(F.max(order).alias("_f")).select("key", "_f.feed_title", "_f.entries")
+
+
 def evidence_blocks(candidates: DataFrame, feeds: DataFrame, min_n: int = 5, per_batch: int = 150) -> DataFrame:
     """(batch, pos, key, text): header, titles, URL slugs, and what the feed (key, feed_title,
-    entries) says, of candidates with ``min_n`` stories or more."""
-    rows = assign_batches(candidates.filter(F.col("n_stories") >= min_n), per_batch).join(feeds.select("key", "feed_title", "entries"), "key", "left")
+    entries) says, of candidates with ``min_n`` stories or more. A feed without entries says
+    nothing; of several records of a key the last with entries counts."""
+    rows = assign_batches(candidates.filter(F.col("n_stories") >= min_n), per_batch).join(feeds_with_entries(feeds), "key", "left")
     two = lambda c: F.format_string("%.2f", c)
     head = F.concat(
         F.lit("### "), (F.col("pos") + 1).cast("string"), F.lit(". "), F.col("key"), F.lit("\nhome="), F.col("home"), F.lit(" stories="), F.col("n_stories").cast("string"),
@@ -44,5 +52,6 @@ def evidence_blocks(candidates: DataFrame, feeds: DataFrame, min_n: int = 5, per
 
 
 def evidence_stats(candidates: DataFrame, feeds: DataFrame, min_n: int = 5) -> DataFrame:
-    with_feed = feeds.select("key").distinct().withColumn("_f", F.lit(True))
+    """Candidates with ``min_n`` stories or more, and those of them whose feed has entries."""
+    with_feed = feeds.filter(F.size("entries") > 0).select("key").distinct().withColumn("_f", F.lit(True))
     return candidates.filter(F.col("n_stories") >= min_n).join(with_feed, "key", "left").agg(F.count(F.lit(1)).alias("n_blogs"), F.count_if(F.coalesce("_f", F.lit(False))).alias("n_with_feed"))

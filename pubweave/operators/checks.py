@@ -76,36 +76,42 @@ def label_validation(labels: DataFrame, expected: DataFrame, bad: DataFrame | No
         malformed.select(F.lit("malformed").alias("check"), (F.col("n") == 0).alias("ok"), "n"),
         _one(duplicate_keys(labels), "duplicates", true), _one(unexpected_keys(labels, expected), "unexpected", true), _one(missing_keys(labels, expected), "missing", true),
         _one(labels, "source", ~F.coalesce(F.col("source").isin(K.SOURCE_SLUGS), F.lit(False))), _one(labels, "kind", ~F.coalesce(F.col("kind").isin(K.KIND_SLUGS), F.lit(False))),
-        _one(labels, "topics", F.coalesce(F.size("topics") <= 0, true) | F.coalesce(F.exists("topics", lambda t: ~F.array_contains(slugs, t["slug"])), F.lit(False))),
+        _one(labels, "topics", F.coalesce(F.size("topics") <= 0, true) | F.exists("topics", lambda t: ~F.coalesce(F.array_contains(slugs, t["slug"]), F.lit(False)))),
         _one(labels, "low confidence", F.coalesce("confidence", F.lit(0.0)) < 0.55).withColumn("ok", true),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def index_checks(posts: DataFrame, blogs: DataFrame, least_posts: int = 10_000, least_blogs: int = 500, canaries: list[str] | None = None) -> DataFrame:
-    """(check, ok, value) of a built index: sizes, keys, ranges and shares."""
+def index_checks(posts: DataFrame, blogs: DataFrame, meta: DataFrame, least_posts: int = 10_000, least_blogs: int = 500, canaries: list[str] | None = None) -> DataFrame:
+    """(check, ok, value) of a built index: sizes, also against its meta row (n_posts, n_blogs,
+    hidden_source_mask), keys, ranges and shares. The posts are gone through once: they meet
+    the blogs' ids by an outer join, and all their values are one aggregate."""
     feed = F.col("topic_mask").bitwiseAND(K.FLAG_FEED) != 0
     share = lambda cond: F.coalesce(F.avg(cond.cast("int")), F.lit(0.0))
+    number = lambda c: c.cast("double")
     source = F.expr("shiftright(kind_source, 3)")
-    p = posts.agg(
-        F.count(F.lit(1)).cast("double").alias("posts"), F.count_if(F.coalesce(F.trim("title"), F.lit("")) == "").cast("double").alias("blank titles"),
-        F.min(F.when(~feed, F.col("points"))).cast("double").alias("least story points"), F.count_if(feed).cast("double").alias("feed posts"),
-        F.coalesce(F.max(F.when(feed, F.col("points"))), F.lit(0)).cast("double").alias("feed points"), F.max(source).cast("double").alias("largest source"),
-        F.max(F.col("kind_source").bitwiseAND(7)).cast("double").alias("largest kind"), share(F.col("topic_mask").bitwiseAND(K.FLAG_KIND_RULE) != 0).alias("rule share"),
+    known = blogs.select("blog_id").distinct().withColumn("_known", F.lit(True))
+    hidden = meta.select(F.col("hidden_source_mask").alias("_mask"))  # one row
+    rows = posts.select("blog_id", "title", "points", "topic_mask", "kind_source", "hn_id").join(known, "blog_id", "left").crossJoin(F.broadcast(hidden))
+    p = rows.agg(
+        number(F.count(F.lit(1))).alias("posts"), number(F.count_if(F.coalesce(F.trim("title"), F.lit("")) == "")).alias("blank titles"),
+        number(F.min(F.when(~feed, F.col("points")))).alias("least story points"), number(F.count_if(feed)).alias("feed posts"),
+        number(F.coalesce(F.max(F.when(feed, F.col("points"))), F.lit(0))).alias("feed points"), number(F.max(source)).alias("largest source"),
+        number(F.max(F.col("kind_source").bitwiseAND(7))).alias("largest kind"), share(F.col("topic_mask").bitwiseAND(K.FLAG_KIND_RULE) != 0).alias("rule share"),
         share(F.col("topic_mask").bitwiseAND(K.TOPIC_BITS) == 0).alias("no topic share"), share((F.col("hn_id") == 0) & ~feed).alias("no id share"),
-        share(F.lit(K.HIDDEN_MASK).bitwiseAND(F.expr("shiftleft(1, shiftright(kind_source, 3))")) != 0).alias("hidden share"),
+        share(F.col("_mask").bitwiseAND(F.expr("shiftleft(1, shiftright(kind_source, 3))")) != 0).alias("hidden share"), number(F.count_if(F.col("_known").isNull())).alias("orphan posts"),
     )
+    wanted = K.CANARIES if canaries is None else canaries
+    b = blogs.agg(number(F.count(F.lit(1))).alias("blogs"), number(F.lit(len(set(wanted))) - F.countDistinct(F.when(F.col("n").isin(wanted), F.col("n")))).alias("missing canaries"))
+    all_of = p.crossJoin(b).crossJoin(meta.select("n_posts", "n_blogs"))  # three single rows
+    all_of = all_of.withColumns({"posts beside meta": number(F.col("posts") - F.col("n_posts")), "blogs beside meta": number(F.col("blogs") - F.col("n_blogs"))}).drop("n_posts", "n_blogs")
+    value = F.col("value")
     rules = {
-        "posts": F.col("value") > least_posts, "blank titles": F.col("value") == 0, "least story points": F.col("value") >= 25, "feed posts": F.col("value") > 0,
-        "feed points": F.col("value") == 0, "largest source": F.col("value") < len(K.SOURCES), "largest kind": F.col("value") < len(K.KINDS),
-        "rule share": F.col("value").between(0.10, 0.60), "no topic share": F.col("value") < 0.05, "no id share": F.col("value") < 0.01, "hidden share": F.col("value").between(0.10, 0.85),
-        "blogs": F.col("value") > least_blogs, "orphan posts": F.col("value") == 0, "missing canaries": F.col("value") == 0,
+        "posts": value > least_posts, "blank titles": value == 0, "least story points": value >= 25, "feed posts": value > 0,
+        "feed points": value == 0, "largest source": value < len(K.SOURCES), "largest kind": value < len(K.KINDS),
+        "rule share": (value > 0.10) & (value < 0.60), "no topic share": value < 0.05, "no id share": value < 0.01, "hidden share": (value > 0.10) & (value < 0.85),
+        "blogs": value > least_blogs, "orphan posts": value == 0, "missing canaries": value == 0, "posts beside meta": value == 0, "blogs beside meta": value == 0,
     }
-    long = p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").alias("value")) for c in p.columns])).alias("x")).select("x.*")
-    n_blogs = blogs.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("blogs").alias("check"), "value")
-    orphans = posts.join(blogs.select("blog_id"), "blog_id", "left_anti").agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("orphan posts").alias("check"), "value")
-    wanted = K.CANARIES if canaries is None else canaries
-    there = blogs.filter(F.col("n").isin(wanted)).agg((F.lit(len(wanted)) - F.countDistinct("n")).cast("double").alias("value")).select(F.lit("missing canaries").alias("check"), "value")
-    all_rows = long.unionByName(n_blogs).unionByName(orphans).unionByName(there)
+    long = all_of.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").alias("value")) for c in all_of.columns])).alias("x")).select("x.*")
     ok = reduce(lambda acc, kv: F.when(F.col("check") == kv[0], kv[1]).otherwise(acc), rules.items(), F.lit(False))
-    return all_rows.select("check", F.coalesce(ok, F.lit(False)).alias("ok"), F.round("value", 6).alias("value"))
+    return long.select("check", F.coalesce(ok, F.lit(False)).alias("ok"), F.round("value", 6).alias("value"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pubweave.functions import scoring, titles, urls
@@ -116,21 +117,26 @@ def cap_feed_entries(entries: DataFrame, cap: int = 12) -> DataFrame:
     that weren't refused, and a URL refuses all but the first feed; this ends, as each round
     takes a row away, in the result of going through the feeds one by one. A URL that a feed
     proposes is lost to all later feeds, wherever it stands in them: they can't get it any
-    more. Feeds of the same entries in the same order settle one a round.
+    more. Rounds carry keys and times only, and write once; what is chosen meets its row at
+    the end. Feeds of the same entries in the same order settle one a round.
     """
     rows = entries.withColumn("title", titles.clean_title(F.col("title"))).filter(F.col("title").isNotNull() & ~titles.is_reply_title(F.col("title")))
     cols = rows.columns
     newest = Window.partitionBy("key", "canonical_url").orderBy(F.desc("ts"), "pos")
-    rows = checkpointed(rows.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn"))
+    whole = checkpointed(rows.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn"))
+    left = whole.select("key", "feed_ord", "canonical_url", "ts", "pos")
+    by_time = Window.partitionBy("key").orderBy(F.desc("ts"), "pos")
     while True:
-        w = Window.partitionBy("key").orderBy(F.desc("ts"), "pos")
-        proposed = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).drop("_rn")
+        proposed = left.withColumn("_rn", F.row_number().over(by_time)).filter(F.col("_rn") <= cap).drop("_rn")
         first = proposed.groupBy("canonical_url").agg(F.min("feed_ord").alias("_first"))
         # a URL that some feed proposes now goes to that feed or to one before it, so later feeds lose it in any place
-        refused = checkpointed(rows.join(first, "canonical_url").filter(F.col("feed_ord") > F.col("_first")).select("key", "canonical_url"))
-        if refused.isEmpty():
-            return proposed.select(*cols)
-        rows = checkpointed(rows.join(refused, ["key", "canonical_url"], "left_anti").select(*cols))
+        refused = F.coalesce(F.col("feed_ord") > F.col("_first"), F.lit(False))
+        seen = Observation()
+        judged = left.join(first, "canonical_url", "left").withColumn("_refused", refused).observe(seen, F.count_if("_refused").alias("n"))
+        left = checkpointed(judged.filter("not _refused").select(*left.columns))
+        if not (seen.get or {}).get("n"):
+            chosen = left.withColumn("_rn", F.row_number().over(by_time)).filter(F.col("_rn") <= cap).select("key", "canonical_url")
+            return whole.join(chosen, ["key", "canonical_url"], "left_semi").select(*cols)
 
 
 def feed_summary(feeds: DataFrame, entries: DataFrame, as_of: int) -> DataFrame:
@@ -197,16 +203,21 @@ def fetch_feeds(blogs: DataFrame, fetcher: Callable[[str], tuple[int, str, str,
     return todo.repartition(partitions, "host").sortWithinPartitions("host").mapInPandas(run, "key string, home string, feed string, content string, error string")
 
 
-def check_links(plan: DataFrame, fetcher: Callable[[str, str], tuple[int, str]], delay: float = 0.25, partitions: int = 200) -> DataFrame:
-    """(i, url, status, final) for a crawl plan: a host's links by one task, in line, with a
-    pause. ``fetcher(method, url)`` gives (status, final url). HEAD comes first, and a ranged
-    GET after 403, 405, 501 or a server error; failures count -1 time-out, -2 TLS, -3
-    connection, -4 else.
+def check_links(plan: DataFrame, fetcher: Callable[[str, str], tuple[int, str]], delay: float = 0.25, partitions: int = 200, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep, hosts_at_once: int = 1000) -> DataFrame:
+    """(i, url, status, final) for a crawl plan: a host's links by one task, oldest first, with a
+    pause of ``delay`` seconds between them. ``fetcher(method, url)`` gives (status, final url).
+    HEAD comes first, and a ranged GET after 403, 405, 501 or a server error; failures count -2
+    TLS, -3 connection, -4 time-out, -1 else.
+
+    A task goes on with whichever of its hosts may be asked first, so the pauses of one host are
+    filled with the links of others. It holds the links of ``hosts_at_once`` hosts, which
+    ``crawl_plan(per_host=...)`` bounds; further hosts stream in as those are done.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import heapq
         import ssl
-        import time
+        from collections import deque
 
         def probe(url: str) -> tuple[int, str]:
             try:
@@ -214,23 +225,47 @@ def check_links(plan: DataFrame, fetcher: Callable[[str, str], tuple[int, str]],
                 if status in (403, 405, 501) or status >= 500:
                     status, final = fetcher("GET", url)
                 return status, final if final != url else ""
-            except TimeoutError:
-                return -1, ""
             except ssl.SSLError:
                 return -2, ""
+            except TimeoutError:
+                return -4, ""
             except ConnectionError:
                 return -3, ""
             except Exception:  # recorded as the link's status
-                return -4, ""
+                return -1, ""
 
-        host = None
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples():
-                if r.host == host:
-                    time.sleep(delay)
-                host = r.host
-                rows.append((r.i, r.url, *probe(r.url)))
-            yield pd.DataFrame(rows, columns=["i", "url", "status", "final"])
+        links = ((r.host, r.i, r.url) for batch in batches for r in batch.itertuples())  # host by host
+        ahead = next(links, None)
+
+        def next_host() -> tuple[str, deque] | None:
+            """The next host's links, one by one from the stream: its queue is all that is held."""
+            nonlocal ahead
+            if ahead is None:
+                return None
+            host, queue = ahead[0], deque()
+            while ahead is not None and ahead[0] == host:
+                queue.append(ahead[1:])
+                ahead = next(links, None)
+            return host, queue
+
+        free: list = []  # (when a host may be asked, its number, its queue)
+        number, rows = 0, []
+        while True:
+            while len(free) < hosts_at_once and (found := next_host()):
+                heapq.heappush(free, (clock(), number, found[1]))
+                number += 1
+            if not free:
+                break
+            when, n, queue = heapq.heappop(free)
+            if when > clock():
+                sleep(when - clock())
+            i, url = queue.popleft()
+            rows.append((i, url, *probe(url)))
+            if queue:
+                heapq.heappush(free, (clock() + delay, n, queue))
+            if len(rows) >= 1000:
+                yield pd.DataFrame(rows, columns=["i", "url", "status", "final"])
+                rows = []
+        yield pd.DataFrame(rows, columns=["i", "url", "status", "final"])
 
     return plan.repartition(partitions, "host").sortWithinPartitions("host", "queue_pos").mapInPandas(run, "i long, url string, status int, final string")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pubweave import constants as K
 from pubweave.functions import scoring, titles, urls
-from pubweave.operators.numbering import number_rows
+from pubweave.operators.numbering import number_sorted
 
 
 def attach_blog(stories: DataFrame, blogs: DataFrame) -> DataFrame:
@@ -20,24 +20,30 @@ def drop_routine_hidden(df: DataFrame, points: int = 150) -> DataFrame:
     return df.filter(~(F.col("hidden") & (F.coalesce("points", F.lit(0)) < points)))
 
 
+def once(value: Column) -> Column:
+    """The value as the output of a generator: the columns made of it don't repeat its expression."""
+    return F.explode(F.array(value))
+
+
 def story_posts(stories: DataFrame, blogs: DataFrame, as_of: int) -> DataFrame:
     """Packed rows of stories (key, objectID, title, url, points, created_at_i) of ranked
     blogs (key, blog_id, source, kind, topics, hidden). No shuffle while blogs are broadcast."""
     rows = attach_blog(stories, blogs).withColumn("title", titles.clean_title(F.col("title"))).filter("title is not null")
-    rows = drop_routine_hidden(rows).withColumn("rule", titles.kind_rule(F.col("title")))
+    rows = drop_routine_hidden(rows).withColumn("rule", once(titles.kind_rule(F.col("title")))).withColumn("canonical_url", once(urls.canonical_url(F.col("url"))))
     kind = scoring.index_of(titles.kind_or_fallback(F.col("rule"), F.col("source"), F.col("kind")), K.KIND_SLUGS)
     return rows.select(
         "blog_id", scoring.clip_points(F.col("points")).alias("points"), scoring.day_number(F.col("created_at_i")).alias("day"),
         scoring.pack_topic_mask(scoring.topic_mask(F.col("topics")), F.col("rule").isNotNull()).alias("topic_mask"),
         scoring.pack_kind_source(kind, scoring.index_of(F.col("source"), K.SOURCE_SLUGS)).alias("kind_source"),
         scoring.post_score(scoring.clip_points(F.col("points")), F.col("created_at_i"), as_of).alias("score"),
-        scoring.hn_id(F.col("objectID")).alias("hn_id"), "title", urls.post_path(urls.canonical_url(F.col("url"))).alias("path"), urls.canonical_url(F.col("url")).alias("canonical_url"),
+        scoring.hn_id(F.col("objectID")).alias("hn_id"), "title", urls.post_path(F.col("canonical_url")).alias("path"), "canonical_url",
     )
 
 
 def feed_posts(entries: DataFrame, blogs: DataFrame, as_of: int) -> DataFrame:
     """Packed rows of accepted feed entries (key, title, url, ts)."""
-    rows = attach_blog(entries, blogs).withColumn("title", titles.clean_title(F.col("title"))).filter("title is not null").withColumn("rule", titles.kind_rule(F.col("title")))
+    rows = attach_blog(entries, blogs).withColumn("title", titles.clean_title(F.col("title"))).filter("title is not null")
+    rows = rows.withColumn("rule", once(titles.kind_rule(F.col("title"))))
     kind = scoring.index_of(titles.kind_or_fallback(F.col("rule"), F.col("source"), F.col("kind")), K.KIND_SLUGS)
     return rows.select(
         "blog_id", F.lit(0).alias("points"), scoring.day_number(F.col("ts")).alias("day"),
@@ -49,11 +55,11 @@ def feed_posts(entries: DataFrame, blogs: DataFrame, as_of: int) -> DataFrame:
 
 
 def build_posts(story: DataFrame, feed: DataFrame) -> DataFrame:
-    """Stories, then feed entries, numbered from 0 by day, newest first. Days are the
-    buckets of the numbering, so no task sees all posts."""
+    """Stories, then feed entries, numbered from 0 by day, newest first. Both are written once,
+    in ranges of the whole order, and numbered range by range, so a day of many posts is
+    dealt out like any other."""
     rows = story.withColumn("_part", F.lit(0)).unionByName(feed.withColumn("_part", F.lit(1)))
-    bucket = F.col("_part") * 100_000 + (65_535 - F.col("day"))
-    return number_rows(rows, bucket, "hn_id", "canonical_url", "title", "blog_id", name="post_id").drop("_part")
+    return number_sorted(rows, F.col("_part"), F.desc("day"), "hn_id", "canonical_url", "title", "blog_id", name="post_id").drop("_part")
 
 
 def index_meta(posts: DataFrame, blogs: DataFrame, n_scanned: DataFrame, built: int) -> DataFrame:

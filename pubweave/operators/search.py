@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from pubweave.operators.storage import checkpointed
+
 ORDERS = {"points": ("points", True), "date": ("day", True), "oldest": ("day", False), "relevance": ("score", True)}
 
 
@@ -128,17 +130,40 @@ def search_posts(posts: DataFrame, query: str, mode: str = "relevance", limit: i
     ``facets`` (see ``posts.passes``) narrows the page after that decision. Relevance knows no
     cap on blogs; browsing without a query and explicit orders do, unless a blog is
     ``pinned``. Explicit orders keep the members and sort by their key, fallback ties by hits.
+
+    The posts are gone through once: that job writes the matches (or, without a query, the
+    rows that a page can be made of) and counts them as it goes; the page is made from what it wrote.
     """
-    passing = (lambda df: df) if facets is None else (lambda df: df.filter(facets))
+    passing = F.lit(True) if facets is None else facets
     if not terms_of(query):
-        return with_total(browse(passing(posts), mode, limit, cap, pinned), passing(posts))
-    strict = posts.filter(match_all(F.col("title"), query))
-    loose = len([t for t in terms_of(query) if len(t) > 2]) > 1 and strict.limit(few).count() < few
-    pool = passing(match_any(posts, query) if loose else strict)
+        rows = posts.filter(passing)
+        key, down = ORDERS[mode]
+        wide, n = _observed(rows, {"total": F.count(F.lit(1))}, lambda df: top_n(df, key, 5 * limit, descending=down))
+        return browse(wide, mode, limit, cap, pinned).withColumn("total", F.lit(n["total"]))
+    several = len([t for t in terms_of(query) if len(t) > 2]) > 1
+    need = 2 if len([t for t in terms_of(query) if len(t) > 2]) >= 3 else 1
+    rows = posts.withColumn("_passes", F.coalesce(passing, F.lit(False)))
+    if several:
+        rows = rows.withColumn("_strict", match_all(F.col("title"), query)).withColumn("hits", hit_count(F.col("title"), query))
+        rows = rows.filter(F.col("_strict") | (F.col("hits") >= need))
+    else:
+        rows = rows.filter(match_all(F.col("title"), query)).withColumns({"_strict": F.lit(True), "hits": F.lit(0)})
+    counts = {"strict": F.count_if("_strict"), "strict_passing": F.count_if(F.col("_strict") & F.col("_passes")), "passing": F.count_if(F.col("_passes") & (F.col("hits") >= need))}
+    found, n = _observed(rows, counts)
+    loose = several and n["strict"] < few
+    pool = found.filter(F.col("_passes") & ((F.col("hits") >= need) if loose else F.col("_strict"))).drop("_passes", "_strict", *([] if loose else ["hits"]))
+    total = F.lit(n["passing" if loose else "strict_passing"])
     if mode != "relevance":
-        return with_total(browse(pool, mode, limit, cap, pinned, (F.desc("hits"),) if loose else ()), pool)
+        return browse(pool, mode, limit, cap, pinned, (F.desc("hits"),) if loose else ()).withColumn("total", total)
     page = rank_fallback(pool, limit) if loose else rank_strict(pool, query).orderBy("rank").limit(limit)
-    return with_total(page.withColumn("page_pos", F.col("rank")), pool)
+    return page.withColumn("page_pos", F.col("rank")).withColumn("total", total)
+
+
+def _observed(df: DataFrame, metrics: dict[str, Column], then=lambda df: df) -> tuple[DataFrame, dict]:
+    """The frame, after ``then``, written to the shared folder, and the metrics of its rows, both by one job."""
+    seen = Observation()
+    out = checkpointed(then(df.observe(seen, *[c.alias(n) for n, c in metrics.items()])))
+    return out, {n: (seen.get or {}).get(n) or 0 for n in metrics}
 
 
 def with_total(page: DataFrame, pool: DataFrame) -> DataFrame:
@@ -146,24 +171,28 @@ def with_total(page: DataFrame, pool: DataFrame) -> DataFrame:
     return page.crossJoin(total_matches(pool))  # a single row
 
 
-def search_many(posts: DataFrame, queries: DataFrame, limit: int = 40, common: float = 0.1) -> DataFrame:
+def search_many(posts: DataFrame, queries: DataFrame, limit: int = 40) -> DataFrame:
     """(query_id, post_id, hits): for each of many queries (query_id, text) its page of
     ``limit`` posts (post_id, title, score), by whole-word hits, score and number.
 
-    Both sides meet on distinct words of three letters or more. Words in more than the share
-    ``common`` of the posts tell little and would pair each query with most posts, so they
-    don't count, as stop words; two hits are asked for where three words or more do.
+    Words are distinct, of three letters or more; two hits are asked for where a query has three
+    words or more. A post that hits ``need`` of n words has one of the n - need + 1 that are in
+    the fewest posts, so both sides meet on those; the commonest word is only counted for the
+    posts that have met.
     """
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: F.length(w) > 2))
-    p = posts.select("post_id", "score", F.explode(words(F.col("title"))).alias("w"))
-    total = posts.agg(F.count(F.lit(1)).alias("total"))
-    telling = p.groupBy("w").agg(F.count(F.lit(1)).alias("df")).crossJoin(total).filter(F.col("df") <= common * F.col("total")).select("w")
-    q = queries.select("query_id", F.explode(words(F.col("text"))).alias("w")).join(telling, "w")
-    need = q.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= 3, 2).otherwise(1).alias("need"))
-    hits = q.join(p, "w").groupBy("query_id", "post_id", "score").agg(F.count(F.lit(1)).alias("hits"))
+    p = posts.select("post_id", F.explode(words(F.col("title"))).alias("w"))
+    common = p.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    q = queries.select("query_id", words(F.col("text")).alias("ws")).select("query_id", F.size("ws").alias("n"), F.explode("ws").alias("w"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.coalesce("df", F.lit(0)), "w"))
+    q = q.join(common, "w", "left").withColumn("need", F.when(F.col("n") >= 3, 2).otherwise(1)).withColumn("first", place <= F.col("n") - F.col("need") + 1)
+    met = q.filter("first").join(p, "w").groupBy("query_id", "post_id", "need").agg(F.count(F.lit(1)).alias("hits"))
+    rest = met.join(q.filter("not first").select("query_id", "w"), "query_id").join(p, ["post_id", "w"]).groupBy("query_id", "post_id").agg(F.count(F.lit(1)).alias("more"))
+    hits = (F.col("hits") + F.coalesce("more", F.lit(0))).alias("hits")
+    found = met.join(rest, ["query_id", "post_id"], "left").select("query_id", "post_id", "need", hits).filter(F.col("hits") >= F.col("need"))
     best = Window.partitionBy("query_id").orderBy(F.desc("hits"), F.desc("score"), "post_id")
-    found = hits.join(need, "query_id").filter(F.col("hits") >= F.col("need")).withColumn("_rn", F.row_number().over(best))
-    return found.filter(F.col("_rn") <= limit).select("query_id", "post_id", "hits")
+    scored = found.join(posts.select("post_id", "score"), "post_id").withColumn("_rn", F.row_number().over(best))
+    return scored.filter(F.col("_rn") <= limit).select("query_id", "post_id", "hits")
 
 
 def search_blogs(blogs: DataFrame, query: str, topic_mask: int = 0, hide: bool = True, hidden_mask: int = 112, mode: str = "relevance", limit: int = 40) -> DataFrame:

@@ -52,10 +52,19 @@ def dedupe_stats(n0: DataFrame, n1: DataFrame, n2: DataFrame) -> DataFrame:
     return all_of.select("n0", "n1", "n2", pct("n0", "n1").alias("url_pct"), pct("n1", "n2").alias("title_pct"), pct("n0", "n2").alias("total_pct"))
 
 
-def with_blog_key(df: DataFrame) -> DataFrame:
-    """Stories with key and home of their publisher; those without one, or denied, go."""
-    keys = F.filter(F.array(urls.blog_key(F.col("url"))), lambda k: k.isNotNull() & ~urls.denied(k["key"]))
-    return df.withColumn("_k", F.explode(keys)).withColumns({"key": F.col("_k.key"), "home": F.col("_k.home")}).drop("_k")
+def with_blog_key(df: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """Stories with key and home of their publisher; those without one, or denied, go.
+
+    With a table of public-suffix rules (see ``urls.registrable_domains``) each different host is
+    resolved once and joined back; stories without a host meet nothing and go as before.
+    Without one, the expression's short list of suffixes is used.
+    """
+    rows, domain = df, None
+    if rules is not None:
+        hosts = urls.registrable_domains(df.select(urls.host_of(F.col("url")).alias("host")), rules).select(F.col("host").alias("_host"), F.col("domain").alias("_domain"))
+        rows, domain = df.withColumn("_host", urls.host_of(F.col("url"))).join(hosts, "_host", "left"), F.col("_domain")
+    keys = F.filter(F.array(urls.blog_key(F.col("url"), domain)), lambda k: k.isNotNull() & ~urls.denied(k["key"], domain))
+    return rows.withColumn("_k", F.explode(keys)).withColumns({"key": F.col("_k.key"), "home": F.col("_k.home")}).drop("_k", "_host", "_domain")
 
 
 def top_samples(stories: DataFrame, n: int = 5) -> DataFrame:

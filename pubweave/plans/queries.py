@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from pubweave import constants as K
 from pubweave.functions import scoring, titles, urls
-from pubweave.operators import batches, blogs, checks, feeds, posts, search, stories
+from pubweave.operators import batches, blogs, checks, feeds, manysearch, posts, search, stories
+from pubweave.operators.numbering import number_sorted
 from pubweave.operators.storage import new_folder as _folder
 from pubweave.plans import views as V
 from pubweave.sources import readers, writers
@@ -278,12 +279,29 @@ def mismatched_files(spark, d):
     return checks.mismatched_files(_expected(spark, d), _given(spark, d))
 
 
-@query(f"""WITH l AS ({V.LABEL_ROWS}), c AS (SELECT DISTINCT source || '.example' AS key FROM documents)
-SELECT "check", n = 0 OR "check" = 'low confidence' AS ok, n FROM (
-SELECT 'malformed' AS "check", 0 AS n UNION ALL SELECT 'duplicates', count(*) FROM (SELECT key FROM l GROUP BY key HAVING count(*) > 1) UNION ALL SELECT 'unexpected', count(DISTINCT key) FROM l WHERE key NOT IN (FROM c)
-UNION ALL SELECT 'missing', count(*) FROM c WHERE key NOT IN (SELECT key FROM l) UNION ALL SELECT 'source', 0 UNION ALL SELECT 'kind', 0 UNION ALL SELECT 'topics', 0 UNION ALL SELECT 'low confidence', count(*) FROM l WHERE confidence < 0.55)""")
+# labels with faults by their number: an unknown source, a kind left out, a topic without a slug, one that is unknown, none at all
+FAULTY = f"""SELECT key, CASE WHEN ord % 11 = 3 THEN 'nowhere' ELSE source END AS source, CASE WHEN ord % 13 <> 4 THEN kind END AS kind,
+  CASE ord % 17 WHEN 5 THEN 'no slug' WHEN 6 THEN 'unknown' WHEN 7 THEN 'none' END AS topics, confidence FROM ({V.LABEL_ROWS})"""
+
+
+@query(f"""
+WITH l AS ({FAULTY}), c AS (SELECT DISTINCT source || '.example' AS key FROM documents), found AS (
+  SELECT 'malformed' AS "check", count(*) AS n FROM benchmark
+  UNION ALL SELECT 'duplicates', count(*) FROM (SELECT key FROM l GROUP BY key HAVING count(*) > 1)
+  UNION ALL SELECT 'unexpected', count(DISTINCT key) FROM l WHERE key NOT IN (FROM c)
+  UNION ALL SELECT 'missing', count(*) FROM c WHERE key NOT IN (SELECT key FROM l)
+  UNION ALL SELECT 'source', count(*) FROM l WHERE source = 'nowhere'
+  UNION ALL SELECT 'kind', count(*) FROM l WHERE kind IS NULL
+  UNION ALL SELECT 'topics', count(*) FROM l WHERE topics IS NOT NULL
+  UNION ALL SELECT 'low confidence', count(*) FROM l WHERE confidence < 0.55)
+SELECT "check", n = 0 OR "check" = 'low confidence' AS ok, n FROM found""")
 def label_validation(spark, d):
-    return checks.label_validation(V.label_rows(spark, d), V.doc_stories(spark, d).select("key"))
+    """Labels with faults in a part of their rows, and as many malformed lines as there are benchmark items."""
+    i, topic = F.col("ord"), lambda slug: F.array(F.struct(slug.cast("string").alias("slug"), F.lit(1.0).alias("weight")))
+    topics = F.when(i % 17 == 5, topic(F.lit(None))).when(i % 17 == 6, topic(F.lit("gardening"))).when(i % 17 != 7, F.col("topics"))
+    faulty = V.label_rows(spark, d).withColumns({"source": F.when(i % 11 == 3, "nowhere").otherwise(F.col("source")), "kind": F.when(i % 13 != 4, F.col("kind")), "topics": topics})
+    bad = V.table(spark, d, "benchmark").agg(F.count(F.lit(1)).alias("n_malformed"))
+    return checks.label_validation(faulty, V.doc_stories(spark, d).select("key"), bad)
 
 
 @query(f"SELECT count(*) FILTER (confidence < 0.55) AS n_low, round(avg(CAST(confidence < 0.55 AS INTEGER)), 9) AS share_low FROM ({V.LABEL_ROWS})")
@@ -316,13 +334,14 @@ def _story_posts(spark, d, ranked):
 
 
 def _entries_of_blogs(spark, d):
-    """Feed entries given to the documents' publishers."""
-    return V.feed_entries(spark, d).withColumn("key", F.concat(F.lit("src"), (F.col("feed_ord") % 20).cast("string"), F.lit(".example"))).filter("ts > 0")
+    """Feed entries given to the documents' publishers; every seventh of them has no feed."""
+    key = F.concat(F.lit("src"), (F.col("feed_ord") % 20).cast("string"), F.lit(".example"))
+    return V.feed_entries(spark, d).withColumn("key", key).filter("ts > 0 and feed_ord % 20 % 7 <> 6")
 
 
 FEED_POSTS = f"""SELECT blog_id, 0 AS points, CAST((ts - {K.DAY0}) // 86400 AS INTEGER) AS day, CAST(({MASK}) | {RULE_FLAG} | {K.FLAG_FEED} AS INTEGER) AS topic_mask, {PACKED},
   CAST(trunc(120 * {RECENCY('ts')}) AS INTEGER) AS score, CAST(0 AS BIGINT) AS hn_id, title, {_tail('url', False)} AS path, {_canonical()} AS canonical_url
-  FROM (SELECT e.* REPLACE ('src' || (feed_ord % 20) || '.example' AS key) FROM ({V.FEED_ENTRIES}) AS e WHERE ts > 0) JOIN ({RANKED}) AS b USING (key)"""
+  FROM (SELECT e.* REPLACE ('src' || (feed_ord % 20) || '.example' AS key) FROM ({V.FEED_ENTRIES}) AS e WHERE ts > 0 AND feed_ord % 20 % 7 <> 6) JOIN ({RANKED}) AS b USING (key)"""
 
 
 def _feed_posts(spark, d, ranked):
@@ -370,9 +389,10 @@ _FEED = f"(topic_mask & {K.FLAG_FEED}) <> 0"
 INDEX_RULES = {
     "posts": ("count(*)", "value > 100"), "blank titles": ("count(*) FILTER (coalesce(trim(title), '') = '')", "value = 0"), "least story points": (f"min(points) FILTER (NOT {_FEED})", "value >= 25"),
     "feed posts": (f"count(*) FILTER ({_FEED})", "value > 0"), "feed points": (f"coalesce(max(points) FILTER ({_FEED}), 0)", "value = 0"), "largest source": ("max(kind_source >> 3)", f"value < {len(K.SOURCES)}"),
-    "largest kind": ("max(kind_source & 7)", f"value < {len(K.KINDS)}"), "rule share": (_SHARE(f"(topic_mask & {K.FLAG_KIND_RULE}) <> 0"), "value BETWEEN 0.1 AND 0.6"), "no topic share": (_SHARE(f"(topic_mask & {K.TOPIC_BITS}) = 0"), "value < 0.05"),
-    "no id share": (_SHARE(f"hn_id = 0 AND NOT {_FEED}"), "value < 0.01"), "hidden share": (_SHARE(f"({K.HIDDEN_MASK} & (1 << (kind_source >> 3))) <> 0"), "value BETWEEN 0.1 AND 0.85"),
+    "largest kind": ("max(kind_source & 7)", f"value < {len(K.KINDS)}"), "rule share": (_SHARE(f"(topic_mask & {K.FLAG_KIND_RULE}) <> 0"), "value > 0.1 AND value < 0.6"), "no topic share": (_SHARE(f"(topic_mask & {K.TOPIC_BITS}) = 0"), "value < 0.05"),
+    "no id share": (_SHARE(f"hn_id = 0 AND NOT {_FEED}"), "value < 0.01"), "hidden share": (_SHARE(f"({K.HIDDEN_MASK} & (1 << (kind_source >> 3))) <> 0"), "value > 0.1 AND value < 0.85"),
     "blogs": ("(SELECT count(*) FROM b) + 0 * count(*)", "value > 5"), "orphan posts": ("count(*) FILTER (blog_id NOT IN (SELECT blog_id FROM b))", "value = 0"), "missing canaries": ("(SELECT 1 - count(*) FROM b WHERE key = 'src1.example') + 0 * count(*)", "value = 0"),
+    "posts beside meta": ("count(*) - (SELECT count(*) FROM documents)", "value = 0"), "blogs beside meta": ("0 * count(*)", "value = 0"),
 }
 INDEX_CHECKS = f"WITH b AS MATERIALIZED ({RANKED}), p AS MATERIALIZED ({INDEX}) " + " UNION ALL ".join(
     f"""SELECT '{name}' AS "check", coalesce({fine}, false) AS ok, round(value, 6) AS value FROM (SELECT CAST({value} AS DOUBLE) AS value FROM p)""" for name, (value, fine) in INDEX_RULES.items()
@@ -381,8 +401,11 @@ INDEX_CHECKS = f"WITH b AS MATERIALIZED ({RANKED}), p AS MATERIALIZED ({INDEX})
 
 @query(INDEX_CHECKS)
 def index_checks(spark, d):
+    """Against a meta row that counts the documents as posts, as of an index cut short."""
     ranked = _ranked(spark, d)
-    return checks.index_checks(_index(spark, d, ranked), blogs.blog_rows(ranked), 100, 5, ["src1.example"])
+    table = blogs.blog_rows(ranked)
+    meta = table.agg(F.count(F.lit(1)).alias("n_blogs"), F.lit(K.HIDDEN_MASK).alias("hidden_source_mask")).crossJoin(V.table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n_posts")))
+    return checks.index_checks(_index(spark, d, ranked), table, meta, 100, 5, ["src1.example"])
 
 
 # --- feeds ----------------------------------------------------------------------------
@@ -597,14 +620,57 @@ def search_fallback_terms(spark, d):
 WORDS = lambda c: f"list_distinct(list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda x: length(x) > 2))"
 
 
-@query(f"""WITH p AS (SELECT post_id, score, unnest({WORDS('title')}) AS w FROM ({DOC_POSTS})), telling AS (SELECT w FROM p GROUP BY w HAVING count(*) <= 0.1 * (SELECT count(*) FROM documents)),
- q AS (SELECT item_id AS query_id, w FROM (SELECT item_id, unnest({WORDS('text')}) AS w FROM benchmark) WHERE w IN (FROM telling)), need AS (SELECT query_id, CASE WHEN count(*) >= 3 THEN 2 ELSE 1 END AS need FROM q GROUP BY query_id)
-SELECT query_id, post_id, hits FROM (SELECT query_id, post_id, score, count(*) AS hits FROM q JOIN p USING (w) GROUP BY ALL) JOIN need USING (query_id) WHERE hits >= need
+@query(f"""
+WITH p AS (SELECT post_id, score, unnest({WORDS('title')}) AS w FROM ({DOC_POSTS})),
+ q AS (SELECT item_id AS query_id, unnest({WORDS('text')}) AS w FROM benchmark),
+ need AS (SELECT query_id, CASE WHEN count(*) >= 3 THEN 2 ELSE 1 END AS need FROM q GROUP BY query_id),
+ hit AS (SELECT query_id, post_id, score, count(*) AS hits FROM q JOIN p USING (w) GROUP BY ALL)
+SELECT query_id, post_id, hits FROM hit JOIN need USING (query_id) WHERE hits >= need
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY hits DESC, score DESC, post_id) <= 40""")
 def search_many_queries(spark, d):
     return search.search_many(_doc_posts(spark, d), V.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
 
 
+# a query's terms with what a title may have instead: letters left out or swapped, and LIKE patterns with one open place
+SLIP = "length(t) > 3"
+PLACES = "range(2, CAST(length(t) + 1 AS BIGINT))"
+FORMS_OF = f"""list_distinct([t] || CASE WHEN {SLIP} THEN
+   list_transform({PLACES}, lambda i: left(t, CAST(i - 1 AS INTEGER)) || substr(t, CAST(i + 1 AS INTEGER)))
+   || list_transform({PLACES}, lambda i: left(t, CAST(i - 1 AS INTEGER)) || '_' || substr(t, CAST(i + 1 AS INTEGER)))
+   || list_transform({PLACES}, lambda i: left(t, CAST(i - 1 AS INTEGER)) || '_' || substr(t, CAST(i AS INTEGER)))
+   || list_transform(range(2, CAST(length(t) AS BIGINT)), lambda i: left(t, CAST(i - 1 AS INTEGER)) || substr(t, CAST(i + 1 AS INTEGER), 1) || substr(t, CAST(i AS INTEGER), 1) || substr(t, CAST(i + 2 AS INTEGER)))
+  ELSE [] END)"""
+# no title has all 20 words or more of a benchmark text in order (a fixture test covers strict pages), so every page is a fallback
+MANY_PAGES = f"""
+WITH posts AS (SELECT post_id, score, lower(title) AS title FROM ({DOC_POSTS})), titles AS (SELECT DISTINCT title FROM posts),
+ terms AS (SELECT item_id AS query_id, t FROM (SELECT item_id, unnest(regexp_split_to_array(trim(lower(text), ' ' || chr(9) || chr(10) || chr(13)), '\\s+')) AS t FROM benchmark) WHERE length(t) > 2),
+ forms AS (SELECT t, unnest({FORMS_OF}) AS form FROM (SELECT DISTINCT t FROM terms)),
+ met AS (SELECT DISTINCT t, title FROM forms JOIN titles ON title LIKE '%' || form || '%'),
+ need AS (SELECT query_id, CASE WHEN count(*) >= 3 THEN 2 ELSE 1 END AS need FROM terms GROUP BY query_id),
+ hit AS (SELECT query_id, title, count(*) AS hits FROM terms JOIN met USING (t) GROUP BY ALL),
+ pool AS (SELECT query_id, post_id, score, CAST(hits AS INTEGER) AS hits, count(*) OVER (PARTITION BY query_id) AS total FROM hit JOIN need USING (query_id) JOIN posts USING (title) WHERE hits >= need),
+ top AS (SELECT * FROM pool QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, post_id) <= 3000)
+SELECT query_id, post_id, hits, CAST(row_number() OVER (PARTITION BY query_id ORDER BY hits DESC, score DESC, post_id) AS INTEGER) AS rank, total FROM top QUALIFY rank <= 40"""
+
+
+@query(MANY_PAGES)
+def search_pages_of_benchmark(spark, d):
+    """Every benchmark text as a query with slips: the pages that searching one by one gives."""
+    queries = V.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return manysearch.search_pages(_doc_posts(spark, d), queries).select("query_id", "post_id", "hits", "rank", "total")
+
+
+# two words that often stand in order: strict matches, enough of them for more than one tier
+PAIR = ["th", "en"]
+
+
+@query(f"SELECT source_id AS query_id, post_id, tier, rank, total FROM (SELECT 1 AS source_id, post_id, CASE WHEN place <= 200 THEN 0 WHEN place <= 1000 THEN 1 ELSE 2 END AS tier, rank, (SELECT count(*) FROM ({_matching(PAIR)})) AS total FROM ({_tiered(_matching(PAIR), PAIR)})) WHERE rank <= 100000")
+def search_tiers(spark, d):
+    """All strict matches of a pair of terms with the tier and rank that the many-query search gives them."""
+    queries = spark.createDataFrame([(1, " ".join(PAIR))], "query_id int, text string")
+    return manysearch.search_pages(_doc_posts(spark, d), queries, limit=100_000).select("query_id", "post_id", "tier", "rank", "total")
+
+
 BLOGS = f"SELECT blog_id, key AS n, left(coalesce(one_line, ''), 110) AS o, {IDX(K.SOURCE_SLUGS, 'source')} AS s, {MASK} AS tm, median_points AS m, CAST(year(make_timestamp(last_seen * 1000000)) AS INTEGER) AS l, round({QUALITY}, 3) AS q FROM ({RANKED})"
 
 
@@ -651,7 +717,11 @@ def batch_manifest(spark, d):
 
 def _feeds_of(spark, d):
     rows = _entries_of_blogs(spark, d).groupBy("key").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.col("pos"), F.col("title"), F.lit("a summary").alias("summary")))), 1, 6).alias("entries"))
-    return rows.withColumn("feed_title", F.concat(F.lit("Feed of "), "key"))
+    rows = rows.select("key", "entries", F.concat(F.lit("Feed of "), "key").alias("feed_title"), F.lit(1).alias("seq"))
+    # records without entries, of these keys and of all publishers, and an older one of each key
+    empty = V.doc_stories(spark, d).select("key").distinct().select("key", F.array().cast(rows.schema["entries"].dataType).alias("entries"), F.lit("An empty feed").alias("feed_title"), F.lit(2).alias("seq"))
+    older = rows.select("key", F.slice("entries", 1, 1).alias("entries"), F.lit("An older record").alias("feed_title"), F.lit(0).alias("seq"))
+    return rows.unionByName(empty).unionByName(older)
 
 
 YEAR_OF = lambda t: f"year(make_timestamp({t} * 1000000))"
@@ -663,7 +733,7 @@ TITLE_RATE = lambda p: f"format('{{:.2f}}', len(list_filter(sample_titles, lambd
  || ' craft_rate=' || {TITLE_RATE(K.CRAFT_TITLE)} || ' event_rate=' || {TITLE_RATE(K.EVENT_TITLE)}, 'top_hn_titles: ' || array_to_string(list_transform(sample_titles[1:8], lambda t: left(t, 95)), ' | '),
  'url_slugs: ' || array_to_string(list_transform(sample_urls[1:4], lambda u: regexp_extract(u, '^https://[^/]*/(.*)$', 1)), ' | '), 'feed_title: ' || left('Feed of ' || f.key, 90),
  array_to_string(list_transform(f.t[1:4], lambda t: '  feed: ' || left(t, 85) || ' -- a summary'), chr(10))) AS text
-FROM (SELECT *, row_number() OVER (ORDER BY key) - 1 AS rn FROM ({CANDIDATES(V.DOC_STORIES, 5)})) AS c LEFT JOIN (SELECT 'src' || (feed_ord % 20) || '.example' AS key, list(title ORDER BY pos) AS t FROM ({V.FEED_ENTRIES}) WHERE ts > 0 GROUP BY 1) AS f USING (key)""")
+FROM (SELECT *, row_number() OVER (ORDER BY key) - 1 AS rn FROM ({CANDIDATES(V.DOC_STORIES, 5)})) AS c LEFT JOIN (SELECT 'src' || (feed_ord % 20) || '.example' AS key, list(title ORDER BY pos) AS t FROM ({V.FEED_ENTRIES}) WHERE ts > 0 AND feed_ord % 20 % 7 <> 6 GROUP BY 1) AS f USING (key)""")
 def evidence_blocks(spark, d):
     return batches.evidence_blocks(stories.aggregate_blogs(V.doc_stories(spark, d)), _feeds_of(spark, d))
 
@@ -737,7 +807,7 @@ def read_stories(spark, d):
     return readers.read_stories(spark, f"{path}/*").select("objectID", "title", "points", "created_at_i")
 
 
-@query(f"SELECT count(*) AS n_blogs, count(*) FILTER (key IN (SELECT 'src' || (feed_ord % 20) || '.example' FROM ({V.FEED_ENTRIES}) WHERE ts > 0)) AS n_with_feed FROM ({CANDIDATES(V.DOC_STORIES, 5)})")
+@query(f"SELECT count(*) AS n_blogs, count(*) FILTER (key IN (SELECT 'src' || (feed_ord % 20) || '.example' FROM ({V.FEED_ENTRIES}) WHERE ts > 0 AND feed_ord % 20 % 7 <> 6)) AS n_with_feed FROM ({CANDIDATES(V.DOC_STORIES, 5)})")
 def evidence_stats(spark, d):
     return batches.evidence_stats(stories.aggregate_blogs(V.doc_stories(spark, d)), _feeds_of(spark, d))
 
@@ -793,3 +863,191 @@ def ingest_stream(spark, d):
     rows.filter("cast(objectID as long) % 3 = 0").write.json(f"{base}/in/second")
     ingest(spark, f"{base}/in/*", f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("objectID", "created_at_i")
+
+
+# --- files read back, crawls and streams ----------------------------------------------
+
+
+# a line per label in folders that stand for files; some lines are broken, have no key, an empty one or an unknown source
+LABEL_LINES = f"""SELECT CASE ord % 19 WHEN 3 THEN '' WHEN 4 THEN NULL ELSE key END AS key, CASE WHEN ord % 23 = 5 THEN 'nowhere' ELSE source END AS source,
+  ord % 29 = 6 AS broken, 'cls_' || (ord * 7 % 5) AS file, ord FROM ({V.LABEL_ROWS})"""
+
+
+def _label_files(spark, d):
+    i = F.col("ord")
+    rows = V.label_rows(spark, d).withColumns({"key": F.when(i % 19 == 3, "").when(i % 19 != 4, F.col("key")), "source": F.when(i % 23 == 5, "nowhere").otherwise(F.col("source"))})
+    line = F.to_json(F.struct("key", "source", "is_programming_blog", "topics", "kind", "one_line", "confidence"))
+    lines = rows.select(F.when(i % 29 == 6, F.left(line, F.lit(9))).otherwise(line).alias("value"), F.concat(F.lit("cls_"), (i * 7 % 5).cast("string"), F.lit(".jsonl")).alias("file"), "ord")
+    path = _folder(spark, "labels")
+    lines.repartition("file").sortWithinPartitions("file", "ord").drop("ord").write.partitionBy("file").text(path)
+    return path
+
+
+@query(f"""SELECT key, source, one_line FROM (SELECT l.*, v.one_line FROM ({LABEL_LINES}) AS l JOIN ({V.LABEL_ROWS}) AS v USING (ord))
+WHERE NOT broken AND key <> '' AND source <> 'nowhere' QUALIFY row_number() OVER (PARTITION BY key ORDER BY file DESC, ord DESC) = 1""")
+def read_labels(spark, d):
+    return readers.read_labels(spark, _label_files(spark, d))[0].select("key", "source", "one_line")
+
+
+@query(f"SELECT count(*) FILTER (broken) AS n_malformed, count(*) FILTER (broken OR coalesce(key, '') = '' OR source = 'nowhere') AS n_bad FROM ({LABEL_LINES})")
+def read_labels_bad(spark, d):
+    return readers.read_labels(spark, _label_files(spark, d))[1]
+
+
+@query(f"SELECT key, 'Feed of ' || key AS feed_title, CAST(row_number() OVER (PARTITION BY key ORDER BY pos) - 1 AS INTEGER) AS pos, title, ts AS published FROM ({V.FEED_ENTRIES})")
+def read_feeds(spark, d):
+    """Feed records written as JSON lines and read back, entry by entry."""
+    entry = F.struct("pos", "title", "url", F.col("ts").alias("published"))
+    entries = F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["title"].alias("title"), e["url"].alias("url"), e["published"].alias("published")))
+    path = _folder(spark, "feeds")
+    V.feed_entries(spark, d).groupBy("key").agg(entries.alias("entries")).withColumn("feed_title", F.concat(F.lit("Feed of "), "key")).write.json(path)
+    return readers.feed_entries(readers.read_feeds(spark, path)).select("key", "feed_title", "pos", "title", "published")
+
+
+@query(f"SELECT key, source, 'source' AS part FROM ({LAST}) UNION ALL SELECT key, NULL, 'deny' FROM ({LAST}) WHERE toxic = 1")
+def read_overrides(spark, d):
+    """The labels of all publishers as a document of hand overrides, read back."""
+    rows, path = _labels(spark, d), _folder(spark, "overrides")  # a row per publisher, as such a document has
+    listed = F.collect_list(F.struct("key", "source"))
+    rows.agg(F.to_json(F.struct(F.map_from_entries(listed).alias("source"), F.collect_list(F.when(F.col("toxic") == 1, F.col("key"))).alias("deny"))).alias("value")).write.text(path)
+    source, deny = readers.read_overrides(spark, path)
+    return source.select("key", "source", F.lit("source").alias("part")).unionByName(deny.select("key", F.lit(None).cast("string").alias("source"), F.lit("deny").alias("part")))
+
+
+@query(f"SELECT key, n_stories, total_points, median_points, array_to_string(sample_titles, ' | ') AS titles, CAST(row_number() OVER (ORDER BY n_stories DESC, total_points DESC, key) AS INTEGER) AS place FROM ({CANDIDATES(V.DOC_STORIES, 3)})")
+def written_candidates(spark, d):
+    """Candidates written as JSON lines in order, and read back with their places."""
+    path = _folder(spark, "candidates")
+    writers.write_candidates(stories.aggregate_blogs(V.doc_stories(spark, d)), path)
+    lines = spark.read.schema(readers.CANDIDATE).json(path).select("*", F.struct(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    numbered = number_sorted(lines, "at", name="n")
+    return numbered.select("key", "n_stories", "total_points", "median_points", F.array_join("sample_titles", " | ").alias("titles"), (F.col("n") + 1).cast("int").alias("place"))
+
+
+@query(f"""SELECT CAST(rn // 150 AS INTEGER) AS batch, string_agg((rn % 150 + 1) || '. key=' || key || ' | home=' || home || ' | hn_stories=' || n_stories || ' median_pts=' || median_points || ' max_pts=' || max_points
+ || chr(10) || '   top_titles: ' || array_to_string(list_transform(sample_titles[1:4], lambda t: left(t, 110)), ' :: ') || chr(10), chr(10) || chr(10) ORDER BY rn) AS text FROM ({NUMBERED}) GROUP BY 1""")
+def written_batches(spark, d):
+    """Batch files written and read back, a file to a batch."""
+    path = _folder(spark, "batches")
+    writers.write_batches(batches.compact_lines(stories.aggregate_blogs(V.line_stories(spark, d))), path)
+    return spark.read.text(path, wholetext=True).select("batch", F.expr("left(value, length(value) - 1)").alias("text"))
+
+
+@query(f"""SELECT i, host, CAST(row_number() OVER (PARTITION BY host ORDER BY day, i) - 1 AS INTEGER) AS queue_pos FROM (
+  SELECT *, lower(regexp_extract(url, '^[^:]+://([^/?#]*)', 1)) AS host FROM ({LINKS}) ORDER BY day, i LIMIT 120)""")
+def crawl_plan_limited(spark, d):
+    """The 120 oldest links, which is what a run of that limit asks for."""
+    return posts.crawl_plan(_links(spark, d), limit=120).select("i", "host", "queue_pos")
+
+
+CAPPED = f"""WITH RECURSIVE e AS MATERIALIZED (
+  SELECT key, feed_ord, dense_rank() OVER (ORDER BY feed_ord) AS feed, {_canonical()} AS cu, ts, pos FROM ({VALID}) WHERE key NOT IN ({FIREHOSE}) AND title NOT LIKE 'Re: %'
+  QUALIFY row_number() OVER (PARTITION BY key, cu ORDER BY ts DESC, pos) = 1
+), r AS (
+  SELECT CAST(0 AS BIGINT) AS feed, CAST([] AS VARCHAR[]) AS taken, CAST([] AS VARCHAR[]) AS own
+  UNION ALL
+  SELECT feed, list_concat(any_value(taken), coalesce(list(cu) FILTER (cu IS NOT NULL AND n <= 12), [])), coalesce(list(cu) FILTER (cu IS NOT NULL AND n <= 12), []) FROM (
+    SELECT r.feed + 1 AS feed, r.taken, e.cu, row_number() OVER (ORDER BY e.ts DESC NULLS LAST, e.pos) AS n
+    FROM r LEFT JOIN e ON e.feed = r.feed + 1 AND NOT list_contains(r.taken, e.cu) WHERE r.feed < (SELECT max(feed) FROM e)) GROUP BY feed
+)
+SELECT e.key, e.cu AS canonical_url, e.ts FROM e JOIN (SELECT feed, unnest(own) AS cu FROM r) AS o USING (feed, cu)"""
+SQL["capped_feed_entries"] = CAPPED
+
+
+def _answers(url: str) -> tuple[int, str, str, str]:
+    """A web of a home page per number, by remainders of five: one that links to its feed, one with a
+    feed at the second usual address, one whose feed is gone, one that is down but for an address, one without."""
+    m = re.match(r"https://p(\d+)\.example(.*)$", url)
+    n, path = int(m[1]), m[2]
+    kind = n % 5
+    if kind == 0:
+        return (200, "text/html", '<link type="application/rss+xml" href="/own.xml">', url) if path == "" else (200, "text/plain", f"<rss>{n}</rss>", url) if path == "/own.xml" else (404, "", "", url)
+    if kind == 1 and path == K.FEED_PATHS[1]:
+        return 200, "application/xml", f"<feed>{n}</feed>", url
+    if kind == 2:
+        return (200, "text/html", '<link type="application/atom+xml" href="/gone">', url) if path == "" else (410, "text/html", "gone", url)
+    if kind == 3:
+        if path != K.FEED_PATHS[3]:
+            raise ConnectionError(url)
+        return 200, "text/html", f'<?xml version="1.0"?><rss>{n}</rss>', url
+    return 404, "text/html", "", url
+
+
+@query(f"""SELECT page_id, CASE page_id % 5 WHEN 0 THEN home || '/own.xml' WHEN 1 THEN home || '{K.FEED_PATHS[1]}' WHEN 2 THEN home || '/gone' WHEN 3 THEN home || '{K.FEED_PATHS[3]}' END AS feed,
+ CASE page_id % 5 WHEN 0 THEN '<rss>' || page_id || '</rss>' WHEN 1 THEN '<feed>' || page_id || '</feed>' WHEN 3 THEN '<?xml version="1.0"?><rss>' || page_id || '</rss>' END AS content,
+ CASE page_id % 5 WHEN 2 THEN 'empty' WHEN 4 THEN 'no-feed' END AS error FROM (SELECT page_id, 'https://p' || page_id || '.example' AS home FROM pages)""")
+def fetched_feeds(spark, d):
+    """A blog per page, fetched from a web that is a function of the address."""
+    i = F.col("page_id").cast("string")
+    homes = V.table(spark, d, "pages").select(i.alias("key"), F.concat(F.lit("https://p"), i, F.lit(".example")).alias("home"))
+    return feeds.fetch_feeds(homes, _answers, 8).select(F.col("key").cast("long").alias("page_id"), "feed", "content", "error")
+
+
+def _probe(method: str, url: str) -> tuple[int, str]:
+    """An answer by the last digits of the address."""
+    import ssl
+
+    n = int(url.rpartition("=")[2]) % 10
+    errors = {0: ssl.SSLError, 1: ConnectionError, 2: TimeoutError, 3: ValueError}
+    if n in errors:
+        raise errors[n](url)
+    if n == 4:
+        return (405, url) if method == "HEAD" else (200, url)
+    if n == 5:
+        return (503, url) if method == "HEAD" else (502, url)
+    return (404, url) if n == 6 else (200, url + "/moved") if n == 7 else (200, url)
+
+
+@query("""SELECT page_id AS i, CAST([-2, -3, -4, -1, 200, 502, 404, 200, 200, 200][page_id % 10 + 1] AS INTEGER) AS status, CASE WHEN page_id % 10 = 7 THEN url || '#n=' || page_id || '/moved' ELSE '' END AS final FROM pages""")
+def checked_links(spark, d):
+    """Every page's link, checked on a web that is a function of the address."""
+    links = _links(spark, d).withColumn("url", F.concat("url", F.lit("#n="), F.col("i").cast("string")))
+    return feeds.check_links(posts.crawl_plan(links), _probe, 0.0, 8).select("i", "status", "final")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS \"objectID\", CAST(floor(epoch(ts)) AS BIGINT) AS created_at_i FROM events WHERE event_id % 4 <> 1")
+def pulled_pages(spark, d):
+    """Events as a source of pages, newest first, some without the points that are asked for."""
+    from pubweave.streaming.ingest import pull_pages
+
+    table = V.table(spark, d, "events").select(F.col("event_id").cast("string").alias("objectID"), F.unix_timestamp("ts").alias("created_at_i"), F.when(F.col("event_id") % 4 == 1, 3).otherwise(30).alias("points"))
+    base = _folder(spark, "pull")
+
+    def pager(cursor: int) -> list[dict]:
+        """A request: at most 20,000 stories."""
+        return [r.asDict() for r in table.filter(F.col("created_at_i") <= cursor).orderBy(F.desc("created_at_i"), "objectID").limit(20_000).collect()]
+
+    pull_pages(spark, pager, f"{base}/out", f"{base}/state", 2_000_000_000, stop_after=2)
+    return spark.read.parquet(f"{base}/out").select("objectID", "created_at_i")
+
+
+@query("SELECT 'u' || user_id AS key, count(*) AS n FROM events WHERE event_id % 2 = 0 OR user_id NOT IN (SELECT user_id FROM events WHERE event_id % 2 = 0) GROUP BY 1")
+def worked_keys(spark, d):
+    """Work on keys in two runs: the second leaves alone what the first has done."""
+    from pubweave.streaming.ingest import work_stream
+
+    base, table = _folder(spark, "work"), V.table(spark, d, "events")
+    for k in (0, 1):
+        table.filter(F.col("event_id") % 2 == k).groupBy(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("key")).agg(F.count(F.lit(1)).alias("n")).write.json(f"{base}/in/{k}")
+        work_stream(spark, f"{base}/in/*", "key string, n long", "key", f"{base}/done", f"{base}/checkpoint", lambda df: df).awaitTermination()
+    return spark.read.parquet(f"{base}/done").select("key", "n")
+
+
+RULED = f"""WITH h AS (SELECT page_id, {HOST} AS host, regexp_extract(url, '^[a-z]+://[^/?#]*/+([^/;?#]+)', 1) AS first FROM pages WHERE {_part(1)} IN ('http', 'https'))
+SELECT page_id, host AS key, 'https://' || host AS home FROM h WHERE host LIKE '%.%'"""
+
+
+@query(RULED)
+def publisher_keys_by_rules(spark, d):
+    """Publishers by a table of suffix rules, with a wildcard and an exception to it."""
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+    return stories.with_blog_key(V.table(spark, d, "pages").select("page_id", "url"), rules).select("page_id", "key", "home")
+
+
+@query(f"SELECT post_id, day, points, title FROM ({INDEX}) WHERE blog_id = 1")
+def read_blog(spark, d):
+    """One blog's posts out of an index written to files."""
+    path, scanned, ranked = _folder(spark, "index"), V.doc_stories(spark, d).agg(F.count(F.lit(1)).alias("n_stories_scanned")), _ranked(spark, d)
+    rows, table = _index(spark, d, ranked), blogs.blog_rows(ranked)
+    writers.write_index(rows, table, posts.index_meta(rows, table, scanned, V.AS_OF), path, shelves=4)
+    return readers.read_blog(spark, path, 1).select("post_id", "day", "points", "title")

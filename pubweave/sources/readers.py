@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubweave import constants as K
@@ -32,14 +32,22 @@ def read_stories(spark: SparkSession, path: str) -> DataFrame:
 
 def read_labels(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(labels, bad): the last row of each key in order of file name and line, and one row
-    with the numbers of malformed lines, and of malformed or out-of-range ones. Blank lines
-    don't count."""
-    files = spark.read.text(f"{path}/*.jsonl", wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
-    lines = files.filter(F.trim("value") != "")
+    with the numbers of malformed lines, and of malformed or out-of-range ones, which lack a
+    key (null or empty) or a known source. Blank lines don't count.
+
+    Files are read in blocks, so a large one is many tasks; ``line`` grows with a line's place
+    in its file (the block it starts in, then its place there). A folder of that name, as
+    Spark writes, counts as one file, its parts in order of their names.
+    """
+    where = F.col("_metadata.file_path")
+    at = F.struct(where.alias("part"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    name = F.regexp_extract(where, r"([^/]+\.jsonl)(?:/[^/]*)?$", 1)
+    lines = spark.read.text(f"{path}/*.jsonl").select(name.alias("file"), at.alias("line"), "value").filter(F.trim("value") != "")
     parsed = lines.withColumn("_r", F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", LABEL)))
-    good = F.coalesce(F.col("_r.key").isNotNull() & F.col("_r.source").isin(K.SOURCE_SLUGS), F.lit(False))
-    last = Window.partitionBy("_r.key").orderBy(F.desc("file"), F.desc("line"))
-    labels = parsed.filter(good).withColumn("_n", F.row_number().over(last)).filter("_n = 1").select("_r.*", "file", "line")
+    good = F.coalesce((F.col("_r.key") != "") & F.col("_r.source").isin(K.SOURCE_SLUGS), F.lit(False))
+    own = F.struct("_r", F.struct("file", "line").alias("at"))
+    last = parsed.filter(good).groupBy("_r.key").agg(F.max_by(own, F.struct("file", "line")).alias("_l"))
+    labels = last.select("_l._r.*", "_l.at.file", "_l.at.line")
     return labels, parsed.agg(F.count_if(F.col("_r").isNull()).alias("n_malformed"), F.count_if(~good).alias("n_bad"))
 
 
@@ -50,7 +58,9 @@ def last_labels(labels: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
-    return _json_lines(spark.read.text(path), FEED).select("_r.*")
+    """Feed records, with seq, their order: by file, and by line."""
+    lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("seq"))
+    return _json_lines(lines, FEED).select("_r.*", "seq")
 
 
 def feed_entries(feeds: DataFrame) -> DataFrame:
@@ -68,3 +78,10 @@ def load_index(spark: SparkSession, path: str) -> DataFrame:
     """(i, url, day) of every post of a written index."""
     posts, blogs = spark.read.parquet(f"{path}/posts"), spark.read.parquet(f"{path}/blogs")
     return posts.join(blogs, "blog_id").select(F.col("post_id").alias("i"), F.concat(F.rtrim(F.col("h"), F.lit("/")), F.col("path")).alias("url"), "day")
+
+
+def read_blog(spark: SparkSession, path: str, blog_id: int) -> DataFrame:
+    """The posts of one blog of a written index: of the posts only its shelf is listed and read."""
+    shelves = spark.read.parquet(f"{path}/meta").first()["shelves"]
+    rows = spark.read.parquet(f"{path}/posts")
+    return rows.filter((F.col("shelf") == blog_id % shelves) & (F.col("blog_id") == blog_id)).drop("shelf")

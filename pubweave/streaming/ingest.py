@@ -1,31 +1,59 @@
-"""Incremental jobs: ingest of stories, and re-runs over what isn't done yet."""
+"""Incremental jobs: ingest of stories, paged or from files, and re-runs over what isn't done yet."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pubweave.sources.readers import STORY
 
+#: Folders that a table of keyed rows is dealt to. Its column in the table.
+SHELVES, SHELF = 64, "shelf"
 
-def _there(spark: SparkSession, path: str) -> bool:
+
+def _files(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    fs, p = _files(spark, path)
     return fs.exists(p)
 
 
-def append_new(batch: DataFrame, out: str, key: str, order: list, columns: list[str]) -> None:
-    """Appends rows with a key not in the table yet, the first of each key in the batch. Of the
-    table only the keys are read; where it is large, a table partitioned or bucketed by key
-    suits better than files in a folder."""
-    first = Window.partitionBy(key).orderBy(*order)
-    rows = batch.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
-    if _there(batch.sparkSession, out):
-        rows = rows.join(batch.sparkSession.read.parquet(out).select(key), key, "left_anti")
-    rows.select(*columns).write.mode("append").parquet(out)
+def shelf_of(key: str, shelves: int = SHELVES) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shelves)).cast("int")
+
+
+def known_keys(spark: SparkSession, out: str, key: str, shelves: list[int]) -> DataFrame | None:
+    """The keys of a table's given shelves; other shelves are not even listed. None where none is there."""
+    paths = [f"{out}/{SHELF}={s}" for s in shelves if _there(spark, f"{out}/{SHELF}={s}")]
+    return spark.read.option("basePath", out).parquet(*paths).select(key) if paths else None
+
+
+def append_new(batch: DataFrame, out: str, key: str, order: list, columns: list[str], shelves: int = SHELVES) -> int:
+    """Appends the rows with a key not in the table yet, the first of each key in the batch, and
+    says how many.
+
+    The table lies in a folder per shelf of keys, so a batch meets the keys of the shelves that it
+    touches, and a small batch few of them; the rows of a shelf are written as one file. A batch
+    that is repeated after a failure finds its own rows there.
+    """
+    spark = batch.sparkSession
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    rows = batch.withColumn("_rn", first).filter("_rn = 1").drop("_rn").select(*columns, shelf_of(key, shelves).alias(SHELF)).persist()
+    try:
+        touched = [r[0] for r in rows.select(SHELF).distinct().collect()]  # as many as there are shelves
+        known = known_keys(spark, out, key, touched)
+        new, seen = rows if known is None else rows.join(known, key, "left_anti"), Observation()
+        new.repartition(SHELF).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(SHELF).parquet(out)
+    finally:
+        rows.unpersist()
+    return (seen.get or {}).get("n") or 0
 
 
 def ingest_stream(spark: SparkSession, in_dir: str, out: str, checkpoint: str, max_files: int = 1000) -> StreamingQuery:
@@ -35,18 +63,61 @@ def ingest_stream(spark: SparkSession, in_dir: str, out: str, checkpoint: str, m
     names = [x.split()[0] for x in STORY.split(", ")]
     stories = spark.readStream.schema(STORY).option("maxFilesPerTrigger", max_files).json(in_dir).filter("objectID is not null and created_at_i is not null")
     stories = stories.select(*names, F.col("_metadata.file_modification_time").alias("_time"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
-    # in order of arrival: of the files, and of the lines of a file
-    step = lambda batch, _: append_new(batch.withColumn("_line", F.monotonically_increasing_id()), out, "objectID", ["_time", "_file", "_block", "_line"], names)
+
+    def step(batch: DataFrame, _: int) -> None:
+        # in order of arrival: of the files, and of the lines of a file
+        append_new(batch.withColumn("_line", F.monotonically_increasing_id()), out, "objectID", ["_time", "_file", "_block", "_line"], names)
+
     return stories.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def work_stream(spark: SparkSession, in_dir: str, schema: str, key: str, done: str, checkpoint: str, work: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    """Applies feed or link work to rows of new files whose key isn't in the table of results."""
+def _offset(spark: SparkSession, path: str) -> dict | None:
+    rows = spark.read.text(path).collect() if _there(spark, path) else []  # one line
+    return json.loads(rows[0][0]) if rows else None
+
+
+def pull_pages(spark: SparkSession, pager: Callable[[int], list[dict]], out: str, state: str, start: int, stop_after: int = 0, bar: int = 25, oldest: int = 1_160_000_000) -> int:
+    """Takes in the stories of a source that gives them by pages, newest first: ``pager(cursor)`` has
+    some of those not younger than the cursor. Returns how many were new.
+
+    From ``start`` on, each page's last time is the next cursor (one less where the page had
+    nothing new), until a page is empty, ``oldest`` is reached or, with ``stop_after``, so
+    many pages one after the other had no new id: the head is known. Only stories of ``bar``
+    points are taken. The place is kept in ``state`` after each page is stored; a run
+    that was broken off goes on there, a run that ended begins at ``start``. A page is one
+    request's rows, so it may go through the driver.
+    """
+    names = [x.split()[0] for x in STORY.split(", ")]
+    at = _offset(spark, state) or {"cursor": start, "dry": 0, "done": True}
+    cursor, dry, total = (start, 0, 0) if at["done"] else (at["cursor"], at["dry"], 0)
+    while True:
+        page = [s for s in pager(cursor) if s.get("created_at_i") is not None and s.get("objectID") is not None]
+        done, new = not page, 0
+        if page:
+            kept = [tuple(s.get(n) for n in names) + (i,) for i, s in enumerate(page) if (s.get("points") or 0) >= bar]
+            if kept:
+                new = append_new(spark.createDataFrame(kept, f"{STORY}, _at int"), out, "objectID", ["_at"], names)
+            last = min(cursor, *(s["created_at_i"] for s in page), cursor)
+            dry = 0 if new else dry + 1
+            cursor = last if new else last - 1
+            done = last <= oldest or bool(stop_after and dry >= stop_after)
+        total += new
+        spark.createDataFrame([(json.dumps({"cursor": cursor, "dry": dry, "done": done}),)], "value string").coalesce(1).write.mode("overwrite").text(state)
+        if done:
+            return total
+
+
+def work_stream(spark: SparkSession, in_dir: str, schema: str, key: str, done: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], shelves: int = SHELVES) -> StreamingQuery:
+    """Applies feed or link work to rows of new files whose key isn't in the table of results. Of that
+    table only the shelves of the batch's keys are read."""
 
     def step(batch: DataFrame, _: int) -> None:
-        todo = batch.dropDuplicates([key])
-        if _there(batch.sparkSession, done):
-            todo = todo.join(batch.sparkSession.read.parquet(done).select(key), key, "left_anti")
-        work(todo).write.mode("append").parquet(done)
+        todo = batch.dropDuplicates([key]).withColumn(SHELF, shelf_of(key, shelves)).persist()
+        try:
+            known = known_keys(spark, done, key, [r[0] for r in todo.select(SHELF).distinct().collect()])
+            new = todo if known is None else todo.join(known, key, "left_anti")
+            work(new.drop(SHELF)).withColumn(SHELF, shelf_of(key, shelves)).repartition(SHELF).write.mode("append").partitionBy(SHELF).parquet(done)
+        finally:
+            todo.unpersist()
 
     return spark.readStream.schema(schema).json(in_dir).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
