@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubweave.functions import titles, urls
@@ -28,12 +28,16 @@ def dedupe_by_url(df: DataFrame) -> DataFrame:
     return best.select(*[F.col("_c").cast("long").alias(c) if c == "num_comments" else F.col(f"_b.{c}").alias(c) for c in own], "canonical_url", "repost_count", F.col("_first").alias("first_seq"))
 
 
+def _title_keys() -> list[Column]:
+    return [F.regexp_extract("canonical_url", r"^https://([^/?#]*)", 1).alias("_host"), titles.norm_title(F.col("title")).alias("_title")]
+
+
 def dedupe_by_title(df: DataFrame, keep_empty_titles: bool = False) -> DataFrame:
     """One story per host and normalised title, after ``dedupe_by_url``. The number of the
     others is added to the kept row's own count only. Titles without ASCII letters or digits
     normalise alike and merge within their host; ``keep_empty_titles`` exempts them."""
     own = [c for c in df.columns if c != "first_seq"]
-    rows = df.withColumn("_host", F.regexp_extract("canonical_url", r"^https://([^/?#]*)", 1)).withColumn("_title", titles.norm_title(F.col("title")))
+    rows = df.select("*", *_title_keys())
     keys = ["_host", "_title"]
     if keep_empty_titles:
         rows = rows.withColumn("_own", F.when(F.col("_title") == "", F.col("canonical_url")).otherwise(""))
@@ -44,16 +48,19 @@ def dedupe_by_title(df: DataFrame, keep_empty_titles: bool = False) -> DataFrame
     return best.select(*[new.get(c, F.col(f"_b.{c}")).alias(c) for c in own])
 
 
-def dedupe_stats(n0: DataFrame, n1: DataFrame, n2: DataFrame) -> DataFrame:
-    """Rows before, after URLs, after titles, and the percentages that each pass removed."""
-    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+def dedupe_stats(df: DataFrame) -> DataFrame:
+    """Rows before, after URLs, after titles, and the percentages that each pass removed. One pass over
+    the stories: a row per URL knows how many it stands for, and those are summed by title."""
+    once = dedupe_by_url(df).select((F.col("repost_count") + 1).alias("_n"), *_title_keys())
+    titles_ = once.groupBy("_host", "_title").agg(F.sum("_n").alias("_n0"), F.count(F.lit(1)).alias("_n1"))
+    sums = titles_.agg(F.coalesce(F.sum("_n0"), F.lit(0)).alias("n0"), F.coalesce(F.sum("_n1"), F.lit(0)).alias("n1"), F.count(F.lit(1)).alias("n2"))
     pct = lambda a, b: F.round(F.when(F.col(a) > 0, 100.0 * (F.col(a) - F.col(b)) / F.col(a)).otherwise(0.0), 3)
-    all_of = one(n0, "n0").crossJoin(one(n1, "n1")).crossJoin(one(n2, "n2"))  # three single rows
-    return all_of.select("n0", "n1", "n2", pct("n0", "n1").alias("url_pct"), pct("n1", "n2").alias("title_pct"), pct("n0", "n2").alias("total_pct"))
+    return sums.select("n0", "n1", "n2", pct("n0", "n1").alias("url_pct"), pct("n1", "n2").alias("title_pct"), pct("n0", "n2").alias("total_pct"))
 
 
-def with_blog_key(df: DataFrame, rules: DataFrame | None = None) -> DataFrame:
-    """Stories with key and home of their publisher; those without one, or denied, go.
+def with_blog_key(df: DataFrame, rules: DataFrame | None = None, keep: bool = False) -> DataFrame:
+    """Stories with key and home of their publisher; those without one, or denied, go, or, with
+    ``keep``, stay with both null.
 
     With a table of public-suffix rules (see ``urls.registrable_domains``) each different host is
     resolved once and joined back; stories without a host meet nothing and go as before.
@@ -64,7 +71,8 @@ def with_blog_key(df: DataFrame, rules: DataFrame | None = None) -> DataFrame:
         hosts = urls.registrable_domains(df.select(urls.host_of(F.col("url")).alias("host")), rules).select(F.col("host").alias("_host"), F.col("domain").alias("_domain"))
         rows, domain = df.withColumn("_host", urls.host_of(F.col("url"))).join(hosts, "_host", "left"), F.col("_domain")
     keys = F.filter(F.array(urls.blog_key(F.col("url"), domain)), lambda k: k.isNotNull() & ~urls.denied(k["key"], domain))
-    return rows.withColumn("_k", F.explode(keys)).withColumns({"key": F.col("_k.key"), "home": F.col("_k.home")}).drop("_k", "_host", "_domain")
+    each = F.explode_outer(keys) if keep else F.explode(keys)
+    return rows.withColumn("_k", each).withColumns({"key": F.col("_k.key"), "home": F.col("_k.home")}).drop("_k", "_host", "_domain")
 
 
 def top_samples(stories: DataFrame, n: int = 5) -> DataFrame:
@@ -90,9 +98,10 @@ def min_stories_filter(df: DataFrame, n: int) -> DataFrame:
     return df.filter(F.col("n_stories") >= n)
 
 
-def aggregate_stats(stories: DataFrame, keyed: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Stories read, those skipped or denied, distinct keys, candidates."""
-    read = stories.agg(F.count(F.lit(1)).alias("n_read"))
-    kept = keyed.agg(F.count(F.lit(1)).alias("_k"), F.countDistinct("key").alias("n_keys"))
-    found = candidates.agg(F.count(F.lit(1)).alias("n_candidates"))
-    return read.crossJoin(kept).crossJoin(found).select("n_read", (F.col("n_read") - F.col("_k")).alias("n_skipped"), "n_keys", "n_candidates")
+def aggregate_stats(stories: DataFrame, min_stories: int = 3, rules: DataFrame | None = None) -> DataFrame:
+    """Stories read, those skipped or denied, distinct keys, candidates: one count per key, summed up."""
+    counts = with_blog_key(stories, rules, keep=True).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    there, total = F.col("key").isNotNull(), lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return counts.agg(
+        total(F.col("n")).alias("n_read"), total(F.when(~there, F.col("n"))).alias("n_skipped"), F.count_if(there).alias("n_keys"), F.count_if(there & (F.col("n") >= min_stories)).alias("n_candidates"),
+    )

@@ -148,9 +148,7 @@ def dedupe_by_title(spark, d):
 @query(f"""SELECT n0, n1, n2, round(100.0 * (n0 - n1) / n0, 3) AS url_pct, round(100.0 * (n1 - n2) / n1, 3) AS title_pct, round(100.0 * (n0 - n2) / n0, 3) AS total_pct FROM
 (SELECT count(*) AS n0 FROM documents), (SELECT count(*) AS n1 FROM ({BY_URL(V.DOC_STORIES)})), (SELECT count(*) AS n2 FROM ({BY_TITLE(V.DOC_STORIES)}))""")
 def dedupe_stats(spark, d):
-    rows = V.doc_stories(spark, d).select(*STORY_COLUMNS)
-    once = stories.dedupe_by_url(rows)
-    return stories.dedupe_stats(rows, once, stories.dedupe_by_title(once))
+    return stories.dedupe_stats(V.doc_stories(spark, d).select(*STORY_COLUMNS))
 
 
 CANDIDATES = lambda view, n: f"""SELECT key, any_value(home) AS home, count(*) AS n_stories, CAST(sum(points) AS BIGINT) AS total_points, CAST(trunc(quantile_cont(points, 0.5)) AS INTEGER) AS median_points,
@@ -167,8 +165,7 @@ def candidate_blogs(spark, d):
 @query(f"""SELECT count(*) AS n_read, count(*) FILTER (NOT ok) AS n_skipped, count(DISTINCT key) FILTER (ok) AS n_keys, (SELECT count(*) FROM (SELECT key FROM (SELECT {HOST} AS key FROM pages) GROUP BY key HAVING count(*) >= 3)) AS n_candidates
 FROM (SELECT {HOST} AS key, {HOST} LIKE '%.%' AS ok FROM pages)""")
 def candidate_stats(spark, d):
-    keyed = stories.with_blog_key(V.page_stories(spark, d))
-    return stories.aggregate_stats(V.page_stories(spark, d), keyed, stories.aggregate_blogs(keyed))
+    return stories.aggregate_stats(V.page_stories(spark, d))
 
 
 @query(f"SELECT key, rn, title, url FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY points DESC, seq) AS rn FROM ({V.LINE_STORIES})) WHERE rn <= 5")
