@@ -448,9 +448,9 @@ def capped_own_entries(spark, d):
     return feeds.cap_feed_entries(kept).select("key", "canonical_url", "ts")
 
 
-@query(f"SELECT (SELECT count(*) FROM customer) AS n_feeds, 0 AS n_forums, count(DISTINCT key) AS n_with_entries, count(*) FILTER (NOT (ts <> 0 AND ts BETWEEN {K.DAY0} AND {V.AS_OF + 172800})) AS n_bad_dates, (SELECT count(*) FROM ({FIREHOSE})) AS n_firehoses FROM ({V.FEED_ENTRIES})")
+@query(f"SELECT (SELECT count(*) FROM customer) AS n_feeds, (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0) AS n_forums, count(DISTINCT key) AS n_with_entries, count(*) FILTER (NOT (ts <> 0 AND ts BETWEEN {K.DAY0} AND {V.AS_OF + 172800})) AS n_bad_dates, (SELECT count(*) FROM ({FIREHOSE})) AS n_firehoses FROM ({V.FEED_ENTRIES})")
 def feed_summary(spark, d):
-    listed = V.table(spark, d, "customer").select(F.concat(F.lit("blog."), F.col("c_custkey").cast("string"), F.lit(".example")).alias("key"))
+    listed = V.table(spark, d, "customer").select(F.concat(F.when(F.col("c_custkey") % 10 == 0, "forum.").otherwise("blog."), F.col("c_custkey").cast("string"), F.lit(".example")).alias("key"))
     return feeds.feed_summary(listed, V.feed_entries(spark, d), V.AS_OF)
 
 
@@ -637,15 +637,25 @@ FORMS_OF = f"""list_distinct([t] || CASE WHEN {SLIP} THEN
    || list_transform({PLACES}, lambda i: left(t, CAST(i - 1 AS INTEGER)) || '_' || substr(t, CAST(i AS INTEGER)))
    || list_transform(range(2, CAST(length(t) AS BIGINT)), lambda i: left(t, CAST(i - 1 AS INTEGER)) || substr(t, CAST(i + 1 AS INTEGER), 1) || substr(t, CAST(i AS INTEGER), 1) || substr(t, CAST(i + 2 AS INTEGER)))
   ELSE [] END)"""
-# no title has all 20 words or more of a benchmark text in order (a fixture test covers strict pages), so every page is a fallback
+OR_FORMS = f"'(' || array_to_string(list_transform({FORMS_OF}, lambda f: replace(regexp_escape(f), '_', '.')), '|') || ')'"
+# no benchmark text has 25 strict matches, so every page is a fallback; search_tiers and a fixture cover strict pages
 MANY_PAGES = f"""
 WITH posts AS (SELECT post_id, score, lower(title) AS title FROM ({DOC_POSTS})), titles AS (SELECT DISTINCT title FROM posts),
- terms AS (SELECT item_id AS query_id, t FROM (SELECT item_id, unnest(regexp_split_to_array(trim(lower(text), ' ' || chr(9) || chr(10) || chr(13)), '\\s+')) AS t FROM benchmark) WHERE length(t) > 2),
+ q AS (SELECT item_id AS query_id, regexp_split_to_array(trim(lower(text), ' ' || chr(9) || chr(10) || chr(13)), '\\s+') AS ts FROM benchmark),
+ need AS (
+  SELECT query_id, len(list_filter(ts, lambda t: length(t) > 2)) AS n_long, len(list_distinct(ts)) AS n_all,
+    array_to_string(list_transform(ts, lambda t: {OR_FORMS}), '.*') AS pattern FROM q
+ ),
+ terms AS (SELECT query_id, unnest(ts) AS t FROM q),
  forms AS (SELECT t, unnest({FORMS_OF}) AS form FROM (SELECT DISTINCT t FROM terms)),
  met AS (SELECT DISTINCT t, title FROM forms JOIN titles ON title LIKE '%' || form || '%'),
- need AS (SELECT query_id, CASE WHEN count(*) >= 3 THEN 2 ELSE 1 END AS need FROM terms GROUP BY query_id),
- hit AS (SELECT query_id, title, count(*) AS hits FROM terms JOIN met USING (t) GROUP BY ALL),
- pool AS (SELECT query_id, post_id, score, CAST(hits AS INTEGER) AS hits, count(*) OVER (PARTITION BY query_id) AS total FROM hit JOIN need USING (query_id) JOIN posts USING (title) WHERE hits >= need),
+ hit AS (SELECT query_id, title, count(*) FILTER (length(t) > 2) AS n, count(DISTINCT t) AS n_terms FROM terms JOIN met USING (t) GROUP BY query_id, title),
+ found AS (SELECT query_id, title, n, n_long, CASE WHEN n_terms = n_all THEN regexp_matches(title, pattern) ELSE false END AS strict FROM hit JOIN need USING (query_id)),
+ scored AS (SELECT *, CAST(n + CASE WHEN strict THEN n_long + 1 ELSE 0 END AS INTEGER) AS hits FROM found JOIN posts USING (title)),
+ pool AS (
+  SELECT *, count(*) OVER (PARTITION BY query_id) AS total FROM scored WHERE hits >= CASE WHEN n_long >= 3 THEN 2 ELSE 1 END
+  AND query_id NOT IN (SELECT query_id FROM scored WHERE strict GROUP BY query_id HAVING count(*) >= 25)
+ ),
  top AS (SELECT * FROM pool QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, post_id) <= 3000)
 SELECT query_id, post_id, hits, CAST(row_number() OVER (PARTITION BY query_id ORDER BY hits DESC, score DESC, post_id) AS INTEGER) AS rank, total FROM top QUALIFY rank <= 40"""
 
