@@ -34,12 +34,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame, written to the shared folder as Parquet and read back: later reads take only
-    the columns they need, and its size on disk tells Spark whether it may be broadcast."""
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The frame, written to the shared folder as Parquet and read back, and its path: later reads
+    take only the columns they need, and its size on disk tells Spark whether it may be broadcast."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    return stored(df, name)[0]
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -54,12 +58,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner remove the shuffle files and checkpoints of frames that nothing refers
-    to any more. It acts on the driver's collections, which a loop of small jobs may not cause."""
-    spark._jvm.System.gc()
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, without a copy. An Arrow batch is bounded by Spark in
     bytes; its Python objects take more, so only a slice at a time is turned into them."""
@@ -87,10 +85,15 @@ def let(value: Column, use) -> Column:
 
 
 def text_key(text_col: str) -> Column:
-    """A 64-bit hash that stands for the text; null counts as empty."""
+    """A 64-bit hash by which equal texts meet; null counts as empty. Different texts may share it."""
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
+def text_digest(text_col: str) -> Column:
+    """128 bits of the text's SHA-256, which stand for it; null counts as empty."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)), 1, 16)
+
+
 def without_repeats(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One of the rows that have both id and text in common, null ids too. The tie between
     rows that differ in other columns is broken by a hash of the row, so not by order.
@@ -117,7 +120,7 @@ def components(edges: DataFrame) -> DataFrame:
     meet its minimum by a join, whose hot keys adaptive execution splits.
     """
     state = lambda df: df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    e = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    e, path = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = state(e)
     while seen["n"]:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -130,9 +133,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         met = down.join(least, "a")
         small = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        e = checkpointed(small.filter("a <> b").distinct())
-        del both, least, large, down, met, small
-        release(edges.sparkSession)
+        before = path
+        e, path = stored(small.filter("a <> b").distinct(), "edges")
+        remove(edges.sparkSession, before)
         now = state(e)
         if now == seen:
             break

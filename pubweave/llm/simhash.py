@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubweave.llm.common import checkpointed, components
-from pubweave.llm.neardedup import drop_near_duplicates  # noqa: F401  the pipeline's stage, of other parameters
 
 #: Fingerprints of at most this many differing bits are linked.
 RADIUS = 3

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from pubweave.llm import bpe, chat, exactdedup, langid, licenses, mixing, quality, simhash, urlfilter, warc
+from pubweave.llm import bpe, chat, exactdedup, langid, licenses, mixing, neardedup, quality, simhash, urlfilter, warc
 from pubweave.llm.queries import URL_RULES, default_vocabulary
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, rank string"
@@ -145,7 +145,7 @@ def test_near_duplicates_edges(docs, none):
     assert got[3].fingerprint == got[4].fingerprint == "0" * 16 and got[3].component_id == got[4].component_id == 3
     assert got[1].component_id == got[2].component_id == got[None].component_id == 1
     assert simhash.near_duplicates(none).count() == 0
-    assert {1, 3, 5} <= {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    assert {1, 3, 5} <= {r.doc_id for r in neardedup.drop_near_duplicates(docs).collect()}
 
 
 # --- mixing
