@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 NOTICES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
     "MIT": [
@@ -76,4 +78,7 @@ FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""
 distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
 }
 
-TEMPLATES = {name: [*NOTICES.get(name, []), *([LICENCES[name]] if name in LICENCES else [])] for name in dict.fromkeys([*NOTICES, *LICENCES])}
+#: Whole long licences, as published: fixed values, a file each.
+WHOLE = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in sorted((files(__package__) / "license_files").iterdir(), key=lambda f: f.name)}
+
+TEMPLATES = {name: [x for texts in (NOTICES.get(name, []), [LICENCES.get(name)], [WHOLE.get(name)]) for x in texts if x] for name in dict.fromkeys([*NOTICES, *LICENCES, *WHOLE])}

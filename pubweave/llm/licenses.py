@@ -6,15 +6,16 @@ import math
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pubweave.llm.common import let, written
 from pubweave.llm.license_texts import TEMPLATES
 
 WIDTH = 5
-#: Templates per pass over the texts: their tables are broadcast, and this bounds them (to some 20 MB).
-PER_PASS = 4096
+#: Bytes of shingles, as text, of the templates that a pass over the texts broadcasts, or of one
+#: template, if that has more. A band's row takes some 30 bytes, and a template has one per band.
+PASS_BYTES = 16 << 20
 
 
 def template_shingles(notice: str) -> list[str]:
@@ -60,16 +61,32 @@ def _least(hashes: Column, band: Column) -> Column:
     return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, band)))
 
 
-def template_tables(spark: SparkSession, listed: list[tuple[int, str, str]], bands: int) -> tuple[DataFrame, DataFrame]:
-    """Of templates (number, license, text): (tid, license, shingles), and the bands by the
-    shingle that is least in them: (shingle, tid, c, bands of (band, key))."""
-    rows = [F.struct(F.lit(tid).alias("tid"), F.lit(name).alias("license"), F.lit(window_class(len(template_shingles(text)))).alias("c"), F.lit(text).alias("text")) for tid, name, text in listed]
-    texts = spark.range(1).select(F.inline(F.array(*rows))).select("tid", "license", "c", F.explode(F.array(_hashed(_words(F.col("text"))))).alias("x"))
-    known = texts.select("tid", "license", F.array_distinct(_shingles(F.col("x.w"))).alias("shingles"))
+def template_table(spark: SparkSession, templates: dict[str, list[str]] | DataFrame | None = None) -> DataFrame:
+    """(tid, license, words, shingles, c, n_bytes) of templates: a table (license, text), texts by license, or the built-in ones."""
+    if not isinstance(templates, DataFrame):
+        listed = [F.struct(F.lit(name).alias("license"), F.lit(t).alias("text")) for name, ts in (TEMPLATES if templates is None else templates).items() for t in ts]
+        templates = spark.range(1).select(F.inline(F.array(*listed)))
+    rows = templates.select("license", "text").distinct().select(F.xxhash64("license", "text").alias("tid"), "license", F.explode(F.array(_words(F.col("text")))).alias("words"))
+    rows = rows.withColumn("shingles", F.explode(F.array(F.array_distinct(_shingles(F.col("words"))))))
+    # the least power of two from the number of shingles on: see window_class
+    c = F.lit(2).cast("double") ** F.ceil(F.log2(F.size("shingles").cast("double")) - 1e-9)
+    n_bytes = F.aggregate("shingles", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + 8)
+    return written(rows.select("tid", "license", "words", "shingles", c.cast("int").alias("c"), n_bytes.alias("n_bytes")), "license-templates")
+
+
+def passes_of(table: DataFrame, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """(tid, pass): templates in passes of ``pass_bytes``, to which the last one of a pass may add
+    its own size, in order of their numbers. Only numbers and sizes meet in the window."""
+    before = F.sum("n_bytes").over(Window.orderBy("tid").rowsBetween(Window.unboundedPreceding, -1))
+    return table.select("tid", F.floor(F.coalesce(before, F.lit(0)) / pass_bytes).cast("long").alias("pass"))
+
+
+def template_bands(table: DataFrame, bands: int) -> DataFrame:
+    """The bands of templates by the shingle that is least in them: (shingle, tid, c, bands of (band, key))."""
+    texts = table.select("tid", "c", F.explode(F.array(_hashed(F.col("words")))).alias("x"))
     least = lambda b: F.array_min(F.transform(F.col("x.h"), lambda h: F.struct(F.xxhash64(h, b).alias("key"), h.alias("shingle"))))
     every = texts.select("tid", "c", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), least(b).alias("least")))).alias("b"))
-    by_shingle = every.groupBy(F.col("b.least.shingle").alias("shingle"), "tid", "c").agg(F.sort_array(F.collect_list(F.struct(F.col("b.band").alias("band"), F.col("b.least.key").alias("key")))).alias("bands"))
-    return known, written(by_shingle.coalesce(1), "license-bands")
+    return every.groupBy(F.col("b.least.shingle").alias("shingle"), "tid", "c").agg(F.sort_array(F.collect_list(F.struct(F.col("b.band").alias("band"), F.col("b.least.key").alias("key")))).alias("bands"))
 
 
 def retrieved_windows(df: DataFrame, bands: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -90,7 +107,7 @@ def retrieved_windows(df: DataFrame, bands: DataFrame, id_col: str, text_col: st
 
 
 def license_notices(
-    df: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+    df: DataFrame, templates: dict[str, list[str]] | DataFrame | None = None, containment: float = 0.8, id_col: str = "doc_id", text_col: str = "text", pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """Rows (id, license, containment, first_word): the licences that a whole text states.
 
@@ -102,18 +119,25 @@ def license_notices(
     ones are read whole. Rows repeated under one id are taken together. An empty table gives
     no rows; further columns, whatever their names, are ignored.
 
+    Templates may be a table (license, text) of any size, as notices and as whole licences.
     Everything up to the verified notice stays in the text's row; nothing of the texts is
-    shuffled. Templates are broadcast ``PER_PASS`` at a time, with a pass for each such part.
+    shuffled. Templates are broadcast in parts of ``pass_bytes`` by their measured size, with a
+    pass over the texts for each.
     """
-    listed = [(i, name, t) for i, (name, t) in enumerate((n, t) for n, ts in (templates or TEMPLATES).items() for t in ts)]
-    if any(not template_shingles(t) for _, _, t in listed):
+    table = template_table(df.sparkSession, templates)
+    if not table.filter(F.size("shingles") == 0).isEmpty():
         raise ValueError(f"a template needs {WIDTH} words at least")
+    dealt = written(table.join(passes_of(table, pass_bytes), "tid"), "license-passes")
+    last = dealt.agg(F.max("pass")).first()[0]
     parts = []
-    for k in range(0, len(listed), PER_PASS):
-        known, bands = template_tables(df.sparkSession, listed[k : k + PER_PASS], n_bands(containment))
-        found = retrieved_windows(df, bands, id_col, text_col).join(F.broadcast(known), "tid")
+    for k in range(0 if last is None else last + 1):
+        own = dealt.filter(F.col("pass") == k)
+        bands = written(template_bands(own, n_bands(containment)), "license-bands")
+        found = retrieved_windows(df, bands, id_col, text_col).join(F.broadcast(own.select("tid", "license", "shingles")), "tid")
         share = F.size(F.array_intersect(_shingles(F.col("w")), F.col("shingles"))) / F.size("shingles")
         parts.append(found.select("_id", "license", share.alias("share"), F.col("at").cast("long").alias("at")).filter(F.col("share") >= containment))
+    if not parts:
+        return df.limit(0).select(F.col(id_col), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("first_word"))
     stated = reduce(DataFrame.union, parts)
     return stated.groupBy("_id", "license").agg(F.max("share").alias("containment"), F.min("at").alias("first_word")).withColumnRenamed("_id", id_col)
 
@@ -122,12 +146,15 @@ def oracle(templates: dict[str, list[str]] | None = None, containment: float = 0
     """The same rows in SQL, by counting instead of retrieval."""
     rows = []
     for i, (name, notice) in enumerate((n, t) for n, ts in (templates or TEMPLATES).items() for t in ts):
-        own = template_shingles(notice)
-        rows += [f"({i}, '{name}', {window_class(len(own))}, {len(own)}, '{s}')" for s in own]
+        own, words = template_shingles(notice), " ".join(re.findall("[a-z0-9]+", notice.lower()))
+        rows.append(f"({i}, '{name}', {window_class(len(own))}, {len(own)}, '{words}')")
+    shingles = lambda w: f"array_to_string({w}[p + 1 : p + {WIDTH}], ' ')"
     return f"""
-WITH t(tid, license, c, n, shingle) AS (VALUES {', '.join(rows)}),
+WITH v(tid, license, c, n, words) AS (VALUES {', '.join(rows)}),
+u AS (SELECT tid, license, c, n, string_split(words, ' ') AS w FROM v),
+t AS (SELECT DISTINCT tid, license, c, n, {shingles('w')} AS shingle FROM (SELECT *, unnest(range(len(w) - {WIDTH - 1})) AS p FROM u)),
 w AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
-s AS (SELECT doc_id, p, array_to_string(w[p + 1 : p + {WIDTH}], ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(len(w) - {WIDTH - 1})) AS p FROM w WHERE len(w) >= {WIDTH})),
+s AS (SELECT doc_id, p, {shingles('w')} AS shingle FROM (SELECT doc_id, w, unnest(range(len(w) - {WIDTH - 1})) AS p FROM w WHERE len(w) >= {WIDTH})),
 h AS (SELECT doc_id, tid, license, c, n, shingle, p, unnest([p // c, p // c - 1]) AS win FROM s JOIN t USING (shingle)),
 f AS (SELECT doc_id, tid, license, win * c AS starts, count(DISTINCT shingle) / CAST(n AS DOUBLE) AS share FROM h WHERE win >= 0 GROUP BY doc_id, tid, license, c, n, win)
 SELECT doc_id, license, max(share) AS containment, CAST(min(starts) AS BIGINT) AS first_word FROM f WHERE share >= {containment} GROUP BY doc_id, license"""

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pubweave.llm import chat, licenses, mixing, warc
-from pubweave.llm.license_texts import LICENCES
+from pubweave.llm.license_texts import LICENCES, WHOLE
 
 PAGE = "page_id long, url string, html string, value string, _payload string"
 
@@ -84,8 +84,10 @@ def test_bands_retrieve_what_counting_finds(spark):
         own = edited(rng, t.lower().split(), rng.choice([0, 0.01, 0.02, 0.03]))
         docs.append((i, " ".join(filler(rng.randrange(300)) + own + filler(rng.randrange(300)))))
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    listed = [(i, name, t) for i, (name, t) in enumerate(notices)]
-    _, bands = licenses.template_tables(spark, listed, licenses.n_bands(0.8))
+    table = licenses.template_table(spark, {name: [t] for name, t in notices})
+    number = {r.license: r.tid for r in table.collect()}
+    listed = [(number[name], name, t) for name, t in notices]
+    bands = licenses.template_bands(table, licenses.n_bands(0.8))
     got = {(r._id, r.tid, r["at"]) for r in licenses.retrieved_windows(df, bands, "doc_id", "text").collect()}
     want, near = set(), set()
     for i, text in docs:
@@ -109,13 +111,38 @@ def test_fewer_shingles_ask_for_more_bands():
     assert (1 - 0.5 / 4.5) ** licenses.n_bands(0.5) <= 1e-6
 
 
-def test_long_texts_and_clashing_columns(spark, monkeypatch):
+def test_long_texts_and_clashing_columns(spark):
     text = "lorem ipsum dolor sit amet " * 40_000 + LICENCES["ISC"] + " the end " + LICENCES["MIT"]
     df = spark.createDataFrame([(1, text, "w", 0, 1), (1, text, "w", 0, 1), (2, None, "w", 0, 1)], "doc_id long, text string, w string, tid int, shingle int")
     got = {(r.doc_id, r.license, r.containment) for r in licenses.license_notices(df).collect()}
     assert got == {(1, "ISC", 1.0), (1, "MIT", 1.0)}
-    monkeypatch.setattr(licenses, "PER_PASS", 5)
-    assert {(r.doc_id, r.license, r.containment) for r in licenses.license_notices(df).collect()} == got
+    assert {(r.doc_id, r.license, r.containment) for r in licenses.license_notices(df, pass_bytes=100_000).collect()} == got
+
+
+def test_whole_long_licences_from_a_table(spark):
+    rng = random.Random(4)
+    filler = lambda n: [f"f{rng.randrange(3000)}" for _ in range(n)]
+    docs = [(i, " ".join(filler(rng.randrange(900)) + edited(rng, WHOLE[name].lower().split(), share) + filler(200))) for i, (name, share) in enumerate((n, s) for n in WHOLE for s in (0, 0.01, 0.03, 0.2))]
+    df = spark.createDataFrame([*docs, (99, None)], "doc_id long, text string")
+    table = spark.createDataFrame([(n, t) for n, t in WHOLE.items()] * 2, "license string, text string")
+    sets = {n: set(licenses.template_shingles(t)) for n, t in WHOLE.items()}
+    assert max(map(len, sets.values())) > 5000
+    got = {(r.doc_id, r.license): r.containment for r in licenses.license_notices(df, table, pass_bytes=200_000).collect()}
+    want = {}
+    for i, text in docs:
+        words = licenses.re.findall("[a-z0-9]+", text.lower())
+        grams = [" ".join(words[k : k + 5]) for k in range(len(words) - 4)]
+        for n, own in sets.items():
+            c = licenses.window_class(len(own))
+            share = max(len(own & set(grams[at : at + 2 * c])) / len(own) for at in range(0, len(grams), c))
+            if share >= 0.8:
+                want[i, n] = share
+    assert got == want and len(want) >= 15
+    sizes = licenses.template_table(spark, table)
+    assert {r.c: 1 for r in sizes.collect()}.keys() == {licenses.window_class(len(s)) for s in sets.values()}
+    per_pass = sizes.join(licenses.passes_of(sizes, 200_000), "tid").groupBy("pass").agg(F.sum("n_bytes").alias("b"), F.max("n_bytes").alias("m")).collect()
+    assert len(per_pass) > 1 and all(r.b <= 200_000 + r.m for r in per_pass)
+    assert licenses.license_notices(df, table.limit(0)).count() == 0
 
 
 # --- mixing
@@ -156,4 +183,4 @@ def test_swapped_pairs(spark):
     assert side(-3) == [(0, "assistant", "n")] and side(-4) == [(0, "assistant", "m")]
     long = spark.createDataFrame([(8, i, ["user", "assistant"][i % 2], "word " * 5_000) for i in range(60)], "conv_id long, turn long, role string, text string")
     out = chat.formatted(chat.swapped_pairs(long)).first()
-    assert out.n_prompt_turns == 59 and len(out.prompt) > 1_400_000 and out.rejected == ""
+    assert out.n_prompt_turns == 59 and len(out.prompt) > 1_200_000 and out.rejected == ""
