@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, repeat
 
@@ -210,12 +210,12 @@ def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    """One per Python worker and file."""
-    return Tokenizer(path)
+def tokenizer(path: str | Callable[[], str]) -> Tokenizer:
+    """One per Python worker and file. A function gives the path where the worker runs."""
+    return Tokenizer(path() if callable(path) else path)
 
 
-def encode(text: Column, path: str) -> Column:
+def encode(text: Column, path: str | Callable[[], str]) -> Column:
     """array<int>: the ids of a whole text; null counts as empty, and gives no ids."""
 
     @F.pandas_udf("array<int>")
@@ -229,7 +229,7 @@ def encode(text: Column, path: str) -> Column:
     return ids(text)
 
 
-def decode(ids: Column, path: str) -> Column:
+def decode(ids: Column, path: str | Callable[[], str]) -> Column:
     """The text of ids, special tokens included; broken UTF-8 becomes U+FFFD. Null: null."""
 
     @F.pandas_udf("string")
@@ -240,7 +240,7 @@ def decode(ids: Column, path: str) -> Column:
     return text(ids)
 
 
-def token_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def token_digests(df: DataFrame, path: str | Callable[[], str], id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256 (of the decimal ids joined by commas),
     decoded_sha256 (of the text that the ids decode to) and, if asked for, the ids
     themselves. Null text counts as empty. Ids may repeat or be null; an empty table gives

@@ -185,7 +185,8 @@ def identify(df: DataFrame, models: Models, params: Params | None = None, text_c
     The language of the lowest cross-entropy per symbol of the whole text; ``und`` with
     score 0, rejected, where the text is null or has no letter. ``rejected`` marks texts
     whose cross-entropy is above the level calibrated for their language. Columns of the
-    input named like an added one are replaced; an empty table gives no rows.
+    input named like an added one are replaced; an empty table gives no rows. Repeated rows
+    have one verdict; of languages that fit equally well the first by name is predicted.
     """
     p = params or Params()
     shared = df.sparkSession.sparkContext.broadcast(models)
@@ -204,7 +205,9 @@ def identify(df: DataFrame, models: Models, params: Params | None = None, text_c
 
 
 def keep_identified(df: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose text isn't rejected, in the columns of the input."""
+    """The rows whose text isn't rejected, in the columns of the input. Rows without a letter go, null
+    texts among them; repeated rows stay or go together; of languages that fit equally well the
+    first by name counts. An empty table gives no rows."""
     models = fit(df, params, id_col, text_col, lang_col)
     rows = identify(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(text_col).alias("text")), models, params)
     return rows.filter("not rejected").select("row.*")

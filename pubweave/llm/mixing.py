@@ -121,7 +121,8 @@ def mix_sources(
     where it ends; texts meet only that place, so they are read twice and not shuffled, and
     a source with a third of all rows is no heavier than others. Null is a source of its
     own, last in order. Columns of the input named like an added one are replaced, others may
-    have any name. An empty table gives no rows; a null id sorts as an empty string.
+    have any name. An empty table gives no rows; a null id sorts as an empty string. Rows of one
+    id have one key, so they lie in one range and are put in order by one task.
     """
     narrow = written(_measured(df, id_col, text_col, source_col).drop("row"), "mix-sizes")
     rows = _with_taken(_measured(df, id_col, text_col, source_col), _cuts(narrow, weights, share, cap))
@@ -132,8 +133,9 @@ def mix_sources(
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", n_chars_col: str = "n_chars", **options) -> DataFrame:
     """The mix itself, in the columns of the input: a row for every time a text is taken.
 
-    The text that a budget ends in is cut after its last word taken. Texts without words
-    have nothing to take and are in no mix.
+    The text that a budget ends in is cut after its last word taken. Texts without words, null
+    ones among them, have nothing to take and are in no mix; repeated rows are taken like
+    others, in an order of their own; an empty table gives no rows.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
     mixed = mix_sources(df.select(row, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), "id", "text", "source", **options)

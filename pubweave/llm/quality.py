@@ -152,7 +152,9 @@ def judge(df: DataFrame, params: Params | None = None, id_col: str = "doc_id", t
     ``kept`` is false for documents that fail the base rules; others are kept unless one
     of their distances to the references of their language is above its limit. A
     distance is null, and admits, where the text is shorter than its guard. Null text
-    counts as empty, and a null language is one of its own. An empty table gives no rows.
+    counts as empty, and a null language as ``und``, with whatever is labelled so. Repeated rows
+    have a row each, and count each in the references. Of equally common words the first in
+    byte order are in a reference. An empty table gives no rows.
     """
     p = params or Params()
     usual = references(df, p, text_col, lang_col)

@@ -58,7 +58,7 @@ def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.token_digests(_table(spark, sf_dir, "documents"), default_vocabulary())
+    return bpe.token_digests(_table(spark, sf_dir, "documents"), default_vocabulary)
 
 
 #: Small enough that about a fifth of the pages are written in several segments, and most in several chunks.
