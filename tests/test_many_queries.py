@@ -40,7 +40,7 @@ def test_whole_words_by_counting(spark):
 
 TITLES = [
     "Writing a database from scratch", "Databse internals", "data base of a kind", "databаse in Cyrillic", "rust and trust", "A RUST data-base", "r ust", "rusty\ttools", "rus tools", "ruſt",
-    "the end", "thee nd", "then", "hten", "İstanbul café", "cafe CAFÉ", "the  database", "", None, "a b c", "x" * 50, "100% [regex] (yes).*", "r.st", "scratch database", "Kelvin kelvin", "data base",
+    "the end", "thee nd", "then", "hten", "İstanbul café", "cafe CAFÉ", "the  database", "", None, "a b c", "x" * 50, "日本語" * 20_000 + "database", "100% [regex] (yes).*", "r.st", "scratch database", "Kelvin kelvin", "data base",
 ]
 QUERIES = ["database", "rust", "database scratch", "the", "then", "café", "data base kind", "a", "a b", "regex yes", ".*", "100%", "kelvin", "rust rust tools", "ust", "", "  ", "internals", "İstanbul", "the the end", "from SCRATCH", "tools", "zz"]
 
