@@ -30,7 +30,7 @@ class Params:
     pass_bytes: int = 64 << 20
     #: Entries that a task holds of document frequencies, and bytes of dense slots, before it gives them out.
     entries: int = 400_000
-    slot_bytes: int = 64 << 20
+    slot_bytes: int = 128 << 20
     #: Cells (terms x sources) of a block of the comparison, about.
     cells: int = 1 << 15
 
@@ -121,7 +121,7 @@ def frequent_terms(rows: DataFrame, params: Params) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             for lang, c in seen.items():
-                yield pa.record_batch([pa.array([lang] * len(c)), pa.array(c.keys(), pa.binary()).cast(pa.string()), pa.array(c.values(), pa.int64())], ["lang", "term", "n"])
+                yield pa.record_batch([pa.array([lang] * len(c), pa.string()), pa.array(c.keys(), pa.binary()).cast(pa.string()), pa.array(c.values(), pa.int64())], ["lang", "term", "n"])
             seen.clear()
 
         for batch in slices(batches):
@@ -136,10 +136,9 @@ def frequent_terms(rows: DataFrame, params: Params) -> DataFrame:
     return found.groupBy("lang", "term").agg(F.sum("n").alias("n")).filter(F.col("n") >= params.least_docs).select("lang", "term")
 
 
-def _shards(kept: DataFrame, params: Params) -> DataFrame:
+def _shards(kept: DataFrame, langs: DataFrame, params: Params) -> DataFrame:
     """A perfect hash per part of a language's terms: (lang, part, parts, n_terms, n_bytes, sizes, bits, ends, keys)."""
-    size = kept.groupBy("lang").agg(F.sum(F.octet_length("term") + 8).alias("size"))
-    sized = kept.join(size, "lang").select("lang", "term", F.ceil(F.col("size") / params.shard_bytes).cast("int").alias("parts"))
+    sized = kept.join(langs.select("lang", "size"), "lang").select("lang", "term", F.ceil(F.col("size") / params.shard_bytes).cast("int").alias("parts"))
     parted = sized.withColumn("part", F.pmod(F.xxhash64("term"), "parts").cast("int"))
 
     def build(table: pa.Table) -> pa.Table:
@@ -181,7 +180,7 @@ def _recount(rows: DataFrame, held: Broadcast, params: Params) -> DataFrame:
                         yield pa.record_batch([pa.array([lang] * len(at)), pa.array([source] * len(at)), h.keys.take(pa.array(at)).cast(pa.string()), pa.array(own[at])], ["lang", "source", "term", "n"])
             slots.clear()
 
-        for batch in slices(batches, 2048):
+        for batch in batches:  # texts are taken one at a time, so only the batch's different terms are held
             texts, found = batch.column(2).cast(pa.binary()), defaultdict(Counter)
             for k, group in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 if group[0] in hashes:
@@ -203,14 +202,14 @@ def _recount(rows: DataFrame, held: Broadcast, params: Params) -> DataFrame:
     return rows.mapInArrow(counted, "lang string, source string, term string, n long")
 
 
-def group_counts(rows: DataFrame, kept: DataFrame, params: Params) -> DataFrame:
+def group_counts(rows: DataFrame, kept: DataFrame, langs: DataFrame, params: Params) -> DataFrame:
     """(lang, source, term, n): how often each kept term occurs in each group, where it does.
 
     The perfect hashes are broadcast ``pass_bytes`` at a time; each such pass reads the texts
     once, so what the driver and the workers hold doesn't grow with the vocabulary. A language's
     terms of 64 MB (some four million) take one pass.
     """
-    shards = written(_shards(kept, params), "term-hashes")
+    shards = written(_shards(kept, langs, params), "term-hashes")
     passes, size = [[]], 0
     for r in shards.select("lang", "part", "n_bytes").orderBy("lang", "part").collect():  # a row per million bytes of terms
         if passes[-1] and size + r.n_bytes > params.pass_bytes:
@@ -293,13 +292,15 @@ def source_divergence(df: DataFrame, lang_col: str = "lang", source_col: str = "
     rows = _rows(df, (lang_col, source_col, text_col))
     kept = written(frequent_terms(rows, params), "frequent-terms")
     groups = written(rows.select("lang", "source").distinct(), "term-groups")
-    counts = group_counts(rows, kept, params)
-    n_terms = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))
-    n_sources = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources"))
     none = F.lit(0).cast("long")
-    langs = n_sources.join(n_terms, "lang", "left").select("lang", F.coalesce("n_terms", none).alias("n_terms"), F.greatest(F.lit(1), F.ceil(F.coalesce("n_terms", none) * F.col("n_sources") / params.cells)).cast("int").alias("blocks"))
+    size = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"), F.sum(F.octet_length("term") + 8).alias("size"))
+    n_terms = F.coalesce("n_terms", none)
+    blocks = F.greatest(F.lit(1), F.ceil(n_terms * F.col("n_sources") / params.cells)).cast("int")
+    # written, so that its size is known: a row per language meets all terms, of which one language may have most
+    langs = written(groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources")).join(size, "lang", "left").select("lang", n_terms.alias("n_terms"), F.coalesce("size", none).alias("size"), blocks.alias("blocks")), "term-languages")
+    counts = group_counts(rows, kept, langs, params)
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    known = groups.join(totals, ["lang", "source"], "left").select("lang", "source", F.coalesce("total", none).alias("total")).join(langs, "lang")
+    known = groups.join(totals, ["lang", "source"], "left").select("lang", "source", F.coalesce("total", none).alias("total")).join(langs.drop("size"), "lang")
     meta = known.select("lang", "source", "total", "n_terms", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     cells = counts.join(langs.select("lang", "blocks"), "lang").select("lang", "source", "term", "n", F.pmod(F.xxhash64("term"), "blocks").cast("int").alias("block"))
     compared = cells.groupBy("lang", "block").cogroup(meta.groupBy("lang", "block")).applyInArrow(_compared(params.ranks), "lang string, source string, part string, item string, value long")
