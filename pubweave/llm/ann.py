@@ -22,9 +22,11 @@ class Params:
     #: Width of the search while a graph is built, and of queries.
     build_width: int = 96
     width: int = 96
-    #: Vectors of a shard, about, and shards at least. A worker holds one shard; of 64 floats and
-    #: their links some 120 MB. Every query goes to every shard, so shards are as large as fits.
-    shard_rows: int = 1 << 18
+    #: Vectors of a shard at most, about, and shards at least. A worker holds one shard: of 64 floats
+    #: and their links some 4 MB. Larger shards are fewer searches for every query, but need a wider
+    #: search: on 51,282 vectors without structure, a width of 96 finds 0.97 of the
+    #: true neighbours in 8 shards, and 0.83 in one.
+    shard_rows: int = 1 << 13
     least_shards: int = 8
     #: Queries that meet one copy of a shard's graph in one task.
     task_queries: int = 1 << 18
@@ -221,7 +223,9 @@ def build_index(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         table = table.append_column("node", pa.array(np.arange(len(level)), pa.int32()))
         return table.append_column("links", pa.array(flat, pa.list_(pa.int32()))).select(["dim", "shard", "shards", "node", "level", "ids", "vector", "longest", "links"])
 
-    made = dealt.groupBy("dim", "shard").applyInArrow(build, f"{_KEY}, shards int, {_NODE}, links array<int>")
+    # a shard to a task: a small table's shards would else be put together, and building one takes long
+    n = max(1, sizes.agg(F.sum("shards")).first()[0] or 0)
+    made = dealt.repartition(n, "dim", "shard").groupBy("dim", "shard").applyInArrow(build, f"{_KEY}, shards int, {_NODE}, links array<int>")
     return written(made, "graphs")
 
 
