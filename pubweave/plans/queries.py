@@ -330,27 +330,35 @@ def _story_posts(spark, d, ranked):
     return posts.story_posts(V.doc_stories(spark, d).drop("home"), ranked.select("key", "blog_id", "source", "kind", "topics", "hidden"), V.AS_OF)
 
 
-def _entries_of_blogs(spark, d):
-    """Feed entries given to the documents' publishers; every seventh of them has no feed."""
+def _given_entries(spark, d):
+    """Feed entries given to the documents' publishers."""
     key = F.concat(F.lit("src"), (F.col("feed_ord") % 20).cast("string"), F.lit(".example"))
-    return V.feed_entries(spark, d).withColumn("key", key).filter("ts > 0 and feed_ord % 20 % 7 <> 6")
+    return V.feed_entries(spark, d).withColumn("key", key).filter("ts > 0")
+
+
+def _entries_of_blogs(spark, d):
+    """Feed entries of publishers of which every seventh has no feed."""
+    return _given_entries(spark, d).filter("feed_ord % 20 % 7 <> 6")
 
 
-FEED_POSTS = f"""SELECT blog_id, 0 AS points, CAST((ts - {K.DAY0}) // 86400 AS INTEGER) AS day, CAST(({MASK}) | {RULE_FLAG} | {K.FLAG_FEED} AS INTEGER) AS topic_mask, {PACKED},
+FEED_POSTS = lambda of: f"""SELECT blog_id, 0 AS points, CAST((ts - {K.DAY0}) // 86400 AS INTEGER) AS day, CAST(({MASK}) | {RULE_FLAG} | {K.FLAG_FEED} AS INTEGER) AS topic_mask, {PACKED},
   CAST(trunc(120 * {RECENCY('ts')}) AS INTEGER) AS score, CAST(0 AS BIGINT) AS hn_id, title, {_tail('url', False)} AS path, {_canonical()} AS canonical_url
-  FROM (SELECT e.* REPLACE ('src' || (feed_ord % 20) || '.example' AS key) FROM ({V.FEED_ENTRIES}) AS e WHERE ts > 0 AND feed_ord % 20 % 7 <> 6) JOIN ({RANKED}) AS b USING (key)"""
+  FROM (SELECT e.* REPLACE ('src' || (feed_ord % 20) || '.example' AS key) FROM ({V.FEED_ENTRIES}) AS e WHERE {of}) JOIN ({RANKED}) AS b USING (key)"""
 
 
-def _feed_posts(spark, d, ranked):
-    return posts.feed_posts(_entries_of_blogs(spark, d), ranked.select("key", "blog_id", "source", "kind", "topics", "hidden"), V.AS_OF)
+def _index(spark, d, ranked, entries=_entries_of_blogs):
+    feed = posts.feed_posts(entries(spark, d), ranked.select("key", "blog_id", "source", "kind", "topics", "hidden"), V.AS_OF)
+    return posts.build_posts(_story_posts(spark, d, ranked), feed)
 
 
-def _index(spark, d, ranked):
-    return posts.build_posts(_story_posts(spark, d, ranked), _feed_posts(spark, d, ranked))
+def _whole_index(spark, d, ranked):
+    """With the feed entries of every publisher."""
+    return _index(spark, d, ranked, _given_entries)
 
 
-INDEX = f"""SELECT *, CAST(row_number() OVER (ORDER BY part, day DESC, hn_id, canonical_url, title, blog_id) - 1 AS BIGINT) AS post_id
-  FROM (SELECT *, 0 AS part FROM ({STORY_POSTS}) UNION ALL SELECT *, 1 FROM ({FEED_POSTS}))"""
+INDEX_OF = lambda of: f"""SELECT *, CAST(row_number() OVER (ORDER BY part, day DESC, hn_id, canonical_url, title, blog_id) - 1 AS BIGINT) AS post_id
+  FROM (SELECT *, 0 AS part FROM ({STORY_POSTS}) UNION ALL SELECT *, 1 FROM ({FEED_POSTS(of)}))"""
+INDEX, WHOLE_INDEX = INDEX_OF("ts > 0 AND feed_ord % 20 % 7 <> 6"), INDEX_OF("ts > 0")
 
 
 @query(STORY_POSTS)
@@ -363,9 +371,9 @@ def blog_table(spark, d):
     return blogs.blog_rows(_ranked(spark, d))
 
 
-@query(f"SELECT * EXCLUDE (part) FROM ({INDEX})")
+@query(f"SELECT * EXCLUDE (part) FROM ({WHOLE_INDEX})")
 def all_posts(spark, d):
-    return _index(spark, d, _ranked(spark, d))
+    return _whole_index(spark, d, _ranked(spark, d))
 
 
 @query(f"""SELECT hn_id, (CAST({K.DAY0} AS BIGINT) + day * CAST(86400 AS BIGINT)) * 1000 AS epoch_ms, kind_source & 7 AS kind, kind_source >> 3 AS source, topic_mask & 4095 AS topics,
