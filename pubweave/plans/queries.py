@@ -382,10 +382,10 @@ def unpacked_posts(spark, d):
     return posts.unpack_posts(_story_posts(spark, d, _ranked(spark, d))).select("hn_id", "epoch_ms", "kind", "source", "topics", "from_feed", "rule_fired", "dead")
 
 
-@query(f"SELECT (SELECT count(*) FROM ({INDEX})) AS n_posts, (SELECT count(*) FROM ({INCLUDED})) AS n_blogs, (SELECT count(*) FROM documents) AS n_stories_scanned, {K.HIDDEN_MASK} AS hidden_source_mask")
+@query(f"SELECT (SELECT count(*) FROM ({WHOLE_INDEX})) AS n_posts, (SELECT count(*) FROM ({INCLUDED})) AS n_blogs, (SELECT count(*) FROM documents) AS n_stories_scanned, {K.HIDDEN_MASK} AS hidden_source_mask")
 def index_meta(spark, d):
     scanned, ranked = V.doc_stories(spark, d).agg(F.count(F.lit(1)).alias("n_stories_scanned")), _ranked(spark, d)
-    return posts.index_meta(_index(spark, d, ranked), blogs.blog_rows(ranked), scanned, V.AS_OF).select("n_posts", "n_blogs", "n_stories_scanned", "hidden_source_mask")
+    return posts.index_meta(_whole_index(spark, d, ranked), blogs.blog_rows(ranked), scanned, V.AS_OF).select("n_posts", "n_blogs", "n_stories_scanned", "hidden_source_mask")
 
 
 _SHARE = lambda cond: f"coalesce(avg(CAST({cond} AS INTEGER)), 0)"

@@ -18,3 +18,7 @@ def n_posts(spark):
 
 def test_all_posts(spark, n_posts):
     assert QUERIES["all_posts"](spark, SF).count() == n_posts
+
+
+def test_index_meta(spark, n_posts):
+    assert QUERIES["index_meta"](spark, SF).first().n_posts == n_posts
