@@ -793,12 +793,12 @@ def final_urls(spark, d):
     return _links(spark, d).select("i", urls.final_url(F.col("url"), moved).alias("final"))
 
 
-@query(f"SELECT post_id, url, day FROM (SELECT p.post_id, rtrim(b.home, '/') || p.path AS url, p.day FROM ({INDEX}) AS p JOIN ({RANKED}) AS b USING (blog_id))")
+@query(f"SELECT post_id, url, day FROM (SELECT p.post_id, rtrim(b.home, '/') || p.path AS url, p.day FROM ({WHOLE_INDEX}) AS p JOIN ({RANKED}) AS b USING (blog_id))")
 def loaded_index(spark, d):
     """The index written to files and read back."""
     path, scanned = _folder(spark, "index"), V.doc_stories(spark, d).agg(F.count(F.lit(1)).alias("n_stories_scanned"))
     ranked = _ranked(spark, d)
-    rows, table = _index(spark, d, ranked), blogs.blog_rows(ranked)
+    rows, table = _whole_index(spark, d, ranked), blogs.blog_rows(ranked)
     writers.write_index(rows, table, posts.index_meta(rows, table, scanned, V.AS_OF), path)
     return readers.load_index(spark, path).withColumnRenamed("i", "post_id")
 

@@ -22,3 +22,7 @@ def test_all_posts(spark, n_posts):
 
 def test_index_meta(spark, n_posts):
     assert QUERIES["index_meta"](spark, SF).first().n_posts == n_posts
+
+
+def test_loaded_index(spark, n_posts):
+    assert QUERIES["loaded_index"](spark, SF).count() == n_posts
