@@ -2,94 +2,121 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import slices
+from pubweave.llm import common
 
 #: A run has at least so many words, and at least so many times its period.
 LEAST_WORDS, LEAST_PERIODS = 6, 4
-#: Words that are the same as those a lag before, in the shortest run: six words of period one.
-#: So a lag need only begin where a word comes again together with the four before it.
-CONTEXT = LEAST_WORDS - 1
 
 
-def periodic_runs(words: Sequence) -> list[tuple[int, int, int]]:
-    """The runs (start, length, period) of a list of words, by start, then period.
+def context_words(lag: int) -> int:
+    """Words in a row that must match before a diagonal begins: three for a lag of one, six for two and three,
+    twelve for four to seven, and so on. They are more than the lag, and no more than match in the shortest run of that period."""
+    return 3 << (lag.bit_length() - 1)
 
-    A run is a stretch with smallest period q (words q apart are the same) of at least
-    max(6, 4 q) words that no neighbouring word extends. The words are gone through once. A
-    diagonal is a lag under which the last words match; each word lengthens the active
-    diagonals that it matches, ends the others, and begins new ones at its earlier
-    occurrences. A diagonal that ends long enough gives out its run at once.
-
-    Inside a run of period q, a diagonal that begins at the run's own words can't become a run of its own
-    while that one lasts: lags that q divides give the same stretch, others match for fewer
-    than q words. So those occurrences are stepped over, and a diagonal that begins after such a run is
-    followed back to its first match. A text that repeats one phrase costs time in
-    proportion to its length, and not to its square.
+
+def _named(at: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of contexts that occur more than once, and a number for each different context."""
+    _, names, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    again = counts[names] > 1
+    return at[again], names[again]
+
+
+def _longer(at: np.ndarray, names: np.ndarray, by: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each context together with the one that ends ``by`` words before it."""
+    k = np.searchsorted(at, at - by)
+    both = np.flatnonzero(at[k] == at - by)
+    return _named(at[both], names[both] * (names.max(initial=0) + 1) + names[k[both]])
+
+
+def beginnings(texts: list[Sequence]) -> list[list[tuple[int, int]]]:
+    """By text, (word, lag) where a diagonal begins: the word's context has its last occurrence before that so many words earlier.
+
+    No other occurrence matters. Inside a run, a context that is longer than the period comes again after
+    the period and not before, and one that comes again sooner lies in a run of a smaller period. Texts lie one
+    after the other; a context overlaps its occurrence at such a lag, so it never meets one of another text.
     """
-    n = len(words)
-    if n < LEAST_WORDS:
-        return []
-    contexts = list(zip(*(words[k : n - CONTEXT + 1 + k] for k in range(CONTEXT)), strict=True))
-    if len(set(contexts)) == len(contexts):
-        return []
+    number: dict = {}
+    flat = np.fromiter((x for k, words in enumerate(texts) for x in (*[number.setdefault(w, len(number)) for w in words], -1 - k)), np.int64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    at, names = _named(np.arange(len(flat)), flat)
+    for _ in range(2):
+        at, names = _longer(at, names, 1)
+    lag, places, lags = 1, [], []
+    while len(at) and lag <= sizes.max() // LEAST_PERIODS:
+        by = np.argsort(names, kind="stable")
+        place, back = at[by][1:], np.diff(at[by])
+        hit = (np.diff(names[by]) == 0) & (back >= lag) & (back < 2 * lag)
+        places.append(place[hit])
+        lags.append(back[hit])
+        at, names = _longer(at, names, context_words(lag))
+        lag *= 2
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    if not lags:
+        return out
+    place, back = np.concatenate(places), np.concatenate(lags)
+    by = np.lexsort((place, back))
+    place, back = place[by], back[by]
+    first = np.flatnonzero(np.r_[True, (np.diff(back) != 0) | (np.diff(place) != 1)][: len(place)])  # the others are on a diagonal already
+    first = first[np.argsort(place[first], kind="stable")]
+    starts = np.cumsum(sizes + 1) - (sizes + 1)
+    of = np.searchsorted(starts, place[first], "right") - 1
+    for text, word, lag in zip(of.tolist(), (place[first] - starts[of]).tolist(), back[first].tolist(), strict=True):
+        out[text].append((word, lag))
+    return out
+
+
+def _followed(words: Sequence, begun: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """The runs of a text whose diagonals begin at these (word, lag). A diagonal is a lag under which the last words
+    match; each word lengthens the active diagonals that it matches and ends the others. One that ends long enough gives out its run."""
+    n, k, i = len(words), 0, 0
     runs: list[tuple[int, int, int]] = []
-    places: dict[tuple, list[int]] = {}
     active: dict[int, int] = {}  # lag: the first word of the unbroken match
-    largest = n // LEAST_PERIODS
-
-    def end(ended: dict[int, int], stop: int) -> None:
-        out: list[tuple[int, int]] = []
-        for lag in sorted(ended):
-            start = ended[lag] - lag
-            if stop - start >= max(LEAST_WORDS, LEAST_PERIODS * lag) and not any(lag % q == 0 and s <= start for q, s in out):
-                out.append((lag, start))
-                runs.append((start, stop - start, lag))
-
-    for i in range(CONTEXT - 1, n):
-        word, ended = words[i], {}
-        for lag, begin in active.items():
-            if words[i - lag] != word:
-                ended[lag] = begin
-        if ended:
-            for lag in ended:
-                del active[lag]
-            end(ended, i)
-        context = contexts[i - CONTEXT + 1]
-        seen = places.get(context)
-        if seen is None:
-            places[context] = [i]
-            continue
-        # the runs that the word stands in, as far as known: (period, start)
-        within = sorted((lag, begin - lag) for lag, begin in active.items() if i + 1 - begin >= lag)
-        k = len(seen) - 1
-        while k >= 0:
-            at = seen[k]
-            lag = i - at
-            if lag > largest:
-                break
-            over = next((start for q, start in within if lag > q and at >= start), None)
-            if over is not None:
-                k = bisect_left(seen, over) - 1
-                continue
-            if lag not in active:
-                begin = i - CONTEXT + 1
-                while begin > lag and words[begin - 1] == words[begin - 1 - lag]:
-                    begin -= 1
-                if n - begin >= (LEAST_PERIODS - 1) * lag:
-                    active[lag] = begin
-            k -= 1
-        seen.append(i)
-    end(active, n)
+
+    def end(lag: int, stop: int) -> None:
+        start = active.pop(lag) - lag
+        if stop - start >= max(LEAST_WORDS, LEAST_PERIODS * lag):
+            runs.append((start, stop - start, lag))
+
+    while active or k < len(begun):
+        if not active:
+            i = begun[k][0]
+        elif i == n:
+            break
+        for lag in [lag for lag in active if words[i - lag] != words[i]]:
+            end(lag, i)
+        while k < len(begun) and begun[k][0] == i:
+            lag = begun[k][1]
+            active.setdefault(lag, i - context_words(lag) + 1)
+            k += 1
+        i += 1
+    for lag in list(active):
+        end(lag, n)
     return sorted(runs, key=lambda r: (r[0], r[2]))
 
 
+def runs_of(texts: list[Sequence]) -> list[list[tuple[int, int, int]]]:
+    """The runs (start, length, period) of each list of words, by start, then period.
+
+    A run is a stretch with smallest period q (words q apart are the same) of at least
+    max(6, 4 q) words that no neighbouring word extends. The words are gone through once, from where the first
+    diagonal begins. In a text of few different words short contexts come again everywhere; as a context grows
+    with the lag, each word begins one diagonal at most for every doubling of the lag, whatever its text repeats.
+    """
+    return [_followed(words, begun) if begun else [] for words, begun in zip(texts, beginnings(texts), strict=True)]
+
+
+def periodic_runs(words: Sequence) -> list[tuple[int, int, int]]:
+    """As ``runs_of``, for one text."""
+    return runs_of([words])[0]
+
+
 def collapsed(words: Sequence, runs: list[tuple[int, int, int]]) -> list:
     """The words without those that a run has after its first period."""
     drop = bytearray(len(words))
@@ -103,15 +130,14 @@ _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.i
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        texts = batch.column(1).cast(pa.binary())
+    for batch in common.slices(batches):
         n_words, all_runs, rest = [], [], []
-        for k in range(len(batch)):
-            words = (texts[k].as_py() or b"").split()  # splits at the six ASCII white-space characters
-            runs = periodic_runs(words)
-            n_words.append(len(words))
-            all_runs.append([dict(zip(("start", "length", "period"), r, strict=True)) for r in runs])
-            rest.append(b" ".join(collapsed(words, runs)))
+        for texts in common.runs([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
+            split = [t.split() for t in texts]  # at the six ASCII white-space characters
+            for words, runs in zip(split, runs_of(split), strict=True):
+                n_words.append(len(words))
+                all_runs.append([dict(zip(("start", "length", "period"), r, strict=True)) for r in runs])
+                rest.append(b" ".join(collapsed(words, runs)))
         yield pa.record_batch(
             [batch.column(0), pa.array(n_words, pa.int64()), pa.array(all_runs, pa.list_(_RUN)), pa.array(rest, pa.binary()).cast(pa.string())],
             ["_pr_id", "n_words", "runs", "collapsed"],

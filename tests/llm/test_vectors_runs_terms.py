@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -108,6 +109,21 @@ def test_runs_within_runs_take_time_by_length():
     assert len(periodic.periodic_runs((["a"] * 50 + ["b"]) * 1000)) == 1001
 
 
+def test_texts_of_few_different_words():
+    """Short contexts come again at every other word: a diagonal for each of those would take minutes."""
+    rng = random.Random(4)
+    words, began = [rng.choice("ab") for _ in range(100_000)], time.perf_counter()
+    runs = periodic.periodic_runs(words)
+    assert time.perf_counter() - began < 10 and runs[:20] == [r for r in plain_runs(words[:1000]) if r[0] <= runs[19][0]][:20]
+    assert all(sum(i == k for k, _ in begun) <= 15 for begun in periodic.beginnings([words[:2000]]) for i in range(2000))
+
+
+def test_runs_of_texts_together():
+    """Texts that lie one after the other don't meet, however alike they are."""
+    texts = [["a", "b"], [], ["a", "b"] * 4, ["a"] * 3, ["a"] * 3, ["b", "a"] * 5 + ["c"], list("abcabcab"), list("cabcabc")]
+    assert periodic.runs_of(texts) == [plain_runs(t) for t in texts] and periodic.runs_of([]) == [] and periodic.runs_of([[], []]) == [[], []]
+
+
 def planted(doc_id, words):
     h = zlib.crc32(str(doc_id).encode())
     g, n = h // 10, len(words)
