@@ -1,6 +1,7 @@
 """The n-gram models against dictionary versions of them, over the whole smallest tables."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -137,6 +138,26 @@ def test_the_worker_forgets(monkeypatch):
         assert (t.log(grams) == t.computed(grams)).all() and t.rows.size <= 40
 
 
+def test_every_url_teaches(spark):
+    """More URLs of a class than a sample would hold: all are counted or calibrate."""
+    rows = spark.range(60_000).select(F.concat(F.lit("h.example/"), F.col("id").cast("string")).alias("url"), (F.col("id") % 3 != 0).alias("accepted"))
+    later = F.pmod(F.xxhash64("url", F.lit("part")), F.lit(1_000_000)) < 200_000
+    want = {r.accepted: r.n for r in rows.filter(~later).groupBy("accepted").agg(F.count(F.lit(1)).alias("n")).collect()}
+    model = urlfilter.fit(rows.union(rows.limit(10)))
+    ends = model.counts.filter(F.col("gram").bitwiseAND((1 << urlfilter.BITS) - 1) == urlfilter.END).agg(F.sum("n0"), F.sum("n1")).first()
+    assert tuple(ends) == (want[True], want[False]) and want[True] > 30_000
+
+
+def test_thresholds_of_tables(spark):
+    rng = random.Random(8)
+    sides = [([0.5], [0.25]), ([1.0], [2.0]), ([1.0, 1.0], [1.0]), ([1.0], []), ([], [1.0])]
+    sides += [([rng.randint(-20, 20) / 8 for _ in range(rng.randint(1, 60))], [rng.randint(-20, 20) / 8 for _ in range(rng.randint(1, 60))]) for _ in range(6)]
+    for k, (a, r) in enumerate(sides):
+        share = (0.0, 0.1, 0.3, 1.0)[k % 4]
+        df = spark.createDataFrame([(True, x) for x in a] + [(False, x) for x in r], "accepted boolean, ratio double")
+        assert urlfilter.threshold_of(df, share) == urlfilter.best_threshold(np.array(a), np.array(r), share), (a, r, share)
+
+
 def test_thresholds():
     best = lambda a, r: urlfilter.best_threshold(np.array(a, float), np.array(r, float), 0.0)
     assert best([1, 2], [-1, -2]) == 0 and best([], [1]) == 0 and best([1], []) == 0
