@@ -15,6 +15,8 @@ WIDTH = 5
 SIMILARITY = 0.8
 #: Two texts of similarity 0.8 differ in all bands with a chance of (1 - 0.8 ** 5) ** 32, three in a million.
 BANDS, BAND_ROWS = 32, 5
+#: So many of a text's rarest shared shingles go with each of its rows, to tell whether a pair has met before.
+FIRST = 16
 
 _RNG = np.random.default_rng(20240101)
 _XOR = _RNG.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64)[:, None]
@@ -58,14 +60,15 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def rarest_shingles(sets: DataFrame, similarity: float = SIMILARITY, write=written) -> DataFrame:
-    """(key, node, size, common, indexed): the shingles by which texts (node, s) meet.
+    """(key, node, size, common, indexed, at, begin): the shingles by which texts (node, s) meet.
 
     Shingles are ordered by the number of texts that have them, then by hash. A pair of the
     similarity shares so many shingles that the smaller set has one of them among its first
     size - 2 t / (1 + t) size + 1 (``indexed``), and the larger among its first size - t size + 1.
     Shingles of one text alone come first and have no row, so a text that is more than a ninth
     its own is indexed nowhere, whatever crowd shares the rest of it. ``common``: its
-    shingles that some other text has too. ``write`` puts the counts of shingles into the shared folder.
+    shingles that some other text has too. ``at`` is the place of the key among those under which the text
+    has rows, ``begin`` the first ``FIRST`` of these. ``write`` puts the counts of shingles into the shared folder.
     """
     each = sets.select("node", F.explode("s").alias("x"))
     counts = write(each.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")), "shingle-counts")
@@ -75,9 +78,10 @@ def rarest_shingles(sets: DataFrame, similarity: float = SIMILARITY, write=writt
     rows = own.select("node", "size", "alone", F.explode("s").alias("x")).join(counts.filter("n > 1").select("x", "n"), "x")
     first = lambda share: F.col("size") - F.ceil(share * F.col("size") - 1e-6) + 1
     ordered = rows.groupBy("node", "size", "alone").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("xs"))
-    ordered = ordered.select("node", "size", "alone", F.posexplode(F.slice("xs", F.lit(1), F.greatest(F.lit(0), first(similarity) - F.col("alone")).cast("int"))).alias("pos", "x"))
+    some = F.slice("xs", F.lit(1), F.greatest(F.lit(0), first(similarity) - F.col("alone")).cast("int"))
+    ordered = ordered.withColumn("xs", some).select("node", "size", "alone", F.slice("xs.x", 1, FIRST).alias("begin"), F.posexplode("xs").alias("pos", "x"))
     indexed = F.col("alone") + F.col("pos") < first(2 * similarity / (1 + similarity))
-    return ordered.select(F.col("x.x").alias("key"), "node", "size", (F.col("size") - F.col("alone")).alias("common"), indexed.alias("indexed"))
+    return ordered.select(F.col("x.x").alias("key"), "node", "size", (F.col("size") - F.col("alone")).alias("common"), indexed.alias("indexed"), F.col("pos").alias("at"), "begin")
 
 
 def _may_link(a, b, similarity: float) -> Column:
@@ -88,12 +92,26 @@ def _may_link(a, b, similarity: float) -> Column:
     return (a("root") != b("root")) & smaller & (most >= similarity * (a("size") + b("size") - most) - 1e-6)
 
 
-def tried_pairs(members: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) that meet under a key, a being a pivot, and may be linked."""
-    side = lambda x: members.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "root", "size", "common", "indexed", "pivot")])
+def met_pairs(members: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) that meet under a key, a being a pivot, and may be linked; hardly any twice.
+
+    Under its later keys a pair isn't made again if both texts have one of their ``FIRST`` shingles in
+    common that comes before, and by which they may be linked as well. A pair whose first common shingle comes
+    after those is made under each. Rows of the earlier shingle are only done with once
+    the pair has met there or is in one group, so no pair is lost.
+    """
+    side = lambda x: members.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "root", "size", "common", "indexed", "pivot", "at", "begin")])
     once = (F.col("a_node") < F.col("b_node")) | ~F.col("b_pivot")
-    met = side("a").filter("a_pivot").join(side("b"), "key").filter(once & _may_link(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"), similarity))
-    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    # all rows before ``at`` are indexed where this one is, so an earlier common shingle makes the same pair
+    before = lambda x: F.slice(f"{x}_begin", F.lit(1), F.least(F.col(f"{x}_at"), F.lit(FIRST)))
+    met = side("a").filter("a_pivot").join(side("b"), "key")
+    met = met.filter(once & _may_link(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"), similarity) & ~F.arrays_overlap(before("a"), before("b")))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
+def tried_pairs(members: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs that meet, each once."""
+    return met_pairs(members, similarity).distinct()
 
 
 def similar_groups(texts: DataFrame, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -87,6 +87,18 @@ def test_a_crowd_that_shares_most_words_makes_few_pairs(spark):
     assert {r.doc_id for r in neardedup.drop_near_duplicates(df).collect()} == set(range(2000))
 
 
+def test_a_pair_meets_once(spark):
+    """Edited copies of one text share dozens of their rarest shingles, and are made a pair under one of them."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(400)]
+    sets = {i: {int(x) for x in neardedup.shingle_set(edited(rng, base, 3)).view("i8")} for i in range(40)}
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "node long, s array<long>")
+    members = neardedup.rarest_shingles(df).withColumns({"root": F.col("node"), "pivot": F.lit(True)})
+    met = [(r.a, r.b) for r in neardedup.met_pairs(members).collect()]
+    similar = {(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert similar and similar <= {tuple(sorted(p)) for p in met} and len(met) <= 1.1 * len(set(met))
+
+
 def test_every_similar_pair_meets(spark):
     """Pairs around the similarity, of sets of different sizes: none that reaches it is left out."""
     rng = random.Random(3)
