@@ -20,7 +20,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (0.8 of the five-word shingles in common), the document with the smallest id."""
+    """Of each group of near copies (0.8 of the five-word shingles in common), the document with the smallest id;
+    SimHashes find them in the byte-position index by a tally of shared bytes, and whole shingle sets verify them."""
     return neardedup.drop_near_duplicates(docs)
 
 

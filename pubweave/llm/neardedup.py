@@ -1,5 +1,5 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands find texts that may have
-any, their rarest shingles the pairs, and whole shingle sets verify them."""
+"""Near-duplicates by the Jaccard similarity of word shingles: weighted SimHashes in the byte-position
+inverted index of ``simhash`` find what may be similar by a tally of shared bytes, and an exact check follows."""
 
 from __future__ import annotations
 
@@ -9,20 +9,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pubweave.llm import simhash
 from pubweave.llm.common import components, remove, stored, text_digest, without_repeats, written
 
 WIDTH = 5
 SIMILARITY = 0.8
-#: Two texts of similarity 0.8 differ in all bands with a chance of (1 - 0.8 ** 5) ** 32, three in a million.
-BANDS, BAND_ROWS = 32, 5
+#: Two texts of similarity 0.8 share fewer than five bytes of a fingerprint with a chance of 0.094 at most
+#: (simulated; sets of 4 and 5 shingles, larger ones less), and so in all of them with one in a million.
+FINGERPRINTS = 6
 #: So many of a text's rarest shared shingles go with each of its rows, to tell whether a pair has met before.
 FIRST = 16
 
-_RNG = np.random.default_rng(20240101)
-_XOR = _RNG.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64)[:, None]
-_TIMES = _RNG.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64)[:, None] | np.uint64(1)
-_FOLD = _RNG.integers(0, 1 << 64, (BANDS, BAND_ROWS), np.uint64) | np.uint64(1)
-
 
 def shingle_set(text: str | None) -> np.ndarray:
     """The distinct hashes of a text's shingles, sorted; a text of fewer words, or none, is one shingle."""
@@ -35,14 +32,9 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[WIDTH - 1 :].tolist(), strict=True)], np.uint64))
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key per band, of the least hash in each of its orders."""
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(hashes), 1024):
-        x = (hashes[k : k + 1024] ^ _XOR) * _TIMES
-        np.minimum(least, (x ^ (x >> np.uint64(29))).min(1), out=least)
-    keys = ((least.reshape(BANDS, BAND_ROWS) ^ (least.reshape(BANDS, BAND_ROWS) >> np.uint64(31))) * _FOLD).sum(1, dtype=np.uint64)
-    return (keys ^ np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def fingerprints(hashes: np.ndarray) -> np.ndarray:
+    """The text's SimHashes, as signed numbers."""
+    return simhash.weighted_fingerprints(hashes, FINGERPRINTS).view(np.int64)
 
 
 def _longs(text: Column, made) -> Column:
@@ -54,9 +46,11 @@ def _longs(text: Column, made) -> Column:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    of = lambda x: sets.select(F.col("node").alias(x), F.col("s").alias(f"s{x}"))
+    """The pairs of which a fingerprint shares enough bytes, as in the index, and whose whole sets have the similarity."""
+    of = lambda x: sets.select(F.col("node").alias(x), F.col("fps").alias(f"f{x}"), F.col("s").alias(f"s{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(both / (F.size("sa") + F.size("sb") - both) >= similarity).select("a", "b")
+    met = pairs.join(of("a"), "a").join(of("b"), "b").filter(simhash.share_bytes(F.col("fa"), F.col("fb")))
+    return met.filter(both / (F.size("sa") + F.size("sb") - both) >= similarity).select("a", "b")
 
 
 def rarest_shingles(sets: DataFrame, similarity: float = SIMILARITY, write=written) -> DataFrame:
@@ -118,7 +112,8 @@ def similar_groups(texts: DataFrame, text_col: str = "text", similarity: float =
     """Rows (node, root) for the texts that links of ``similarity`` or more put in a group;
     a node is the digest of a text.
 
-    Texts that share a MinHash band with another meet under their rarest shingles. In a round some
+    Texts of which the index links a fingerprint with another's go on to the exact check: they
+    meet under their rarest shingles, and of what meets, pairs that share enough bytes are verified. In a round some
     pivots under each key are compared with all others there that aren't in their group
     yet, and are done with: first the text that has the least of its own, so the copies of one
     text meet it, then about eight, 64, ... chosen by hash as well, the same under like keys, until
@@ -136,13 +131,15 @@ def similar_groups(texts: DataFrame, text_col: str = "text", similarity: float =
             remove(spark, paths.pop(name))
 
     rows = texts.select(text_digest(text_col).alias("node"), F.col(text_col).alias("t"))
-    bands = keep(rows.select("node", _longs(F.col("t"), band_keys).alias("keys")), "bands")
-    posts = bands.dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
-    shared = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    nodes = keep(posts.join(shared, "key", "left_semi").select("node").distinct(), "band-nodes")
-    done("bands")
-    sets = keep(rows.join(nodes, "node", "left_semi").dropDuplicates(["node"]).select("node", _longs(F.col("t"), lambda s: s.view(np.int64)).alias("s")), "shingle-sets")
-    done("band-nodes")
+    prints = keep(rows.select("node", _longs(F.col("t"), fingerprints).alias("fps")).dropDuplicates(["node"]), "fingerprints")
+    posts = prints.select("node", F.explode(F.array_distinct("fps")).alias("fp"))
+    counts = keep(posts.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "fingerprint-counts")
+    near = simhash.fingerprint_links(counts.select("fp"), radius=None)
+    linked = counts.filter("n > 1").select("fp").union(near.select("a")).union(near.select("b")).distinct()
+    nodes = keep(prints.join(posts.join(linked, "fp", "left_semi").select("node").distinct(), "node", "left_semi"), "linked-nodes")
+    done("fingerprint-counts", "fingerprints")
+    sets = keep(rows.join(nodes, "node").dropDuplicates(["node"]).select("node", "fps", _longs(F.col("t"), lambda s: s.view(np.int64)).alias("s")), "shingle-sets")
+    done("linked-nodes")
     members = keep(rarest_shingles(sets, similarity, keep), "members").withColumn("root", F.col("node"))
     done("shingle-counts")
     links, roots, step, n_links = None, None, 1, 0

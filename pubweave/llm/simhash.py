@@ -21,6 +21,8 @@ BYTES, LEAST_SHARED = 8, 8 - RADIUS
 #: Longest posting list whose pairs are tallied; a longer one is split by another position.
 LONGEST = 1024
 _LOW, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+#: The sign that each byte gives each of eight bits.
+_SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little") * 2.0 - 1.0
 
 
 def first_positions(depth: int) -> list[tuple[int, ...]]:
@@ -72,6 +74,34 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * counts > len(h)).tolist())
 
 
+def weighted_fingerprints(hashes: np.ndarray, n: int) -> np.ndarray:
+    """``n`` unsigned 64-bit SimHashes of a set of shingle hashes, in each of which every shingle votes on every bit.
+
+    A shingle has a weight of its own at every byte position, u ** -4 with u even in (0, 1), so
+    a few shingles decide a byte, and its bits agree or differ together: sets of Jaccard
+    similarity 0.8 share a byte with a chance of 0.76 at least, where equal votes leave 0.27. ``hashes`` come sorted.
+    """
+    rng = np.random.default_rng(20240101)
+    xor, times = rng.integers(0, 1 << 64, (2, n * BYTES, 1), np.uint64)
+    votes = np.zeros((n * BYTES, 8))
+    for k in range(0, len(hashes), 1024):
+        x = (hashes[k : k + 1024] ^ xor) * (times | np.uint64(1))
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(32)
+        weights = 2.0**56 / ((x >> np.uint64(8)) + np.uint64(1))
+        np.square(np.square(weights, out=weights), out=weights)
+        votes += (weights[:, None, :] @ _SIGNS.take((x & np.uint64(0xFF)).astype(np.int64), axis=0))[:, 0, :]
+    return np.packbits(votes > 0, axis=1, bitorder="little").reshape(n, BYTES).view("<u8")[:, 0]
+
+
+def share_bytes(a: Column, b: Column) -> Column:
+    """Whether fingerprints at one place of two arrays have ``LEAST_SHARED`` positional bytes in common."""
+    fold = lambda x, shift: F.transform(x, lambda v: v.bitwiseOR(F.shiftrightunsigned(v, shift)))
+    # the lowest bit of a byte tells whether any of its bits is set
+    x = fold(fold(fold(F.zip_with(a, b, lambda p, q: p.bitwiseXOR(q)), 4), 2), 1)
+    return F.exists(x, lambda v: F.bit_count(v.bitwiseAND(F.lit(0x0101010101010101))) <= BYTES - LEAST_SHARED)
+
+
 def simhash(text: Column) -> Column:
     """The fingerprint of a whole text, as a signed 64-bit number."""
 
@@ -88,10 +118,10 @@ def shared_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return BYTES - np.bitwise_count(((x & _LOW) + _LOW | x) & _HIGH)
 
 
-def list_links(lists: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def list_links(lists: np.ndarray, fps: np.ndarray, radius: int | None = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of the linked pairs of posting lists; ``lists`` numbers each row's list,
     whose rows stand together. All pairs of a list are tallied, those a step of k apart at
-    once over all lists; pairs that share enough bytes are verified by their bits."""
+    once over all lists; pairs that share enough bytes are verified by their bits, if there is a radius."""
     ends = np.searchsorted(lists, lists, "right")
     i, step, found = np.arange(len(fps)), 1, [(np.empty(0, np.int64),) * 2]
     while True:
@@ -99,7 +129,8 @@ def list_links(lists: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if not len(i):
             break
         near = i[shared_bytes(fps[i], fps[i + step]) >= LEAST_SHARED]
-        near = near[np.bitwise_count(fps[near] ^ fps[near + step]) <= RADIUS]
+        if radius is not None:
+            near = near[np.bitwise_count(fps[near] ^ fps[near + step]) <= radius]
         found.append((near, near + step))
         step += 1
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -118,7 +149,7 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _walk_lists(longest: int | None):
+def _walk_lists(longest: int | None, radius: int | None = RADIUS):
     """Posting lists (q, key, fp) arrive in order, over batch borders. Rows (q, a, b): links that
     keep a list's connections, one per fingerprint at most, instead of all its pairs, with q
     null; and, as (q, fp, fp), the members of longer lists, which are not held."""
@@ -130,7 +161,7 @@ def _walk_lists(longest: int | None):
         long = (np.bincount(number)[number] > most) | passed
         fps = np.ascontiguousarray(rows[:, 2]).view(np.uint64)
         own, lists = fps[~long], number[~long]
-        root = local_roots(len(own), *list_links(lists, own))
+        root = local_roots(len(own), *list_links(lists, own, radius))
         far = root != np.arange(len(own))
         a, b = np.concatenate([fps[long], own[root[far]]]), np.concatenate([fps[long], own[far]])
         q = np.r_[rows[long, 0], np.zeros(far.sum(), np.int64)]
@@ -166,7 +197,7 @@ def _walk_lists(longest: int | None):
     return walk
 
 
-def fingerprint_links(fps: DataFrame, fp_col: str = "fp", longest: int = LONGEST, depth: int | None = None) -> DataFrame:
+def fingerprint_links(fps: DataFrame, fp_col: str = "fp", longest: int = LONGEST, depth: int | None = None, radius: int | None = RADIUS) -> DataFrame:
     """Links (a, b) among distinct fingerprints that connect whatever lies within
     ``RADIUS`` bits of each other, directly or over further links.
 
@@ -177,6 +208,9 @@ def fingerprint_links(fps: DataFrame, fp_col: str = "fp", longest: int = LONGEST
     ``depth`` is the number of bytes to begin with; by default as many as leave 64 members to
     a list on average, as shallower ones would all be split. In each list the shared bytes of
     every pair are tallied, and pairs that reach five are verified.
+
+    ``radius`` None: the tally alone links, five shared bytes or more. A list by five
+    bytes then needs no tally: each member is linked with its first one, however many there are.
     """
     spark = fps.sparkSession
     if depth is None:
@@ -186,9 +220,14 @@ def fingerprint_links(fps: DataFrame, fp_col: str = "fp", longest: int = LONGEST
     every = F.array(*[F.struct(F.lit(_nibbles(s)).cast("long").alias("q"), F.lit(_mask(_nibbles(s))).alias("mask")) for s in sets])
     lists, links = fps.select(F.explode(every).alias("s"), F.col(fp_col).alias("fp")).select("s.q", "s.mask", "fp"), None
     while True:
-        rows = lists.select("q", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp").repartition("q", "key").sortWithinPartitions("q", "key", "fp")
+        keyed = lists.select("q", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+        if radius is None and depth == LEAST_SHARED:
+            first = keyed.groupBy("q", "key").agg(F.min("fp").alias("a"))
+            own = checkpointed(keyed.join(first, ["q", "key"]).filter("a <> fp").select("a", F.col("fp").alias("b")))
+            return own if links is None else links.union(own)
+        rows = keyed.repartition("q", "key").sortWithinPartitions("q", "key", "fp")
         # written out, so that the links and the members passed on come from one walk
-        found = checkpointed(rows.mapInArrow(_walk_lists(longest if depth <= LEAST_SHARED else None), "q long, a long, b long"))
+        found = checkpointed(rows.mapInArrow(_walk_lists(longest if depth <= LEAST_SHARED else None, radius), "q long, a long, b long"))
         own, long = found.filter("q is null").select("a", "b"), found.filter("q is not null").select("q", F.col("a").alias("fp"))
         links = own if links is None else links.union(own)
         if depth > LEAST_SHARED or long.isEmpty():

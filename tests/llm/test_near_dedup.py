@@ -4,9 +4,10 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
 from pyspark.sql import functions as F
 
-from pubweave.llm import neardedup
+from pubweave.llm import neardedup, simhash
 
 
 def shingles(text):
@@ -115,3 +116,81 @@ def test_every_similar_pair_meets(spark):
         if both / (len(sets[a]) + len(sets[b]) - both) >= 0.8:
             assert (a, b) in tried
     assert len(tried) >= 20
+
+
+def plain_fingerprints(hashes, n):
+    """Votes one by one, in exact numbers as far as floats go."""
+    rng, mask, out = np.random.default_rng(20240101), (1 << 64) - 1, []
+    xor, times = rng.integers(0, 1 << 64, (2, n * 8, 1), np.uint64)
+    for a, b in zip(xor[:, 0].tolist(), times[:, 0].tolist(), strict=True):
+        votes = [0.0] * 8
+        for h in hashes:
+            x = ((h ^ a) * (b | 1)) & mask
+            x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & mask
+            x ^= x >> 32
+            for bit in range(8):
+                votes[bit] += (((x >> 8) + 1) / 2**56) ** -4 * (1 if x >> bit & 1 else -1)
+        out.append(sum(1 << bit for bit in range(8) if votes[bit] > 0))
+    return [int.from_bytes(bytes(out[8 * k : 8 * k + 8]), "little") for k in range(n)]
+
+
+def common_bytes(a, b):
+    return sum(x == y for x, y in zip(int(a).to_bytes(8, "little", signed=a < 0), int(b).to_bytes(8, "little", signed=b < 0), strict=True))
+
+
+def test_fingerprints_are_votes_of_all_shingles():
+    rng = random.Random(11)
+    for n in (1, 7, 1500):
+        hashes = np.array(sorted(rng.randrange(1 << 64) for _ in range(n)), np.uint64)
+        assert simhash.weighted_fingerprints(hashes, 3).tolist() == plain_fingerprints(hashes.tolist(), 3)
+
+
+def test_similar_sets_share_bytes():
+    """Sets of a similarity of 0.8 share five bytes of a fingerprint in nine cases of ten, and others never."""
+    rng, shared, other = random.Random(12), 0, 0
+    before = np.zeros(neardedup.FINGERPRINTS, np.int64)
+    for _ in range(200):
+        h = [rng.randrange(1 << 64) for _ in range(100)]
+        a, b = (neardedup.fingerprints(np.array(sorted(s), np.uint64)) for s in (h[:90], h[10:]))
+        shared += sum(common_bytes(x, y) >= 5 for x, y in zip(a.tolist(), b.tolist(), strict=True))
+        other += sum(common_bytes(x, y) >= 5 for x, y in zip(a.tolist(), before.tolist(), strict=True))
+        before = b
+    assert shared >= 0.88 * 200 * neardedup.FINGERPRINTS and other == 0
+
+
+def test_links_by_the_tally_of_shared_bytes(spark):
+    """Without a radius whatever shares five bytes is connected, in lists of any length, and nothing else."""
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 256, (6, 8), np.uint8)
+    fps = np.repeat(base, 60, 0)
+    for row in fps:
+        row[rng.permutation(8)[: rng.integers(0, 5)]] = rng.integers(0, 256)
+    fps = np.unique(fps.copy().view("<i8")[:, 0]).tolist()
+    root = {x: x for x in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(fps, 2):
+        if common_bytes(a, b) >= 5:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    for longest, depth in ((1024, None), (4, 2), (1, 4)):
+        got = {r.node: r.root for r in simhash.components(simhash.fingerprint_links(df, longest=longest, depth=depth, radius=None)).collect()}
+        assert {x: got.get(x, x) for x in fps} == {x: find(x) for x in fps}
+    pairs = [(a, b) for a, b in combinations(fps[:80], 2)]
+    shared = spark.createDataFrame([([0, a], [-1, b]) for a, b in pairs], "a array<long>, b array<long>").select(simhash.share_bytes(F.col("a"), F.col("b")).alias("s"))
+    assert [r.s for r in shared.collect()] == [common_bytes(a, b) >= 5 for a, b in pairs]
+
+
+def test_what_the_index_does_not_link_stays(spark, monkeypatch):
+    """Near copies go because the byte-position index has linked their fingerprints, by no other way."""
+    rng = random.Random(14)
+    docs = [(n, edited(rng, [f"w{i}" for i in range(300)], 3 * n)) for n in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert corpus_pipeline.near_dedup(spark, df, "").count() == 1
+    monkeypatch.setattr(neardedup, "fingerprints", lambda s: np.array([s.sum(dtype=np.uint64)]).view(np.int64))
+    assert corpus_pipeline.near_dedup(spark, df, "").count() == 2
