@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import WORD, written
+from pubweave.llm.common import word_count, written
 
 #: Key ranges per source. The keys are uniform, so a range holds as many rows as any other.
 KEY_DIGITS = 3
@@ -49,7 +49,7 @@ def _measured(df: DataFrame, id_col: str, text_col: str, source_col: str) -> Dat
     return df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("name"),
         F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")).alias("src"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("key"),
-        F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+        word_count(F.coalesce(F.col(text_col), F.lit(""))).alias("size"),
     )
 
 
@@ -137,7 +137,8 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ones among them, have nothing to take and are in no mix; repeated rows are taken like
     others, in an order of their own; an empty table gives no rows.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (text_col, n_chars_col)]  # the text goes beside them, once
+    row = (F.struct(*kept) if kept else F.lit(None)).alias("row")
     mixed = mix_sources(df.select(row, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), "id", "text", "source", **options)
     times = F.floor(F.col("taken") / F.nullif(F.col("size"), F.lit(0))).cast("int")
     rest = F.col("taken") - times * F.col("size")

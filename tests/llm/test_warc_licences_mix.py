@@ -1,11 +1,13 @@
 """Archives, licence bands, mixes and pairs under awkward input."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from pubweave.llm import chat, licenses, mixing, warc
+from pubweave.llm.common import word_count
 from pubweave.llm.license_texts import LICENCES, WHOLE
 
 PAGE = "page_id long, url string, html string, value string, _payload string"
@@ -184,3 +186,13 @@ def test_swapped_pairs(spark):
     long = spark.createDataFrame([(8, i, ["user", "assistant"][i % 2], "word " * 5_000) for i in range(60)], "conv_id long, turn long, role string, text string")
     out = chat.formatted(chat.swapped_pairs(long)).first()
     assert out.n_prompt_turns == 59 and len(out.prompt) > 1_200_000 and out.rejected == ""
+
+
+def test_words_are_counted_without_holding_them(spark):
+    texts = ["", " ", "a", " a", "a ", "\x1c", "\x85 \xa0", " x y", "😀 😀", "\t\n\x0b\f\r a\r\nb\x00c ", "$1 \\ w ww", "x" * 5000, " " * 200_000 + "a" + " " * 200_000, "ab " * 50_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.n for r in df.select("i", word_count(F.col("t")).alias("n")).collect()}
+    assert got == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in enumerate(texts)}
+    docs = df.select(F.col("i").alias("doc_id"), F.col("t").alias("text"), F.lit("s").alias("source"), F.length("t").cast("long").alias("n_chars"))
+    plan = mixing.mixed_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 1  # only the text that a budget ends in is cut into words
