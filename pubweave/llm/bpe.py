@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import runs, slices
+from pubweave.llm.common import runs, slices, turn
 
 #: Unicode white space, as the tokenizer file's pre-tokenizer has it.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -220,11 +220,12 @@ def encode(text: Column, path: str | Callable[[], str]) -> Column:
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        own, out = tokenizer(path), []
-        for run in runs(texts.tolist()):
-            found, sizes = own.encode_batch(run)
-            out += np.split(found, np.cumsum(sizes)[:-1])
-        return pd.Series(out, dtype=object)
+        with turn("bpe", tokenizer.cache_clear):
+            own, out = tokenizer(path), []
+            for run in runs(texts.tolist()):
+                found, sizes = own.encode_batch(run)
+                out += np.split(found, np.cumsum(sizes)[:-1])
+            return pd.Series(out, dtype=object)
 
     return ids(text)
 
@@ -234,8 +235,9 @@ def decode(ids: Column, path: str | Callable[[], str]) -> Column:
 
     @F.pandas_udf("string")
     def text(lists: pd.Series) -> pd.Series:
-        own = tokenizer(path)
-        return pd.Series([None if x is None else own.decode(np.asarray(x, np.int64)) for x in lists], dtype=object)
+        with turn("bpe", tokenizer.cache_clear):
+            own = tokenizer(path)
+            return pd.Series([None if x is None else own.decode(np.asarray(x, np.int64)) for x in lists], dtype=object)
 
     return text(ids)
 
@@ -248,6 +250,10 @@ def token_digests(df: DataFrame, path: str | Callable[[], str], id_col: str = "d
     """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with turn("bpe", tokenizer.cache_clear):
+            yield from digested(batches)
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
         for batch in slices(batches):
             counts, ids_sha, text_sha, all_ids = [], [], [], []

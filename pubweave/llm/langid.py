@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubweave.llm.common import runs, slices
+from pubweave.llm.common import runs, slices, turn
 from pubweave.llm.ngrams import Tables, counted
 
 #: Bits of a symbol in a packed n-gram; the rarest letters of larger alphabets share one symbol.
@@ -125,10 +125,11 @@ def fit(df: DataFrame, params: Params | None = None, id_col: str = "doc_id", tex
     sample = rows.filter(hashed("sample") < rate).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (hashed("part") < 200_000).alias("later"))
 
     def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [letters_of(t) for t in batch.column(0).to_pylist()]
-            cp, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int32), np.empty(0, np.int64))
-            yield pa.record_batch([pa.array(cp.astype(np.int64)), pa.array(n.astype(np.int64))], ["cp", "n"])
+        with turn("langid"):
+            for batch in slices(batches):
+                found = [letters_of(t) for t in batch.column(0).to_pylist()]
+                cp, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int32), np.empty(0, np.int64))
+                yield pa.record_batch([pa.array(cp.astype(np.int64)), pa.array(n.astype(np.int64))], ["cp", "n"])
 
     top = sample.select("text").mapInArrow(letters, "cp long, n long").groupBy("cp").agg(F.sum("n").alias("n")).filter("cp <> 32").orderBy(F.desc("n"), "cp").limit((1 << BITS) - 3).collect()
     alphabet = Models([], np.array([r["cp"] for r in top], np.int32), [], p.order)
@@ -195,8 +196,9 @@ def identify(df: DataFrame, models: Models, params: Params | None = None, text_c
     def predicted(texts):
         import pandas as pd
 
-        rows = [r for run in runs([None if t is None or t != t else t for t in texts]) for r in shared.value.predict(run, p)]
-        return pd.DataFrame(rows, columns=["lang_pred", "score", "rejected", "nats_per_symbol"])
+        with turn("langid"):
+            rows = [r for run in runs([None if t is None or t != t else t for t in texts]) for r in shared.value.predict(run, p)]
+            return pd.DataFrame(rows, columns=["lang_pred", "score", "rejected", "nats_per_symbol"])
 
     new = ["lang_pred", "score", "rejected", "nats_per_symbol"]
     kept = [F.col(f"`{c}`") for c in df.columns if c not in new]

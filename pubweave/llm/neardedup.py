@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubweave.llm import simhash
-from pubweave.llm.common import components, remove, stored, text_digest, without_repeats, written
+from pubweave.llm.common import components, remove, stored, text_digest, turn, without_repeats, written
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -40,7 +40,8 @@ def fingerprints(hashes: np.ndarray) -> np.ndarray:
 def _longs(text: Column, made) -> Column:
     @F.pandas_udf("array<long>")
     def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([made(shingle_set(t)) for t in texts])
+        with turn("neardedup"):
+            return pd.Series([made(shingle_set(t)) for t in texts])
 
     return found(text)
 

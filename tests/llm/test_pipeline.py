@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from pubweave.llm import langid
+import pyarrow as pa
+from pubweave.llm import bpe, langid, neardedup
 from pubweave.llm.queries import default_vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -112,3 +114,21 @@ def test_stages_take_nulls_repeats_and_long_texts(spark):
             assert all(taken[s] <= 2 * n for s, n in sizes.items()) and abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= len(sizes)
         if name == "encode":
             assert len(found) == rows.count()
+
+
+def test_workers_forget_what_they_remember_for_another_operator(spark):
+    """Idle Python workers count with their executor's memory: one that has encoded doesn't hold the vocabulary and its chunks for the near stage."""
+
+    def held(batches):
+        for batch in batches:
+            time.sleep(0.1 * len(batch))
+            yield pa.record_batch([pa.array([bpe.tokenizer.cache_info().currsize] * len(batch), pa.int64())], ["n"])
+
+    # idle workers take turns, so with so many tasks each has one of every kind
+    texts = spark.range(0, 32, 1, 32).selectExpr("id doc_id", "concat('a text of number ', id) text")
+    tokens = bpe.token_digests(texts, default_vocabulary)
+    assert {r.n_tokens > 0 for r in tokens.collect()} == {True}
+    assert any(r.n for r in texts.mapInArrow(held, "n long").collect())
+    texts.select(neardedup._longs(texts["text"], neardedup.fingerprints)).collect()
+    assert not any(r.n for r in texts.mapInArrow(held, "n long").collect())
+    assert [r.ids_sha256 for r in bpe.token_digests(texts, default_vocabulary).collect()] == [r.ids_sha256 for r in tokens.collect()]
