@@ -1,14 +1,17 @@
 """The n-gram models against dictionary versions of them, over the whole smallest tables."""
 
+import contextlib
+import io
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pubweave.llm import langid, ngrams, queries, urlfilter
+from pubweave.llm import common, langid, ngrams, queries, urlfilter
 
 SF = "/root/testdata/sf0.001"
 
@@ -148,6 +151,22 @@ def test_every_url_teaches(spark):
     assert tuple(ends) == (want[True], want[False]) and want[True] > 30_000
 
 
+def test_url_plans_stay_small(spark, monkeypatch):
+    """The driver plans, compiles and reports every table that is written; the n-gram levels once made plans of dozens of exchanges, twice a run."""
+    exchanges = []
+
+    def stored(df, name, keep=common.stored):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain()
+        exchanges.append(len(re.findall(r"Exchange (?!SinglePartition)", plan.getvalue())))
+        return keep(df, name)
+
+    monkeypatch.setattr(urlfilter, "stored", stored, raising=False)
+    monkeypatch.setattr(urlfilter, "written", lambda df, name: stored(df, name)[0])
+    assert queries.op4_url_filter(spark, SF).count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+    assert max(exchanges) <= 12 and sum(exchanges) <= 30, exchanges
+
+
 def test_thresholds_of_tables(spark):
     rng = random.Random(8)
     sides = [([0.5], [0.25]), ([1.0], [2.0]), ([1.0, 1.0], [1.0]), ([1.0], []), ([], [1.0])]
