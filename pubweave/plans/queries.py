@@ -1023,16 +1023,13 @@ def checked_links(spark, d):
 @query("SELECT CAST(event_id AS VARCHAR) AS \"objectID\", CAST(floor(epoch(ts)) AS BIGINT) AS created_at_i FROM events WHERE event_id % 4 <> 1")
 def pulled_pages(spark, d):
     """Events as a source of pages, newest first, some without the points that are asked for."""
-    from pubweave.streaming.ingest import pull_pages
+    from pubweave.streaming.ingest import pull_pages, removed
 
     table = V.table(spark, d, "events").select(F.col("event_id").cast("string").alias("objectID"), F.unix_timestamp("ts").alias("created_at_i"), F.when(F.col("event_id") % 4 == 1, 3).otherwise(30).alias("points"))
     base = _folder(spark, "pull")
-
-    def pager(cursor: int) -> list[dict]:
-        """A request: at most 20,000 stories."""
-        return [r.asDict() for r in table.filter(F.col("created_at_i") <= cursor).orderBy(F.desc("created_at_i"), "objectID").limit(20_000).collect()]
-
-    pull_pages(spark, pager, f"{base}/out", f"{base}/state", 2_000_000_000, stop_after=2)
+    # a request: at most 20,000 stories
+    pull_pages(spark, V.pager_of(table, f"{base}/source", 20_000), f"{base}/out", f"{base}/state", 2_000_000_000, stop_after=2)
+    removed(spark, f"{base}/source")
     return spark.read.parquet(f"{base}/out").select("objectID", "created_at_i")
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import lru_cache
+
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,3 +101,29 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 FEED_ENTRIES = """SELECT CASE WHEN (user_id * 2 + event_id % 2) % 10 = 0 THEN 'forum.' ELSE 'blog.' END || (user_id * 2 + event_id % 2) || '.example' AS key, user_id * 2 + event_id % 2 AS feed_ord,
   CASE WHEN event_id % 50 = 7 THEN 'Re: ' ELSE '' END || event_type || ' ' || event_id AS title,
   'https://blog.' || (user_id % 40) || '.example/e/' || (event_id % 400) AS url, CASE WHEN event_id % 97 = 3 THEN 0 ELSE CAST(floor(epoch(ts)) AS BIGINT) END AS ts, event_id AS pos FROM events"""
+
+
+def pager_of(table: DataFrame, folder: str, size: int) -> Callable[[int], list[dict]]:
+    """Requests to a table as a source of pages: at most ``size`` of the rows not younger than a cursor, newest first, then by objectID.
+
+    The rows are dealt to files of ``folder`` by that order once, about five pages to a file; a request opens the files that its page lies in.
+    """
+    spark, order = table.sparkSession, [("created_at_i", "descending"), ("objectID", "ascending")]
+    rows = table.filter("created_at_i is not null")
+    parts = rows.repartitionByRange(max(1, -(-rows.count() // (5 * size))), F.desc("created_at_i"), F.asc("objectID"))
+    parts.withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(folder)
+    oldest = sorted(spark.read.schema(rows.withColumn("part", F.lit(0)).schema).parquet(folder).groupBy("part").agg(F.min("created_at_i")).collect())
+
+    @lru_cache(2)
+    def part(n: int):
+        return spark.read.schema(rows.schema).parquet(f"{folder}/part={n}").toArrow().sort_by(order)
+
+    def request(cursor: int) -> list[dict]:
+        page: list[dict] = []
+        for n, last in oldest:
+            if last <= cursor and len(page) < size:
+                found = part(n)
+                page += found.filter(pc.field("created_at_i") <= cursor).slice(0, size - len(page)).to_pylist()
+        return page
+
+    return request

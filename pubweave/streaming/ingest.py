@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +15,9 @@ from pubweave.sources.readers import STORY
 
 #: Folders that a table of keyed rows is dealt to. Its column in the table.
 SHELVES, SHELF = 64, "shelf"
+#: Bytes of pages that a pull holds at most before it stores them; a page more may come on top.
+HELD = 32 << 20
+ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
 
 
 def _files(spark: SparkSession, path: str):
@@ -25,6 +30,11 @@ def _there(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def removed(spark: SparkSession, path: str) -> bool:
+    fs, p = _files(spark, path)
+    return fs.delete(p, True)
+
+
 def shelf_of(key: str, shelves: int = SHELVES) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shelves)).cast("int")
 
@@ -35,6 +45,19 @@ def known_keys(spark: SparkSession, out: str, key: str, shelves: list[int]) -> D
     return spark.read.option("basePath", out).parquet(*paths).select(key) if paths else None
 
 
+@contextmanager
+def _new_rows(batch: DataFrame, out: str, key: str, order: list, columns: list[str], shelves: int = SHELVES) -> Iterator[DataFrame]:
+    """The rows with a key not in the table yet, the first of each key in the batch, and their shelves."""
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    rows = batch.withColumn("_rn", first).filter("_rn = 1").drop("_rn").select(*columns, shelf_of(key, shelves).alias(SHELF)).persist()
+    try:
+        touched = [r[0] for r in rows.select(SHELF).distinct().collect()]  # as many as there are shelves
+        known = known_keys(batch.sparkSession, out, key, touched)
+        yield rows if known is None else rows.join(known, key, "left_anti")
+    finally:
+        rows.unpersist()
+
+
 def append_new(batch: DataFrame, out: str, key: str, order: list, columns: list[str], shelves: int = SHELVES) -> int:
     """Appends the rows with a key not in the table yet, the first of each key in the batch, and
     says how many.
@@ -43,16 +66,9 @@ def append_new(batch: DataFrame, out: str, key: str, order: list, columns: list[
     touches, and a small batch few of them; the rows of a shelf are written as one file. A batch
     that is repeated after a failure finds its own rows there.
     """
-    spark = batch.sparkSession
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    rows = batch.withColumn("_rn", first).filter("_rn = 1").drop("_rn").select(*columns, shelf_of(key, shelves).alias(SHELF)).persist()
-    try:
-        touched = [r[0] for r in rows.select(SHELF).distinct().collect()]  # as many as there are shelves
-        known = known_keys(spark, out, key, touched)
-        new, seen = rows if known is None else rows.join(known, key, "left_anti"), Observation()
+    seen = Observation()
+    with _new_rows(batch, out, key, order, columns, shelves) as new:
         new.repartition(SHELF).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(SHELF).parquet(out)
-    finally:
-        rows.unpersist()
     return (seen.get or {}).get("n") or 0
 
 
@@ -76,6 +92,28 @@ def _offset(spark: SparkSession, path: str) -> dict | None:
     return json.loads(rows[0][0]) if rows else None
 
 
+def _keep_offset(spark: SparkSession, path: str, **at) -> None:
+    spark.createDataFrame([(json.dumps(at),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _append_pages(spark: SparkSession, pages: list[pa.Table], out: str, names: list[str]) -> list[int]:
+    """Appends the new stories of pages, up to the first that has none, and says how many each page up to it has."""
+    held = [p.append_column("_page", pa.array([k] * len(p), pa.int32())).append_column("_at", pa.array(range(len(p)), pa.int32())) for k, p in enumerate(pages) if len(p)]
+    if not held:
+        return [0]
+    with _new_rows(spark.createDataFrame(pa.concat_tables(held)), out, "objectID", ["_page", "_at"], [*names, "_page"]) as rows:
+        new = rows.persist()
+        try:
+            found = dict(new.groupBy("_page").count().collect())
+            counts = [found.get(k, 0) for k in range(len(pages))]
+            counts = counts[: counts.index(0) + 1] if 0 in counts else counts
+            if any(counts):
+                new.filter(F.col("_page") < len(counts)).drop("_page").repartition(SHELF).write.mode("append").partitionBy(SHELF).parquet(out)
+        finally:
+            new.unpersist()
+    return counts
+
+
 def pull_pages(spark: SparkSession, pager: Callable[[int], list[dict]], out: str, state: str, start: int, stop_after: int = 0, bar: int = 25, oldest: int = 1_160_000_000) -> int:
     """Takes in the stories of a source that gives them by pages, newest first: ``pager(cursor)`` has
     some of those not younger than the cursor. Returns how many were new.
@@ -83,28 +121,59 @@ def pull_pages(spark: SparkSession, pager: Callable[[int], list[dict]], out: str
     From ``start`` on, each page's last time is the next cursor (one less where the page had
     nothing new), until a page is empty, ``oldest`` is reached or, with ``stop_after``, so
     many pages one after the other had no new id: the head is known. Only stories of ``bar``
-    points are taken. The place is kept in ``state`` after each page is stored; a run
-    that was broken off goes on there, a run that ended begins at ``start``. A page is one
-    request's rows, so it may go through the driver.
+    points are taken. The place is kept in ``state`` after each time that pages are stored; a run
+    that was broken off goes on there, a run that ended begins at ``start``; pages that it may have been
+    storing then don't count as known. A page is one request's rows, so it may go through the driver.
+
+    Pages are stored several at a time, as the table's keys are gone through for it: twice as many
+    as the time before where those had no known id, ``HELD`` bytes at most, else one. They are asked for as if
+    each had something new. Those behind a page that hadn't are dropped and asked for again from
+    the right cursor, so there are less than twice the requests.
     """
     names = [x.split()[0] for x in STORY.split(", ")]
+    schema = pa.schema([(n, ARROW[kind]) for n, kind in map(str.split, STORY.split(", "))])
     at = _offset(spark, state) or {"cursor": start, "dry": 0, "done": True}
     cursor, dry, total = (start, 0, 0) if at["done"] else (at["cursor"], at["dry"], 0)
-    while True:
-        page = [s for s in pager(cursor) if s.get("created_at_i") is not None and s.get("objectID") is not None]
-        done, new = not page, 0
-        if page:
-            kept = [tuple(s.get(n) for n in names) + (i,) for i, s in enumerate(page) if (s.get("points") or 0) >= bar]
-            if kept:
-                new = append_new(spark.createDataFrame(kept, f"{STORY}, _at int"), out, "objectID", ["_at"], names)
-            last = min(cursor, *(s["created_at_i"] for s in page), cursor)
-            dry = 0 if new else dry + 1
-            cursor = last if new else last - 1
+    storing = at.get("storing")  # a run was broken off while it stored the pages to this time
+    ahead, done, before = 1, False, set()
+    while not done:
+        pages, lasts, unseen, broken, ended, size, ask = [], [], [], None, False, 0, cursor
+        while len(pages) < ahead and size < HELD:
+            try:
+                page = [s for s in pager(ask) if s.get("created_at_i") is not None and s.get("objectID") is not None]
+            except Exception as e:  # what came before it is stored first
+                broken = e
+                break
+            if not page:
+                ended = True
+                break
+            kept = [s for s in page if (s.get("points") or 0) >= bar]
+            pages.append(pa.Table.from_pylist(kept, schema))
+            size += pages[-1].nbytes
+            ask = min(ask, *(s["created_at_i"] for s in page), ask)
+            lasts.append(ask)
+            ids = {s["objectID"] for s in kept}
+            unseen.append(len(ids - before))
+            before = ids
+            if not unseen[-1] or ask <= oldest:
+                break
+        if len(pages) > 1:
+            _keep_offset(spark, state, cursor=cursor, dry=dry, done=False, storing=lasts[-1] if storing is None else min(storing, lasts[-1]))
+        counts = _append_pages(spark, pages, out, names) if pages else []
+        for new, last in zip(counts, lasts, strict=False):
+            was_new = new or storing is not None and storing <= last < cursor
+            dry = 0 if was_new else dry + 1
+            cursor = last if was_new else last - 1
             done = last <= oldest or bool(stop_after and dry >= stop_after)
-        total += new
-        spark.createDataFrame([(json.dumps({"cursor": cursor, "dry": dry, "done": done}),)], "value string").coalesce(1).write.mode("overwrite").text(state)
-        if done:
-            return total
+        total += sum(counts)
+        whole = len(counts) == len(pages) and not (counts and not counts[-1])
+        done = done or (ended and whole)
+        ahead, before = (2 * len(pages) if counts == unseen else 1, before) if whole else (1, set())
+        if counts or done:
+            _keep_offset(spark, state, cursor=cursor, dry=dry, done=done, **({"storing": storing} if storing is not None and storing < cursor else {}))
+        if broken and whole:
+            raise broken
+    return total
 
 
 def work_stream(spark: SparkSession, in_dir: str, schema: str, key: str, done: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], shelves: int = SHELVES) -> StreamingQuery:
